@@ -85,3 +85,39 @@ def with_ctes(body: str, *extra: str) -> str:
 
 def union_all(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
+
+# Model features of the bookings view, then the default drop list.
+PREPARED_CTE = """
+prepared AS (
+  SELECT booking_id, hotel, is_canceled, lead_time, arrival_date_month, arrival_date_week_number,
+    arrival_date_day_of_month, meal, market_segment, distribution_channel, is_repeated_guest,
+    previous_cancellations, reserved_room_type, deposit_type, customer_type, adr,
+    total_of_special_requests,
+    coalesce(stays_in_weekend_nights, 0) + coalesce(stays_in_week_nights, 0) AS total_nights,
+    coalesce(adults, 0) + coalesce(children, 0) + coalesce(babies, 0) AS total_guests,
+    CAST(coalesce(children, 0) + coalesce(babies, 0) > 0 AS INT) AS has_children,
+    CAST(coalesce(country = 'PRT', false) AS INT) AS is_domestic,
+    CAST(coalesce(reserved_room_type <> assigned_room_type, true) AS INT) AS is_room_changed
+  FROM bookings)"""
+
+PREPARED_NUMERIC = ("lead_time", "arrival_date_week_number", "arrival_date_day_of_month",
+                    "is_repeated_guest", "previous_cancellations", "adr",
+                    "total_of_special_requests", "total_nights", "total_guests",
+                    "has_children", "is_domestic", "is_room_changed")
+PREPARED_TEXT = ("hotel", "arrival_date_month", "meal", "market_segment",
+                 "distribution_channel", "reserved_room_type", "deposit_type", "customer_type")
+
+
+def split_ctes(source: str, label: str, key: str, test_size: float = 0.3, folds: int = 5,
+               seed: int = 42) -> tuple[str, ...]:
+    """Rank rows per label by the 52-bit md5 hash of the key, then tag test rows and folds."""
+    return (f"""
+hashed AS (SELECT *, CAST(('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 13)) AS BIGINT) AS h
+  FROM {source})""", f"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY h, {key}) - 1 AS rk,
+  count(*) OVER (PARTITION BY {label}) AS nc FROM hashed)""", f"""
+tagged AS (SELECT *, CASE WHEN rk < floor(CAST({float(test_size)!r} AS DOUBLE) * nc + 0.5) THEN 'test' ELSE 'train' END AS part,
+  CASE WHEN rk >= floor(CAST({float(test_size)!r} AS DOUBLE) * nc + 0.5)
+    THEN CAST(floor((rk - floor(CAST({float(test_size)!r} AS DOUBLE) * nc + 0.5)) * {folds}
+                    / (nc - floor(CAST({float(test_size)!r} AS DOUBLE) * nc + 0.5))) AS INT) END AS fold
+  FROM ranked)""")
