@@ -171,6 +171,11 @@ def cumulative_by_value(rows: DataFrame, keys: Sequence[str], value: str,
     ``<s>_next`` (``s`` of the next row in the order, null for the last).
     """
     keys = list(keys)
+    if not keys:
+        # One global order: a constant key; the windows below still see bins, not rows.
+        out = cumulative_by_value(rows.withColumn("_k", F.lit(0)), ["_k"], value, sums,
+                                  descending, bins, with_next)
+        return out.drop("_k")
     stats = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     binned = (rows.join(stats, keys)
               .withColumn("_bin", _bin_expr(value, "_lo", "_hi", bins))
