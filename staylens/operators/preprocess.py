@@ -35,7 +35,7 @@ from ..functions.names import clean_name, clean_columns
 from .columns import DEFAULT_DROP, check_raw_input, prepare_raw, required_raw_columns
 from .encode import DEFAULT_MAX_CATEGORIES, category_counts, collect_categories, onehot_name
 from .impute import UNKNOWN, numeric_fill_values
-from .scale import indicator_stats, scaled
+from .scale import indicator_stats, scaled, scaler_stats
 
 
 class _PrepParams(Params):
@@ -112,20 +112,21 @@ class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
                 fill[r["column"]] = float(r["value"])
         counts = collect_categories(category_counts(prepared, cats), cats,
                                     self.getOrDefault(self.maxCategories)) if cats else {}
-        # One scan: filled numeric moments and the row count.
-        filled = {c: F.coalesce(F.when(~F.isnan(F.col(c).cast("double")),
-                                       F.col(c).cast("double")), F.lit(fill[c])) for c in nums}
-        aggs = [F.count(F.lit(1)).alias("_n")]
-        for i, c in enumerate(nums):
-            aggs += [F.avg(filled[c]).alias(f"a{i}"), F.stddev_samp(filled[c]).alias(f"s{i}"),
-                     F.min(filled[c]).alias(f"l{i}"), F.max(filled[c]).alias(f"h{i}")]
-        row = prepared.agg(*aggs).first()
-        n = int(row["_n"])
+        # One scan: moments of the filled numeric columns (unpivoted, one group per column).
+        n = int(prepared.count()) if not nums else None
         stats: dict[str, dict[str, float]] = {}
-        for i, c in enumerate(nums):
-            std = row[f"s{i}"]
-            stats[c] = {"mean": row[f"a{i}"], "std": float("nan") if std is None else std,
-                        "min": row[f"l{i}"], "max": row[f"h{i}"]}
+        if nums:
+            filled = prepared.select(*[F.coalesce(F.when(~F.isnan(F.col(f"`{c}`").cast("double")),
+                                                         F.col(f"`{c}`").cast("double")),
+                                                  F.lit(fill[c])).alias(c) for c in nums])
+            for r in scaler_stats(filled, nums).collect():
+                std = r["std"]
+                stats[r["column"]] = {"mean": r["mean"], "min": r["min"], "max": r["max"],
+                                      "std": float("nan") if std is None else std,
+                                      "n": int(r["n"])}
+            n = stats[nums[0]].pop("n")
+            for c in nums[1:]:
+                stats[c].pop("n")
         categories: dict[str, list[str]] = {}
         cat_strategy = self.getOrDefault(self.catStrategy)
         for c in cats:

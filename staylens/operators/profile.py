@@ -190,20 +190,26 @@ def conditional_mean(df: DataFrame, filter_col: str, equals, target_col: str,
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair, pairwise-complete rows, numbers parsed leniently.
 
-    One pass: one ``corr`` aggregate per unordered pair, mirrored afterwards.
+    Each row is exploded into one (pair, x, y) cell per unordered pair and
+    ``corr`` runs grouped by pair: the partial aggregate leaves every task
+    with one buffer per pair, and the plan stays small enough for
+    whole-stage code generation (one wide ``agg`` of all pairs does not).
     Returns (row_col, col_col, row_idx, col_idx, r).
     """
     cols = [c for c in cols if c in df.columns]
     nums = df.select(*[lenient_double(_q(c)).alias(c) for c in cols])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    wide = nums.agg(*[F.corr(_q(cols[i]), _q(cols[j])).alias(f"_r{i}_{j}") for i, j in pairs])
-    cells = []
-    for i, j in pairs:
-        for a, b in {(i, j), (j, i)}:
-            cells.append(F.struct(F.lit(cols[a]).alias("row_col"), F.lit(cols[b]).alias("col_col"),
-                                  F.lit(a).alias("row_idx"), F.lit(b).alias("col_idx"),
-                                  F.col(f"_r{i}_{j}").alias("r")))
-    return wide.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                               _q(cols[i]).alias("x"), _q(cols[j]).alias("y")) for i, j in pairs])
+    per_pair = (nums.select(F.explode(cells).alias("_c")).select("_c.*")
+                .groupBy("i", "j").agg(F.corr("x", "y").alias("r")))
+    names = F.array(*[F.lit(c) for c in cols])
+    mirrored = per_pair.select(F.explode(F.array_distinct(F.array(
+        F.struct(F.col("i").alias("a"), F.col("j").alias("b"), "r"),
+        F.struct(F.col("j").alias("a"), F.col("i").alias("b"), "r")))).alias("_m")).select("_m.*")
+    return mirrored.select(F.element_at(names, F.col("a") + 1).alias("row_col"),
+                           F.element_at(names, F.col("b") + 1).alias("col_col"),
+                           F.col("a").alias("row_idx"), F.col("b").alias("col_idx"), "r")
 
 
 def lower_triangle(corr: DataFrame) -> DataFrame:

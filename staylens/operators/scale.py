@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 
 def scaler_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, mean, std, min, max) in one scan; each column is its own group."""
+    """(column, mean, std, min, max, n rows) in one scan; each column is its own group."""
     long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
             .unpivot([], list(cols), "column", "v"))
     return long.groupBy("column").agg(
         F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
+        F.min("v").alias("min"), F.max("v").alias("max"), F.count(F.lit(1)).alias("n"))
 
 
 def indicator_stats(n: int, count: int) -> dict[str, float]:

@@ -97,7 +97,10 @@ def sample_points(grid: dict[str, list], n_iter: int, seed: int) -> list[dict]:
 
 def build(name: str, point: dict, cfg: SearchConfig):
     """A configured estimator for one grid point of a preset."""
-    common = dict(labelCol=cfg.label_col, featuresCol=cfg.features_col, seed=cfg.seed)
+    # Node ids cached next to the rows: deep trees then need no re-routing of
+    # every row through the whole tree at each level (checkpointed every 10).
+    common = dict(labelCol=cfg.label_col, featuresCol=cfg.features_col, seed=cfg.seed,
+                  cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     if name == "random_forest":
         depth = point["max_depth"] if point["max_depth"] is not None else DEPTH_CAP
         min_node = max(point["min_samples_leaf"], math.ceil(point["min_samples_split"] / 2))
