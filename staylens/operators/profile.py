@@ -190,7 +190,7 @@ def conditional_mean(df: DataFrame, filter_col: str, equals, target_col: str,
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair, pairwise-complete rows, numbers parsed leniently.
 
-    Each row is exploded into one (pair, x, y) cell per unordered pair and
+    Each row is stacked into one (pair, x, y) cell per unordered pair and
     ``corr`` runs grouped by pair: the partial aggregate leaves every task
     with one buffer per pair, and the plan stays small enough for
     whole-stage code generation (one wide ``agg`` of all pairs does not).
@@ -199,9 +199,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = [c for c in cols if c in df.columns]
     nums = df.select(*[lenient_double(_q(c)).alias(c) for c in cols])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                               _q(cols[i]).alias("x"), _q(cols[j]).alias("y")) for i, j in pairs])
-    per_pair = (nums.select(F.explode(cells).alias("_c")).select("_c.*")
+    # stack() is a code-generated generator: one (i, j, x, y) row per pair.
+    cells = ", ".join(f"{i}, {j}, `{cols[i]}`, `{cols[j]}`" for i, j in pairs)
+    per_pair = (nums.selectExpr(f"stack({len(pairs)}, {cells}) AS (i, j, x, y)")
                 .groupBy("i", "j").agg(F.corr("x", "y").alias("r")))
     names = F.array(*[F.lit(c) for c in cols])
     mirrored = per_pair.select(F.explode(F.array_distinct(F.array(
