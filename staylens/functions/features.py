@@ -69,14 +69,22 @@ def hotel_features(df: DataFrame, home_country: str = HOME_COUNTRY,
 
 
 def profile_features(df: DataFrame) -> DataFrame:
-    """Profile-time columns: total_nights (null-propagating), total_guests, has_requests."""
-    return df.select(
-        "*",
-        (F.col("stays_in_weekend_nights") + F.col("stays_in_week_nights")).alias("total_nights"),
-        (F.col("adults") + F.coalesce(F.col("children"), F.lit(0.0)) + F.col("babies"))
-        .alias("total_guests"),
-        F.coalesce(F.col("total_of_special_requests") > 0, F.lit(False)).alias("has_requests"),
-    )
+    """Profile-time columns: total_nights (null-propagating), total_guests, has_requests.
+
+    Each is added only when its inputs exist.
+    """
+    have = set(df.columns)
+    extra = []
+    if set(STAY_COLS) <= have:
+        extra.append((F.col("stays_in_weekend_nights") + F.col("stays_in_week_nights"))
+                     .alias("total_nights"))
+    if set(GUEST_COLS) <= have:
+        extra.append((F.col("adults") + F.coalesce(F.col("children"), F.lit(0.0)) + F.col("babies"))
+                     .alias("total_guests"))
+    if "total_of_special_requests" in have:
+        extra.append(F.coalesce(F.col("total_of_special_requests") > 0, F.lit(False))
+                     .alias("has_requests"))
+    return df.select("*", *extra)
 
 
 def as_text(df: DataFrame, cols: Iterable[str] = PROFILE_TEXT_COLS) -> DataFrame:

@@ -27,8 +27,12 @@ def _parts(pipeline: PipelineModel):
 
 
 def expected_features(pipeline: PipelineModel) -> list[str]:
+    """Model features: from the fitted preprocessor, else from the assembler stage."""
     prep, _ = _parts(pipeline)
-    return prep.feature_columns if prep is not None else []
+    if prep is not None:
+        return prep.feature_columns
+    asm = next((s for s in pipeline.stages if isinstance(s, VectorAssembler)), None)
+    return list(asm.getInputCols()) if asm is not None else []
 
 
 def score_frame(pipeline: PipelineModel, records: DataFrame, processed: bool = False,
@@ -49,7 +53,7 @@ def score_frame(pipeline: PipelineModel, records: DataFrame, processed: bool = F
             feats = VectorAssembler(inputCols=prep.feature_columns, outputCol="features").transform(feats)
         kept = [k for k in keep if k in feats.columns]
     else:
-        expected = prep.feature_columns if prep is not None else None
+        expected = expected_features(pipeline) or None
         numeric = processed_input(records, expected, keep=keep)
         cols = expected or [c for c in numeric.columns if c not in keep]
         feats = VectorAssembler(inputCols=cols, outputCol="features").transform(numeric)

@@ -31,7 +31,7 @@ class TrainingData:
     test: DataFrame
     preprocessor: object
     features: list[str]
-    id_col: str
+    id_col: str | None
     label_col: str
     base: str
 
@@ -83,8 +83,9 @@ def run_model(spark: SparkSession, name: str, data: TrainingData, cfg: SearchCon
     name = resolve(name)
     out_dir = out_dir or data.base
     model, cv_score, point = search(name, data.train, cfg)
+    ids = [data.id_col] if data.id_col else []
     pred = (model.transform(data.test)
-            .select(data.id_col, "label", "prediction", positive_probability().alias("score"))
+            .select(*ids, "label", "prediction", positive_probability().alias("score"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         report = _report_dict(pred)
