@@ -14,6 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
+from .names import qcol
 
 STAY_COLS = ("stays_in_weekend_nights", "stays_in_week_nights")
 GUEST_COLS = ("adults", "children", "babies")
@@ -64,7 +65,7 @@ def hotel_features(df: DataFrame, home_country: str = HOME_COUNTRY,
         # A missing room on either side counts as a change.
         out.append(F.coalesce(F.col(reserved_col) != F.col(assigned_col), F.lit(True))
                    .cast("int").alias("is_room_changed"))
-    kept = [F.col(f"`{c}`") for c in cols if c not in drop]
+    kept = [qcol(c) for c in cols if c not in drop]
     return df.select(*kept, *out)
 
 
@@ -90,7 +91,7 @@ def profile_features(df: DataFrame) -> DataFrame:
 def as_text(df: DataFrame, cols: Iterable[str] = PROFILE_TEXT_COLS) -> DataFrame:
     """Cast the listed columns that exist to string; null stays null."""
     wanted = set(cols)
-    return df.select(*[(F.col(f"`{c}`").cast("string") if c in wanted else F.col(f"`{c}`")).alias(c)
+    return df.select(*[(qcol(c).cast("string") if c in wanted else qcol(c)).alias(c)
                        for c in df.columns])
 
 
@@ -104,7 +105,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     """Spark keeps NaN as a value; the model treats it as missing like null."""
     exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = qcol(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)):
             c = F.when(F.isnan(c), F.lit(None).cast(f.dataType)).otherwise(c)
         exprs.append(c.alias(f.name))

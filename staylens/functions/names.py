@@ -27,3 +27,9 @@ def clean_columns(df: DataFrame) -> DataFrame:
             raise ValueError(f"columns {seen[new]!r} and {raw!r} both clean to {new!r}")
         seen[new] = raw
     return df.toDF(*names)
+
+
+def qcol(name: str):
+    """A column by its exact name, whatever characters it holds (dots, spaces, backticks)."""
+    from pyspark.sql import functions as F
+    return F.col("`" + name.replace("`", "``") + "`")

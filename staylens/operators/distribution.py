@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranks import exact_quantiles, scalar_quantile
+from ..functions.names import qcol
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by, column, value) of non-null, non-NaN values."""
     by = list(by)
-    casted = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
     return (casted.unpivot(by, list(cols), "column", "value")
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
@@ -28,7 +29,7 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 def trim_below_quantile(df: DataFrame, col: str, q: float = 0.99,
                         method: str = "percentile") -> DataFrame:
     """Rows with ``col`` strictly below its q-quantile (a scalar subquery, one plan)."""
-    return df.where(F.col(f"`{col}`") < scalar_quantile(df, col, q, method))
+    return df.where(qcol(col) < scalar_quantile(df, col, q, method))
 
 
 def trimmed_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),

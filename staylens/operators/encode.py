@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .impute import UNKNOWN
+from ..functions.names import qcol
 
 DEFAULT_MAX_CATEGORIES = 1000
 
 
 def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, value, cnt) of non-null values; partial aggregation, one scan for all columns."""
-    long = (df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    long = (df.select(*[qcol(c).cast("string").alias(c) for c in cols])
             .unpivot([], list(cols), "column", "value").where(F.col("value").isNotNull()))
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -55,7 +56,7 @@ def onehot_columns(categories: dict[str, Sequence[str]], present: Sequence[str])
     exprs = []
     have = set(present)
     for col, cats in categories.items():
-        src = F.col(f"`{col}`") if col in have else F.lit(UNKNOWN)
+        src = qcol(col) if col in have else F.lit(UNKNOWN)
         for cat in cats:
             exprs.append(F.when(src == F.lit(cat), F.lit(1.0)).otherwise(F.lit(0.0))
                          .alias(onehot_name(col, cat)))
@@ -65,5 +66,5 @@ def onehot_columns(categories: dict[str, Sequence[str]], present: Sequence[str])
 def encode(df: DataFrame, categories: dict[str, Sequence[str]]) -> DataFrame:
     """Numeric columns (as double) in input order, then the indicator columns."""
     cat_cols = set(categories)
-    nums = [F.col(f"`{c}`").cast("double").alias(c) for c in df.columns if c not in cat_cols]
+    nums = [qcol(c).cast("double").alias(c) for c in df.columns if c not in cat_cols]
     return df.select(*nums, *onehot_columns(categories, df.columns))

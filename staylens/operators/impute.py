@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.features import categorical_columns, numeric_columns
 from .profile import modes
 from .ranks import exact_quantiles
+from ..functions.names import qcol
 
 UNKNOWN = "Unknown"
 
@@ -27,7 +28,7 @@ def numeric_fill_values(df: DataFrame, cols: Sequence[str], strategy: str = "med
     if strategy == "median":
         stat = (exact_quantiles(df, cols, [0.5]).select("column", F.col("value").alias("_v")))
     elif strategy == "mean":
-        long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+        long = (df.select(*[qcol(c).cast("double").alias(c) for c in cols])
                 .unpivot([], list(cols), "column", "v").where(~F.isnan("v")))
         stat = long.groupBy("column").agg(F.avg("v").alias("_v"))
     else:
@@ -67,7 +68,7 @@ def apply_imputer(df: DataFrame, values: dict[str, object], fill_rest: bool = Tr
     """Fill fitted columns by their value; then every remaining null becomes 0 ('0' for text)."""
     exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = qcol(f.name)
         if f.name in values and isinstance(values[f.name], float):
             # A numeric column with gaps is fractional once filled (e.g. median 2.5).
             c = F.coalesce(F.when(~F.isnan(c.cast("double")), c.cast("double")),

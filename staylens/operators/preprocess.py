@@ -23,7 +23,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -36,6 +36,37 @@ from .columns import DEFAULT_DROP, check_raw_input, prepare_raw, required_raw_co
 from .encode import DEFAULT_MAX_CATEGORIES, category_counts, collect_categories, onehot_name
 from .impute import UNKNOWN, numeric_fill_values
 from .scale import indicator_stats, scaled, scaler_stats
+from ..functions.names import qcol
+
+
+class FeatureVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Columns -> one ML vector, for any column names.
+
+    ``VectorAssembler`` parses its input names, so a one-hot name that
+    carries raw category text (dots, backticks) breaks it; the columns are
+    assembled under positional aliases instead and the names stay as they are.
+    """
+
+    inputCols = Param(Params._dummy(), "inputCols", "feature columns, in vector order",
+                      typeConverter=TypeConverters.toListString)
+    outputCol = Param(Params._dummy(), "outputCol", "vector column",
+                      typeConverter=TypeConverters.toString)
+
+    def __init__(self, inputCols=None, outputCol="features"):
+        super().__init__()
+        self._setDefault(inputCols=[], outputCol="features")
+        self._set(inputCols=list(inputCols or []), outputCol=outputCol)
+
+    def getInputCols(self) -> list[str]:
+        return list(self.getOrDefault(self.inputCols))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        cols = self.getInputCols()
+        out = self.getOrDefault(self.outputCol)
+        tmp = [f"_fv{i}" for i in range(len(cols))]
+        wide = df.select("*", *[qcol(c).alias(t) for c, t in zip(cols, tmp)])
+        vec = VectorAssembler(inputCols=tmp, outputCol=out).transform(wide)
+        return vec.drop(*tmp)
 
 
 class _PrepParams(Params):
@@ -77,7 +108,7 @@ class _PrepParams(Params):
         cleaned = clean_columns(df)
         keep = self._keep(cleaned.columns)
         raw = [c for c in cleaned.columns if c not in keep]
-        prepared = prepare_raw(cleaned.select(*[F.col(f"`{c}`") for c in raw]),
+        prepared = prepare_raw(cleaned.select(*[qcol(c) for c in raw]),
                                self.getOrDefault(self.dropColumns) or None,
                                home_country=self.getOrDefault(self.homeCountry))
         return prepared, raw, keep
@@ -116,8 +147,8 @@ class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         n = int(prepared.count()) if not nums else None
         stats: dict[str, dict[str, float]] = {}
         if nums:
-            filled = prepared.select(*[F.coalesce(F.when(~F.isnan(F.col(f"`{c}`").cast("double")),
-                                                         F.col(f"`{c}`").cast("double")),
+            filled = prepared.select(*[F.coalesce(F.when(~F.isnan(qcol(c).cast("double")),
+                                                         qcol(c).cast("double")),
                                                   F.lit(fill[c])).alias(c) for c in nums])
             for r in scaler_stats(filled, nums).collect():
                 std = r["std"]
@@ -178,13 +209,13 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         exprs = []
         for c in st["numeric"]:
             if c in have:
-                src = F.col(f"`{c}`").cast("double")
+                src = qcol(c).cast("double")
                 v = F.coalesce(F.when(~F.isnan(src), src), F.lit(st["fill"][c]))
             else:
                 v = F.lit(0.0)
             exprs.append(scaled(v, st["stats"][c], method).alias(c))
         for c in st["categorical"]:
-            src = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(st["fill"][c]))
+            src = (F.coalesce(qcol(c).cast("string"), F.lit(st["fill"][c]))
                    if c in have else F.lit(UNKNOWN))
             for cat in st["categories"][c]:
                 name = onehot_name(c, cat)
@@ -199,10 +230,10 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         prepared = prepare_raw(cleaned, self.getOrDefault(self.dropColumns) or None,
                                home_country=self.getOrDefault(self.homeCountry))
         out = prepared.select(*self.feature_exprs([c for c in prepared.columns if c not in keep]),
-                              *[F.col(f"`{k}`") for k in keep])
+                              *[qcol(k) for k in keep])
         vec = self.getOrDefault(self.outputCol)
         if vec:
-            out = VectorAssembler(inputCols=self.feature_columns, outputCol=vec).transform(out)
+            out = FeatureVector(self.feature_columns, vec).transform(out)
         return out
 
     def check_raw(self, df: DataFrame) -> None:

@@ -17,10 +17,11 @@ from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, Lon
                                ShortType, StringType)
 
 from ..functions.features import lenient_double
+from ..functions.names import qcol
 
 
 def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return qcol(name)
 
 
 def _text_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -200,7 +201,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     nums = df.select(*[lenient_double(_q(c)).alias(c) for c in cols])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     # stack() is a code-generated generator: one (i, j, x, y) row per pair.
-    cells = ", ".join(f"{i}, {j}, `{cols[i]}`, `{cols[j]}`" for i, j in pairs)
+    ident = ["`" + c.replace("`", "``") + "`" for c in cols]
+    cells = ", ".join(f"{i}, {j}, {ident[i]}, {ident[j]}" for i, j in pairs)
     per_pair = (nums.selectExpr(f"stack({len(pairs)}, {cells}) AS (i, j, x, y)")
                 .groupBy("i", "j").agg(F.corr("x", "y").alias("r")))
     names = F.array(*[F.lit(c) for c in cols])

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from ..functions.names import qcol
 
 DEFAULT_BINS = 65536
 
@@ -87,7 +88,7 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
                       value: str = "value", column: str = "column") -> DataFrame:
     """(by, column, value, cnt) over non-null, non-NaN values of numeric columns."""
     by = list(by)
-    casted = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
     long = casted.unpivot(by, list(cols), column, value)
     long = long.where(F.col(value).isNotNull() & ~F.isnan(value))
     return long.groupBy(*by, column, value).agg(F.count(F.lit(1)).alias("cnt"))
@@ -115,7 +116,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by = list(by)
     keys = [*by, "column"]
     if method in ("percentile", "approx"):
-        casted = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+        casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
         long = (casted.unpivot(by, list(cols), "column", "value")
                 .where(F.col("value").isNotNull() & ~F.isnan("value")))
         probs_arr = [float(p) for p in probs]

@@ -10,11 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from ..functions.names import qcol
 
 
 def scaler_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, mean, std, min, max, n rows) in one scan; each column is its own group."""
-    long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    long = (df.select(*[qcol(c).cast("double").alias(c) for c in cols])
             .unpivot([], list(cols), "column", "v"))
     return long.groupBy("column").agg(
         F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
@@ -40,5 +41,5 @@ def scaled(col: Column, stats: dict[str, float], method: str = "minmax") -> Colu
 
 
 def apply_scaler(df: DataFrame, stats: dict[str, dict[str, float]], method: str = "minmax") -> DataFrame:
-    return df.select(*[(scaled(F.col(f"`{c}`").cast("double"), stats[c], method) if c in stats
-                        else F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return df.select(*[(scaled(qcol(c).cast("double"), stats[c], method) if c in stats
+                        else qcol(c)).alias(c) for c in df.columns])

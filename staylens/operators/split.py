@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranks import hash_ranks
+from ..functions.names import qcol
 
 DEFAULT_SEED = 42
 
@@ -27,9 +28,9 @@ DEFAULT_SEED = 42
 def row_hash(cols: Sequence[str], method: str = "xxhash64", seed: int = DEFAULT_SEED) -> Column:
     """64-bit xxhash (fast, default) or the first 52 bits of md5 (portable to other engines)."""
     if method == "xxhash64":
-        return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])
+        return F.xxhash64(F.lit(seed), *[qcol(c) for c in cols])
     if method == "md5":
-        text = F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{c}`").cast("string") for c in cols])
+        text = F.concat_ws("|", F.lit(str(seed)), *[qcol(c).cast("string") for c in cols])
         return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
     raise ValueError(f"unknown hash method {method!r}")
 
@@ -42,7 +43,7 @@ def assign_split(df: DataFrame, label_col: str, test_size: float = 0.3, folds: i
     keys = list(key_cols or [c for c in df.columns if c != label_col])
     bits = 64 if hash_method == "xxhash64" else 52
     hashed = df.withColumn("_h", row_hash(keys, hash_method, seed))
-    ranked = hash_ranks(hashed, [label_col], "_h", [f"`{k}`" for k in keys], hash_bits=bits)
+    ranked = hash_ranks(hashed, [label_col], "_h", [qcol(k) for k in keys], hash_bits=bits)
     n_test = F.floor(F.lit(float(test_size)) * F.col("_n") + F.lit(0.5))
     out = ranked.withColumn(part_col, F.when(F.col("_rank") < n_test, "test").otherwise("train"))
     if folds and folds > 1:

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ from ..functions.names import clean_columns, clean_name
 from ..operators import distribution as D
 from ..operators import profile as P
 from ..operators.columns import dedupe, feature_names
-from ..operators.preprocess import BookingPreprocessor
+from ..operators.preprocess import BookingPreprocessor, FeatureVector
 from ..operators.ranks import exact_quantiles
 from ..operators.split import assign_split
 from ..operators.train import SearchConfig
@@ -123,7 +122,7 @@ def training_data_from_processed(spark: SparkSession, train_path: str, test_path
     """Processed tables -> feature vector, label, stratified fold column; written once."""
     train, feats = read_processed(spark, train_path, target, fmt)
     test, _ = read_processed(spark, test_path, target, fmt)
-    assembler = VectorAssembler(inputCols=feats, outputCol="features")
+    assembler = FeatureVector(feats, "features")
     tagged = assign_split(train, target, 0.0, folds=folds).drop("part")
     for part, frame in (("train", tagged), ("test", test)):
         keep = ["label", "features"] + (["fold"] if part == "train" else [])

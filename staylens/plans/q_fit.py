@@ -18,6 +18,7 @@ from ..operators.split import assign_split
 from ..sources.tables import bookings
 from .catalog import r6, register
 from .oracle import PREPARED_CTE, PREPARED_NUMERIC, PREPARED_TEXT, split_ctes, union_all, with_ctes
+from ..functions.names import qcol
 
 ID, LABEL = "booking_id", "is_canceled"
 
@@ -108,7 +109,7 @@ def onehot_transform(spark, sf_dir):
     wide = filled.select(ID, *cols)
     names = [f"{c}_{k}" for c in st["categorical"] for k in st["categories"][c]]
     del feats
-    return wide.unpivot([ID], [F.col(f"`{n}`") for n in names], "feature", "value")
+    return wide.unpivot([ID], [qcol(n) for n in names], "feature", "value")
 
 
 # ---------------------------------------------------------------- full preprocessor
@@ -157,7 +158,7 @@ def _scaled_sql(method: str) -> str:
 def _long(model, df: DataFrame) -> DataFrame:
     out = model.transform(df)
     feats = model.feature_columns
-    return (out.unpivot([ID], [F.col(f"`{f}`") for f in feats], "feature", "value")
+    return (out.unpivot([ID], [qcol(f) for f in feats], "feature", "value")
             .select(ID, "feature", r6("value").alias("value")))
 
 

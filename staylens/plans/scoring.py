@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import label_text, risk_level
 from ..operators.columns import processed_input
-from ..operators.preprocess import BookingPreprocessorModel
+from ..operators.preprocess import BookingPreprocessorModel, FeatureVector
 from ..operators.train import positive_probability
+from ..functions.names import qcol
 
 
 def _parts(pipeline: PipelineModel):
@@ -31,7 +32,7 @@ def expected_features(pipeline: PipelineModel) -> list[str]:
     prep, _ = _parts(pipeline)
     if prep is not None:
         return prep.feature_columns
-    asm = next((s for s in pipeline.stages if isinstance(s, VectorAssembler)), None)
+    asm = next((s for s in pipeline.stages if isinstance(s, (FeatureVector, VectorAssembler))), None)
     return list(asm.getInputCols()) if asm is not None else []
 
 
@@ -48,20 +49,20 @@ def score_frame(pipeline: PipelineModel, records: DataFrame, processed: bool = F
     if prep is not None and not processed:
         prep.check_raw(records)
         feats = prep.transform(records)
-        feats = feats.select(*[F.col(f"`{c}`") for c in feats.columns])
+        feats = feats.select(*[qcol(c) for c in feats.columns])
         if "features" not in feats.columns:
-            feats = VectorAssembler(inputCols=prep.feature_columns, outputCol="features").transform(feats)
+            feats = FeatureVector(prep.feature_columns, "features").transform(feats)
         kept = [k for k in keep if k in feats.columns]
     else:
         expected = expected_features(pipeline) or None
         numeric = processed_input(records, expected, keep=keep)
         cols = expected or [c for c in numeric.columns if c not in keep]
-        feats = VectorAssembler(inputCols=cols, outputCol="features").transform(numeric)
+        feats = FeatureVector(cols, "features").transform(numeric)
         kept = keep
     out = clf.transform(feats)
     prob = positive_probability() if "probability" in out.columns else F.lit(None).cast("double")
     pred = F.col("prediction").cast("int")
-    return out.select(*[F.col(f"`{k}`") for k in kept], pred.alias("prediction"),
+    return out.select(*[qcol(k) for k in kept], pred.alias("prediction"),
                       label_text(pred).alias("label"), prob.alias("probability"),
                       risk_level(prob, pred).alias("risk_level"))
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, LongType, MapType, StringT
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.names import clean_name
+from ..functions.names import qcol
 
 # Text that a pandas CSV reader turns into a missing value by default.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -47,7 +48,7 @@ def read_raw_csv(spark: SparkSession, path: str, types: dict[str, str] | None =
         raise FileNotFoundError(f"Data file not found: {path}") from err
     exprs = []
     for c in raw.columns:
-        v = F.when(F.col(f"`{c}`").isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(f"`{c}`"))
+        v = F.when(qcol(c).isin(*NA_TOKENS), F.lit(None)).otherwise(qcol(c))
         t = types.get(c, types.get(clean_name(c), "string"))
         exprs.append((v if t == "string" else v.try_cast(t)).alias(c))
     return raw.select(*exprs)
@@ -66,7 +67,7 @@ def write_processed(df: DataFrame, path: str, target: str, fmt: str = "parquet")
     """Features then the target as last column; the label stays in its row."""
     if target not in df.columns:
         raise KeyError(f"Target column '{target}' was not found.")
-    out = df.select(*[F.col(f"`{c}`") for c in df.columns if c != target], F.col(target))
+    out = df.select(*[qcol(c) for c in df.columns if c != target], F.col(target))
     writer = out.write.mode("overwrite")
     if fmt == "parquet":
         writer.parquet(path)

@@ -66,3 +66,12 @@ def test_name_collision_is_an_error(spark):
     df = spark.createDataFrame([(1, 2)], "`A b` int, `a_b` int")
     with pytest.raises(ValueError):
         clean_columns(df)
+
+
+def test_category_text_with_dots_and_backticks(spark):
+    df = spark.createDataFrame([("9.0", 1.0, 0), ("12.0", 2.0, 1), ("a`b", 3.0, 0)],
+                               "agent_code string, x double, is_canceled int")
+    model = BookingPreprocessor(labelCol="is_canceled", outputCol="features").fit(df)
+    assert "agent_code_9.0" in model.feature_columns and "agent_code_a`b" in model.feature_columns
+    rows = model.transform(df).orderBy("x").collect()
+    assert [r["features"].toArray().tolist() for r in rows][0] == [0.0, 0.0, 1.0, 0.0]
