@@ -170,16 +170,17 @@ def cumulative_by_value(rows: DataFrame, keys: Sequence[str], value: str,
     ``rows`` must be distinct on (keys, value).  Adds ``<s>_before`` (sum of
     ``s`` over rows strictly earlier in the order) and, with ``with_next``,
     ``<s>_next`` (``s`` of the next row in the order, null for the last).
+    Without keys the value range enters as scalar subqueries (no join), and
+    the only un-partitioned window runs over at most ``bins`` bin rows.
     """
     keys = list(keys)
-    if not keys:
-        # One global order: a constant key; the windows below still see bins, not rows.
-        out = cumulative_by_value(rows.withColumn("_k", F.lit(0)), ["_k"], value, sums,
-                                  descending, bins, with_next)
-        return out.drop("_k")
-    stats = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    binned = (rows.join(stats, keys)
-              .withColumn("_bin", _bin_expr(value, "_lo", "_hi", bins))
+    if keys:
+        stats = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+        ranged = rows.join(stats, keys)
+    else:
+        ranged = rows.select("*", rows.select(F.min(value)).scalar().alias("_lo"),
+                             rows.select(F.max(value)).scalar().alias("_hi"))
+    binned = (ranged.withColumn("_bin", _bin_expr(value, "_lo", "_hi", bins))
               .drop("_lo", "_hi"))
     bin_order = F.col("_bin").desc() if descending else F.col("_bin").asc()
     val_order = F.col(value).desc() if descending else F.col(value).asc()
@@ -187,7 +188,7 @@ def cumulative_by_value(rows: DataFrame, keys: Sequence[str], value: str,
         F.struct(*[F.col(s) for s in sums]), F.col(value))
     per_bin = binned.groupBy(*keys, "_bin").agg(
         *[F.sum(s).alias(f"_bin_{s}") for s in sums], first_of_bin.alias("_first"))
-    bw = Window.partitionBy(*keys).orderBy(bin_order)
+    bw = (Window.partitionBy(*keys) if keys else Window).orderBy(bin_order)
     prefix = per_bin.select(
         *keys, "_bin",
         *[F.coalesce(F.sum(f"_bin_{s}").over(bw.rowsBetween(Window.unboundedPreceding, -1)),
