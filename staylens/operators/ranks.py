@@ -23,7 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from ..functions.names import qcol
 
-DEFAULT_BINS = 65536
+DEFAULT_BINS = 65536          # per binning level of the rank selection (two levels)
+PREFIX_BINS = 1 << 20         # value bins of running sums: ~1e6 rows per bin at 1e12 rows
+HASH_BUCKET_BITS = 20         # hash buckets of ranks: same bound; only non-empty ones exist
 
 
 def _bin_expr(value: str, lo: str, hi: str, bins: int) -> Column:
@@ -164,7 +166,7 @@ def scalar_quantile(df: DataFrame, col: str, prob: float, method: str = "percent
 
 def cumulative_by_value(rows: DataFrame, keys: Sequence[str], value: str,
                         sums: Sequence[str], descending: bool = False,
-                        bins: int = DEFAULT_BINS, with_next: bool = False) -> DataFrame:
+                        bins: int = PREFIX_BINS, with_next: bool = False) -> DataFrame:
     """Running sums in value order, per key, without a window over the whole key.
 
     ``rows`` must be distinct on (keys, value).  Adds ``<s>_before`` (sum of
@@ -206,14 +208,15 @@ def cumulative_by_value(rows: DataFrame, keys: Sequence[str], value: str,
     return out.drop(*drop)
 
 
-def hash_ranks(df: DataFrame, partition: Sequence[str], hash_col: str, tie: Sequence[str],
-               bucket_bits: int = 16, hash_bits: int = 64) -> DataFrame:
+def hash_ranks(df: DataFrame, partition: Sequence[str], hash_col: str, tie: Sequence,
+               bucket_bits: int = HASH_BUCKET_BITS, hash_bits: int = 64) -> DataFrame:
     """0-based rank in (hash, tie) order inside each ``partition`` key, plus the key's size.
 
     Hash values are uniform, so their top ``bucket_bits`` bits split every
     key (also a key holding a third of all rows) into equal buckets; bucket
-    counts are prefix-summed on a small table and ``row_number`` runs only
-    inside a bucket.  Adds ``_rank`` and ``_n``.
+    counts (only non-empty buckets exist) are prefix-summed on a table of at
+    most 2^bucket_bits rows per key, and ``row_number`` runs only inside a
+    bucket.  Adds ``_rank`` and ``_n``.
     """
     partition = list(partition)
     shift = hash_bits - bucket_bits
