@@ -68,7 +68,7 @@ def impute_transform(spark, sf_dir):
     prepared = prepared_features(spark, sf_dir)
     values = fit_imputer(_features_only(prepared))
     out = apply_imputer(prepared, values)
-    nums = [c for c in numeric_columns(_features_only(prepared))]
+    nums = numeric_columns(_features_only(prepared))
     return out.select(ID, LABEL, *[r6(c).alias(c) for c in nums],
                       *categorical_columns(_features_only(prepared)))
 
@@ -99,17 +99,14 @@ def onehot_categories(spark, sf_dir):
     "CASE WHEN t.cat = c.cat THEN 1.0 ELSE 0.0 END AS value "
     "FROM cat_long t JOIN cats c ON t.col = c.col", PREPARED_CTE, FILLS_CTE, _CAT_LONG, _CATS))
 def onehot_transform(spark, sf_dir):
+    """Indicator columns only (before scaling), from the fitted fills and categories."""
     prepared = prepared_features(spark, sf_dir)
-    feats = _features_only(prepared)
-    model = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID]).fit(prepared)
-    st = model.fitted
+    st = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID]).fit(prepared).fitted
     filled = apply_imputer(prepared, st["fill"])
-    cols = [F.when(F.col(c) == F.lit(k), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{k}")
-            for c in st["categorical"] for k in st["categories"][c]]
-    wide = filled.select(ID, *cols)
     names = [f"{c}_{k}" for c in st["categorical"] for k in st["categories"][c]]
-    del feats
-    return wide.unpivot([ID], [qcol(n) for n in names], "feature", "value")
+    cols = [F.when(qcol(c) == F.lit(k), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{k}")
+            for c in st["categorical"] for k in st["categories"][c]]
+    return filled.select(ID, *cols).unpivot([ID], [qcol(n) for n in names], "feature", "value")
 
 
 # ---------------------------------------------------------------- full preprocessor
