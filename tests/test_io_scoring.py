@@ -143,3 +143,12 @@ def test_streaming_scoring(trained, spark, workdir):
     out = spark.read.parquet(os.path.join(workdir, "scored"))
     assert out.count() == test_raw.count()
     assert set(out.columns) == {"booking_id", "prediction", "label", "probability", "risk_level"}
+
+
+def test_fold_parallel_search_equals_cross_validator(trained):
+    data = trained[0]
+    cfg = SearchConfig(n_iter=2, folds=3, grid="quick", parallelism=3)
+    cv_cfg = SearchConfig(n_iter=2, folds=3, grid="quick", parallelism=3, engine="cross_validator")
+    _, s1, p1 = search("random_forest", data.train, cfg)
+    _, s2, p2 = search("random_forest", data.train, cv_cfg)
+    assert p1 == p2 and abs(s1 - s2) < 1e-12
