@@ -9,7 +9,8 @@ ever sits in one task -- and:
 * the train rows are cut into ``k`` folds of consecutive ranks.
 
 Same proportions per label as a stratified shuffle split (within one row),
-and the same rows on every run, partitioning and cluster size.
+and the same rows on every run, partitioning and cluster size.  The key
+columns should identify a row: rows sharing a key share a hash bucket.
 """
 
 from __future__ import annotations

@@ -72,3 +72,26 @@ def test_split_is_stratified_stable_and_partition_free(skewed, spark):
         sizes = folds.value_counts()
         assert sizes.max() - sizes.min() <= 1
     assert a[a["part"] == "test"]["fold"].isna().all()
+
+
+def test_profiles_do_not_depend_on_partitioning(spark):
+    from staylens.operators import distribution as D
+    from staylens.operators import profile as P
+    from staylens.plans.frames import profile_frame
+    from conftest import SF_SMALL
+    base = profile_frame(spark, SF_SMALL).cache()
+
+    def run(df):
+        return {
+            "describe": sorted(P.numeric_describe(df, ["lead_time", "adr"]).collect()),
+            "cat": sorted(P.categorical_describe(df, ["hotel", "country"]).collect()),
+            "box": sorted(D.box_stats(df, ["lead_time", "adr"], ["is_canceled"]).collect()),
+            "hist": sorted(D.histogram(df, ["adr"]).collect()),
+        }
+
+    one, many = run(base.repartition(1)), run(base.repartition(8, "booking_id"))
+    for k in one:
+        assert len(one[k]) == len(many[k])
+        for a, b in zip(one[k], many[k]):
+            for x, y in zip(a, b):
+                assert (x == y) or (isinstance(x, float) and abs(x - y) < 1e-9), (k, a, b)
