@@ -21,7 +21,7 @@ from ..operators.evaluate import classification_report, confusion_matrix, roc_au
 from ..operators.preprocess import BookingPreprocessor
 from ..operators.split import assign_split
 from ..operators.train import MODEL_ORDER, SearchConfig, importance_table, positive_probability, resolve, search
-from ..session import scratch_path
+from ..session import scratch_path, shared_dir
 from ..sources.files import save_model, write_evaluation, write_processed, write_table
 
 
@@ -82,6 +82,7 @@ def run_model(spark: SparkSession, name: str, data: TrainingData, cfg: SearchCon
     """Search, predict the test rows once, evaluate, store evaluation / ROC / importances."""
     name = resolve(name)
     out_dir = out_dir or data.base
+    shared_dir(spark)  # tree learners checkpoint their cached node ids there
     model, cv_score, point = search(name, data.train, cfg)
     ids = [data.id_col] if data.id_col else []
     pred = (model.transform(data.test)

@@ -46,6 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not visible to other executors.
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="staylens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
@@ -56,9 +59,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
