@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import categorical_columns, numeric_columns
 from ..functions.names import clean_name, clean_columns
-from .columns import DEFAULT_DROP, check_raw_input, prepare_raw, required_raw_columns
+from .columns import check_raw_input, prepare_raw, required_raw_columns
 from .encode import DEFAULT_MAX_CATEGORIES, category_counts, collect_categories, onehot_name
 from .impute import UNKNOWN, numeric_fill_values
 from .scale import indicator_stats, scaled, scaler_stats

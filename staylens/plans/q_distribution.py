@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import distribution as D
 from .catalog import r6, register
 from .frames import BOX_COLS, HIST_COLS, profile_frame

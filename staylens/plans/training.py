@@ -22,7 +22,7 @@ from ..operators.preprocess import BookingPreprocessor
 from ..operators.split import assign_split
 from ..operators.train import MODEL_ORDER, SearchConfig, importance_table, positive_probability, resolve, search
 from ..session import scratch_path, shared_dir
-from ..sources.files import save_model, write_evaluation, write_processed, write_table
+from ..sources.files import save_model, write_evaluation, write_table
 
 
 @dataclass
