@@ -16,6 +16,7 @@ from ..operators.impute import apply_imputer, categorical_fill_values, fit_imput
 from ..operators.preprocess import BookingPreprocessor
 from ..operators.split import assign_split
 from ..sources.tables import bookings
+from ..session import shared_dir
 from .catalog import r6, register
 from .oracle import PREPARED_CTE, PREPARED_NUMERIC, PREPARED_TEXT, split_ctes, union_all, with_ctes
 from ..functions.names import qcol
@@ -192,8 +193,11 @@ def standard_transform(spark, sf_dir):
 
 
 def _split_prepared(spark, sf_dir) -> DataFrame:
+    """Tagged rows, checkpointed once to the shared folder: the fit and the
+    transform both read them instead of re-deriving joins and ranks."""
+    shared_dir(spark)
     return assign_split(prepared_features(spark, sf_dir), LABEL, 0.3, key_cols=[ID],
-                        hash_method="md5")
+                        hash_method="md5").checkpoint(eager=True)
 
 
 @register("preprocess_test_rows", with_ctes(
