@@ -4,13 +4,18 @@
 puts every row of that key in one task.  The operators here keep the work
 distributed:
 
-* values are first reduced to distinct values with counts (partial
-  aggregation absorbs hot keys);
-* values are placed in equal-width bins per group, bins are counted, and
-  prefix sums run over the small bin table;
-* only rows inside the located bins are ranked one by one, after a second
-  binning level inside those bins, so a dense cluster of values is split
-  again before any window sees it.
+* :func:`exact_quantiles` -- by default Spark's exact ``percentile`` on the
+  unpivoted values (one group per column, state = the group's distinct
+  values); ``binned`` selects ranks by :func:`value_at_ranks` instead, and
+  ``approx`` uses ``percentile_approx``;
+* :func:`value_at_ranks` -- distinct values with counts are placed in
+  equal-width bins per group, bins are counted and prefix-summed on the small
+  bin table, and only rows of the located bins are ranked, after a second
+  binning level inside them, so a dense cluster is split again;
+* :func:`cumulative_by_value` -- running sums (and the next row's values) in
+  value order: bin totals are prefix-summed, then a window runs per bin;
+* :func:`hash_ranks` -- ranks in hash order: uniform hash buckets are counted
+  and prefix-summed, then ``row_number`` runs per bucket.
 
 All results are exact.
 """
