@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import exact_quantiles, scalar_quantile
+from .ranks import exact_quantiles, fractional_columns, quantiles_long_auto, scalar_quantile
 from ..functions.names import qcol
 
 
@@ -27,7 +27,7 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 
 def trim_below_quantile(df: DataFrame, col: str, q: float = 0.99,
-                        method: str = "percentile") -> DataFrame:
+                        method: str = "auto") -> DataFrame:
     """Rows with ``col`` strictly below its q-quantile (a scalar subquery, one plan)."""
     return df.where(qcol(col) < scalar_quantile(df, col, q, method))
 
@@ -46,11 +46,11 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str], q: float =
     by = list(by)
     keys = [*by, "column"]
     long = trimmed_long(df, cols, by, q)
-    quart = long.groupBy(*keys).agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("_q"),
-                                    F.count(F.lit(1)).alias("n"))
-    fences = quart.select(
-        *keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"))
+    qs = quantiles_long_auto(long, keys, [0.25, 0.5, 0.75], fractional_columns(df, cols))
+    quart = qs.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+                                    for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    fences = quart.join(sizes, keys).select(*keys, "n", "q1", "median", "q3")
     iqr = F.col("q3") - F.col("q1")
     fences = (fences.withColumn("_lo", F.col("q1") - F.lit(whisker) * iqr)
               .withColumn("_hi", F.col("q3") + F.lit(whisker) * iqr))

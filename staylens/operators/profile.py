@@ -17,6 +17,7 @@ from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, Lon
                                ShortType, StringType)
 
 from ..functions.features import lenient_double
+from .ranks import fractional_columns, quantiles_long_auto
 from ..functions.names import qcol
 
 
@@ -92,22 +93,26 @@ def missing_ranking(df: DataFrame, cols: Sequence[str] | None = None,
 
 
 def numeric_describe(df: DataFrame, cols: Sequence[str],
-                     quantile_method: str = "percentile") -> DataFrame:
-    """count, mean, std (sample), min, p25, p50, p75, max per column, one aggregation."""
+                     quantile_method: str = "auto") -> DataFrame:
+    """count, mean, std (sample), min, p25, p50, p75, max per column.
+
+    Moments in one unpivoted aggregation; quartiles by :func:`quantiles_long_auto`
+    (exact; distributed rank selection for fractional columns).
+    """
     cols = [c for c in cols if c in df.columns]
     long = (df.select(*[_q(c).cast("double").alias(c) for c in cols])
             .unpivot([], cols, "column", "value")
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
-    probs = [0.25, 0.5, 0.75]
-    q = (F.percentile("value", probs) if quantile_method == "percentile"
-         else F.percentile_approx("value", probs, 10000))
-    return long.groupBy("column").agg(
+    moments = long.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        q.alias("_q"), F.max("value").alias("max")).select(
-        "column", "count", "mean", "std", "min",
-        F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"),
-        "max")
+        F.max("value").alias("max"))
+    qs = quantiles_long_auto(long, ["column"], [0.25, 0.5, 0.75], fractional_columns(df, cols),
+                             method=quantile_method)
+    quart = qs.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+                                       for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return moments.join(quart, "column").select("column", "count", "mean", "std", "min",
+                                               "p25", "p50", "p75", "max")
 
 
 def _top_of(counts: DataFrame) -> DataFrame:

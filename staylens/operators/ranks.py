@@ -4,10 +4,11 @@
 puts every row of that key in one task.  The operators here keep the work
 distributed:
 
-* :func:`exact_quantiles` -- by default Spark's exact ``percentile`` on the
-  unpivoted values (one group per column, state = the group's distinct
-  values); ``binned`` selects ranks by :func:`value_at_ranks` instead, and
-  ``approx`` uses ``percentile_approx``;
+* :func:`exact_quantiles` -- integer columns: Spark's exact ``percentile``
+  on the unpivoted values (one group per column, state = the group's
+  distinct values); fractional columns: ranks selected by
+  :func:`value_at_ranks` over checkpointed value counts; ``approx`` uses
+  ``percentile_approx``;
 * :func:`value_at_ranks` -- distinct values with counts are placed in
   equal-width bins per group, bins are counted and prefix-summed on the small
   bin table, and only rows of the located bins are ranked, after a second
@@ -28,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from ..functions.names import qcol
 
-DEFAULT_BINS = 65536          # per binning level of the rank selection (two levels)
+DEFAULT_BINS = 65536          # per binning level of the rank selection
+MAX_BIN_VALUES = 1_000_000    # distinct values one located bin may hold before a 2nd level
 PREFIX_BINS = 1 << 20         # value bins of running sums: ~1e6 rows per bin at 1e12 rows
 HASH_BUCKET_BITS = 20         # hash buckets of ranks: same bound; only non-empty ones exist
 
@@ -51,43 +53,49 @@ def _locate(rows: DataFrame, keys: list[str], value: str, weight: str,
     binned = (rows.join(stats, keys)
               .withColumn("_bin", _bin_expr(value, "_lo", "_hi", bins))
               .drop("_lo", "_hi"))
-    per_bin = binned.groupBy(*keys, "_bin").agg(F.sum(weight).alias("_w"))
+    per_bin = binned.groupBy(*keys, "_bin").agg(F.sum(weight).alias("_w"),
+                                                F.count(F.lit(1)).alias("_nv"))
     order = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     per_bin = per_bin.withColumn("_before", F.coalesce(F.sum("_w").over(order), F.lit(0)))
     located = (targets.join(per_bin, keys)
                .where((F.col(rank) >= F.col("_before"))
                       & (F.col(rank) < F.col("_before") + F.col("_w")))
-               .select(*keys, rank, "_bin", "_before"))
-    candidates = binned.join(located, [*keys, "_bin"])
+               .select(*keys, rank, "_bin", "_before", "_nv"))
+    candidates = binned.join(located.drop("_nv"), [*keys, "_bin"])
     return candidates, located
 
 
 def value_at_ranks(rows: DataFrame, keys: Sequence[str], value: str, weight: str,
                    targets: DataFrame, rank: str = "rank",
-                   bins: int = DEFAULT_BINS) -> DataFrame:
+                   bins: int = DEFAULT_BINS, max_bin_values: int = MAX_BIN_VALUES) -> DataFrame:
     """Value at 0-based ``rank`` in ascending value order, weighted by ``weight``.
 
     ``rows`` holds (keys, value, weight) with distinct (keys, value);
     ``targets`` holds (keys, rank) with 0 <= rank < total weight of the key.
-    Returns (keys, rank, value).
+    Returns (keys, rank, value).  The located bins' sizes are read first (a
+    tiny action); a second binning level runs only when one of them holds
+    more than ``max_bin_values`` distinct values.
     """
     keys = list(keys)
     base = rows.select(*keys, value, weight)
     tg = targets.select(*keys, rank).distinct()
     # Level 1: bins over the whole key range.
-    cand1, loc1 = _locate(base, keys, value, weight, tg, rank, bins)
-    # Level 2: bins inside each located bin; the key now includes the target.
-    keys2 = [*keys, rank]
-    rows2 = cand1.select(*keys2, value, weight)
-    tg2 = loc1.select(*keys2, (F.col(rank) - F.col("_before")).alias("_r2"))
-    cand2, _ = _locate(rows2, keys2, value, weight, tg2, "_r2", bins)
-    # Exact pick: running weight inside the twice-located bin.
-    run = (Window.partitionBy(*keys2, "_bin").orderBy(value)
-           .rowsBetween(Window.unboundedPreceding, -1))
-    picked = (cand2
+    cand, loc = _locate(base, keys, value, weight, tg, rank, bins)
+    widest = loc.agg(F.max("_nv")).first()[0] or 0
+    pick_rank, part = rank, [*keys, rank, "_bin"]
+    if widest > max_bin_values:
+        # Level 2: bins inside each located bin; the key now includes the target.
+        keys2 = [*keys, rank]
+        rows2 = cand.select(*keys2, value, weight)
+        tg2 = loc.select(*keys2, (F.col(rank) - F.col("_before")).alias("_r2"))
+        cand, _ = _locate(rows2, keys2, value, weight, tg2, "_r2", bins)
+        pick_rank, part = "_r2", [*keys2, "_bin"]
+    # Exact pick: running weight inside the located bin.
+    run = Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    picked = (cand
               .withColumn("_run", F.coalesce(F.sum(weight).over(run), F.lit(0)) + F.col("_before"))
-              .where((F.col("_r2") >= F.col("_run"))
-                     & (F.col("_r2") < F.col("_run") + F.col(weight))))
+              .where((F.col(pick_rank) >= F.col("_run"))
+                     & (F.col(pick_rank) < F.col("_run") + F.col(weight))))
     return picked.select(*keys, rank, value)
 
 
@@ -101,34 +109,29 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
     return long.groupBy(*by, column, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), method: str = "percentile",
-                    bins: int = DEFAULT_BINS, accuracy: int = 10000) -> DataFrame:
-    """Linear-interpolation quantiles per (by, column), long form.
+def fractional_columns(df: DataFrame, cols: Sequence[str]) -> set[str]:
+    """Float / double / decimal columns: their distinct values can grow with the rows."""
+    from pyspark.sql.types import DecimalType, DoubleType, FloatType
+    return {f.name for f in df.schema.fields
+            if f.name in cols and isinstance(f.dataType, (FloatType, DoubleType, DecimalType))}
 
-    Same rule as pandas ``quantile`` / DuckDB ``quantile_cont``: with n
-    non-null values and h = (n - 1) p, the result is
-    v[floor h] + (h - floor h) (v[ceil h] - v[floor h]).
 
-    ``method``:
-      * ``percentile`` (default): Spark's exact ``percentile`` aggregate on the
-        unpivoted values, so every column is its own group and task; the
-        partial aggregate keeps a value -> count map, i.e. memory follows the
-        distinct values of a group, never its rows.
-      * ``binned``: exact rank selection by :func:`value_at_ranks` for
-        continuous columns whose distinct values do not fit one task.
-      * ``approx``: ``percentile_approx`` (bounded sketch, rank error n/accuracy).
-    Returns (by, column, prob, value); a column without values gives no row.
+def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                   method: str = "percentile", value: str = "value",
+                   bins: int = DEFAULT_BINS, accuracy: int = 10000) -> DataFrame:
+    """Quantiles of a long (keys, value) frame; returns (keys, prob, value).
+
+    ``percentile``: Spark's exact aggregate, state = distinct values of a key.
+    ``binned``: distinct values with counts are checkpointed once to the
+    shared folder (reliable, cuts the lineage the selection reads many times),
+    then ranks are selected by :func:`value_at_ranks` -- no key's values ever
+    meet in one task.  ``approx``: ``percentile_approx``.
     """
-    by = list(by)
-    keys = [*by, "column"]
+    keys = list(keys)
+    probs_arr = [float(p) for p in probs]
     if method in ("percentile", "approx"):
-        casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
-        long = (casted.unpivot(by, list(cols), "column", "value")
-                .where(F.col("value").isNotNull() & ~F.isnan("value")))
-        probs_arr = [float(p) for p in probs]
-        agg = (F.percentile("value", probs_arr) if method == "percentile"
-               else F.percentile_approx("value", probs_arr, accuracy))
+        agg = (F.percentile(value, probs_arr) if method == "percentile"
+               else F.percentile_approx(value, probs_arr, accuracy))
         per_key = long.groupBy(*keys).agg(agg.alias("_q"))
         zipped = F.arrays_zip(F.array(*[F.lit(p) for p in probs_arr]).alias("prob"),
                               F.col("_q").alias("value"))
@@ -136,10 +139,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 .select(*keys, F.col("_z.prob").alias("prob"), F.col("_z.value").alias("value")))
     if method != "binned":
         raise ValueError(f"unknown quantile method {method!r}")
-    vc = value_counts_long(df, cols, by)
+    from ..session import shared_dir
+    shared_dir(long.sparkSession)
+    vc = (long.groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
+          .checkpoint(eager=True))
     totals = vc.groupBy(*keys).agg(F.sum("cnt").alias("_n"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    tg = (totals.select(*keys, "_n", F.explode(probs_arr).alias("prob"))
+    tg = (totals.select(*keys, "_n", F.explode(F.array(*[F.lit(p) for p in probs_arr])).alias("prob"))
           .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("prob"))
           .withColumn("_lo", F.floor("_h").cast("long"))
           .withColumn("_hi", F.ceil("_h").cast("long")))
@@ -150,12 +155,59 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     out = (tg.join(lo, [*keys, "_lo"]).join(hi, [*keys, "_hi"])
            .withColumn("value", F.col("_vlo")
                        + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))))
-    return out.select(*keys, "prob", "value")
+    # keys x probs rows: checkpointed too, so consumers scan a small table
+    # instead of re-planning the selection.
+    return out.select(*keys, "prob", "value").checkpoint(eager=True)
+
+
+def quantiles_long_auto(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                        fractional: set[str], column: str = "column",
+                        method: str = "auto") -> DataFrame:
+    """:func:`quantiles_long` with ``auto``: ``binned`` for the fractional columns
+    (named in ``column``), ``percentile`` for the rest."""
+    if method != "auto":
+        return quantiles_long(long, keys, probs, method)
+    frac = sorted(fractional)
+    parts = []
+    is_frac = F.col(column).isin(*frac) if frac else F.lit(False)
+    parts.append(quantiles_long(long.where(~is_frac), keys, probs, "percentile"))
+    if frac:
+        parts.append(quantiles_long(long.where(is_frac), keys, probs, "binned"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    by: Sequence[str] = (), method: str = "auto",
+                    bins: int = DEFAULT_BINS, accuracy: int = 10000) -> DataFrame:
+    """Linear-interpolation quantiles per (by, column), long form.
+
+    Same rule as pandas ``quantile`` / DuckDB ``quantile_cont``: with n
+    non-null values and h = (n - 1) p, the result is
+    v[floor h] + (h - floor h) (v[ceil h] - v[floor h]).
+
+    ``method``: ``auto`` (default) uses the exact ``percentile`` aggregate for
+    integer and boolean columns -- one group per column, state = the group's
+    distinct values, bounded by the value range -- and the fully distributed
+    ``binned`` selection for fractional columns, whose distinct values can
+    grow with the rows; ``percentile``, ``binned`` or ``approx`` force one.
+    Returns (by, column, prob, value); a column without values gives no row.
+    """
+    by = list(by)
+    keys = [*by, "column"]
+    casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
+    long = (casted.unpivot(by, list(cols), "column", "value")
+            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    if method == "auto":
+        return quantiles_long_auto(long, keys, probs, fractional_columns(df, cols))
+    return quantiles_long(long, keys, probs, method, bins=bins, accuracy=accuracy)
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), names: Sequence[str] | None = None,
-                   method: str = "percentile") -> DataFrame:
+                   method: str = "auto") -> DataFrame:
     """Wide form of :func:`exact_quantiles`: one row per (by, column), one column per prob."""
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
     long = exact_quantiles(df, cols, probs, by, method=method)
@@ -164,7 +216,7 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return long.groupBy(*by, "column").agg(*aggs)
 
 
-def scalar_quantile(df: DataFrame, col: str, prob: float, method: str = "percentile") -> Column:
+def scalar_quantile(df: DataFrame, col: str, prob: float, method: str = "auto") -> Column:
     """A lazily evaluated scalar subquery holding one quantile of ``col``."""
     return exact_quantiles(df, [col], [prob], method=method).select("value").scalar()
 

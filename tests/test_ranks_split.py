@@ -95,3 +95,18 @@ def test_profiles_do_not_depend_on_partitioning(spark):
         for a, b in zip(one[k], many[k]):
             for x, y in zip(a, b):
                 assert (x == y) or (isinstance(x, float) and abs(x - y) < 1e-9), (k, a, b)
+
+
+def test_rank_selection_second_level(skewed):
+    from staylens.operators.ranks import value_at_ranks, value_counts_long
+    df, pdf = skewed
+    vc = value_counts_long(df, ["v"], ["k"])
+    totals = vc.groupBy("k", "column").agg(F.sum("cnt").alias("n"))
+    targets = totals.select("k", "column", (F.col("n") - 1).alias("rank")).unionByName(
+        totals.select("k", "column", F.lit(0).cast("long").alias("rank")))
+    for limit in (0, 10**6):  # 0 forces the second binning level
+        got = value_at_ranks(vc, ["k", "column"], "value", "cnt", targets,
+                             max_bin_values=limit).toPandas()
+        for k, grp in pdf.dropna(subset=["v"]).groupby("k"):
+            vals = got[got.k == k].set_index("rank")["value"]
+            assert vals.loc[0] == grp["v"].min() and vals.loc[len(grp) - 1] == grp["v"].max()
