@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .ranks import exact_quantiles, fractional_columns, quantiles_long_auto, scalar_quantile
 from ..functions.names import qcol
+from ..session import shared_dir
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -37,7 +38,11 @@ def trimmed_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     """Per column, values below that column's q-quantile over all rows."""
     long = long_values(df, cols, by)
     limits = (exact_quantiles(df, cols, [q]).select("column", F.col("value").alias("_lim")))
-    return long.join(limits, "column").where(F.col("value") < F.col("_lim")).drop("_lim")
+    trimmed = long.join(limits, "column").where(F.col("value") < F.col("_lim")).drop("_lim")
+    # Read several times downstream (quantiles, counts, fences): written once to
+    # the shared folder instead of re-deriving the source joins each time.
+    shared_dir(df.sparkSession)
+    return trimmed.checkpoint(eager=True)
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str], q: float = 0.99,
