@@ -48,3 +48,10 @@ def decontaminate_documents(spark, sf_dir):
 
     marked = op.annotate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return marked.select("doc_id", *[f"contamination.{c}" for c in op.KIND.names if c != "spans"])
+
+
+@query("op2_sentencepiece")
+def sentencepiece_documents(spark, sf_dir):
+    from . import sentencepiece_viterbi as op
+
+    return op.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
