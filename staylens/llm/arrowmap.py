@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -62,3 +63,30 @@ def add_struct(df: DataFrame, inputs: Sequence[str], keep: Sequence[str], name:
                                              names=[*batch.schema.names[n:], "made"])
 
     return narrow.mapInArrow(run, schema).toDF(*keep, name)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: list[str], least: int = 1) -> Iterator[pa.Table]:
+    """Whole groups of equal ``key`` from sorted batches, ``least`` rows or more at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, dtype=bool)
+        for k in key:
+            c = batch.column(k)
+            change[1:] |= ~np.asarray(c[1:].to_numpy(zero_copy_only=False) == c[:-1].to_numpy(zero_copy_only=False))
+        cut = np.flatnonzero(change)
+        if sum(b.num_rows for b in held) >= least and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in key):
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(cut):
+            last = int(cut[-1])
+            if last + sum(b.num_rows for b in held) >= least:
+                yield pa.Table.from_batches([*held, batch.slice(0, last)])
+                held = [batch.slice(last)]
+            else:
+                held.append(batch)
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -55,3 +55,18 @@ def sentencepiece_documents(spark, sf_dir):
     from . import sentencepiece_viterbi as op
 
     return op.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query("op6_ngram_jaccard_join")
+def near_copies(spark, sf_dir):
+    from . import jaccard_join as op
+
+    return op.documents(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_array_dedup")
+def repeated_passages(spark, sf_dir):
+    from . import suffix_dedup as op
+
+    made = op.deduplicate(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return made.select("doc_id", *[f"dedup.{c}" for c in op.KIND.names if c != "kept"])
