@@ -70,3 +70,12 @@ def repeated_passages(spark, sf_dir):
 
     made = op.deduplicate(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return made.select("doc_id", *[f"dedup.{c}" for c in op.KIND.names if c != "kept"])
+
+
+@query("op4_toxicity")
+def toxic_documents(spark, sf_dir):
+    from . import toxicity as op
+
+    docs = table(spark, sf_dir, "documents")
+    marked = op.annotate(docs, op.train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return marked.select("doc_id", op.held_out("doc_id").alias("held_out"), "toxicity.score", "toxicity.predicted")
