@@ -79,3 +79,10 @@ def toxic_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     marked = op.annotate(docs, op.train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
     return marked.select("doc_id", op.held_out("doc_id").alias("held_out"), "toxicity.score", "toxicity.predicted")
+
+
+@query("op3_fingerprints")
+def fingerprint_documents(spark, sf_dir):
+    from . import syncmers as op
+
+    return op.with_successors(table(spark, sf_dir, "documents"))
