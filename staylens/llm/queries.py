@@ -86,3 +86,10 @@ def fingerprint_documents(spark, sf_dir):
     from . import syncmers as op
 
     return op.with_successors(table(spark, sf_dir, "documents"))
+
+
+@query("op9_html_extraction")
+def main_texts(spark, sf_dir):
+    from . import html_density as op
+
+    return op.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("page_id", "url", "main.*")
