@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import license_scan
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -93,3 +95,9 @@ def main_texts(spark, sf_dir):
     from . import html_density as op
 
     return op.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("page_id", "url", "main.*")
+
+
+@query("op7_license_scan", license_scan.oracle())
+def license_labels(spark, sf_dir):
+    made = license_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return made.select("doc_id", "license.*")
