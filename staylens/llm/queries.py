@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license_scan
+from . import chat_windows, license_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +102,12 @@ def main_texts(spark, sf_dir):
 def license_labels(spark, sf_dir):
     made = license_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return made.select("doc_id", "license.*")
+
+
+@query("op5_chat_formatting", chat_windows.oracle())
+def formatted_conversations(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                    F.lit(chat_windows.PLANTED).alias("text"))
+    return chat_windows.read_back(chat_windows.windows(rows.unionByName(planted)))
