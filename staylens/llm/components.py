@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    # Shuffle files of what has been written are of no more use; Spark deletes them
+    # when it finds that nothing refers to them.
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.parquet(path)
 
 

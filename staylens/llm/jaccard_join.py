@@ -6,7 +6,8 @@ band of three values meet in a bucket; a pair's values are then compared a few
 at a time, and the pair is dropped as soon as the posterior probability that
 its similarity reaches 0.8 (uniform prior) falls below ``TOLERANCE``.  What
 remains spans candidate components, in which the exact similarity of all
-pairs is computed from their whole texts.
+pairs is computed from their whole texts.  (Comparisons use eight bits of each
+value: unequal values that look equal only let more pairs through.)
 
 A pair of similarity 0.8 shares no band with probability (1 - 0.8^3)^21, about
 3e-7, and is dropped in a comparison with a probability of at most about
@@ -45,8 +46,8 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-6
 #: MinHash values compared in one step.
 STEP = 9
-#: Classes and bytes of text in a block; two blocks are compared at a time.
-BLOCK, BLOCK_BYTES = 256, 4 << 20
+#: Classes of a bucket's block, classes and bytes of text of a component's block; two blocks are compared at a time.
+BUCKET, BLOCK, BLOCK_BYTES = 2048, 256, 4 << 20
 #: Similarity as a fraction: 0.8.
 NUMERATOR, DENOMINATOR = 4, 5
 
@@ -54,14 +55,14 @@ _FACTORS = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 KIND = (StructType().add("key", BinaryType()).add("n", LongType()).add("bytes", LongType())
-        .add("values", BinaryType()))
+        .add("values", BinaryType()).add("short", BinaryType()))
 
 
 def posterior(matches: int, of: int, threshold: float = NUMERATOR / DENOMINATOR) -> float:
     """P(similarity >= threshold | matches of so many values), uniform prior:
     a binomial tail, since the posterior is a Beta distribution."""
     n = of + 1
-    return sum(math.comb(n, k) * threshold ** k * (1 - threshold) ** (n - k) for k in range(matches + 1))
+    return math.fsum(math.comb(n, k) * threshold ** k * (1 - threshold) ** (n - k) for k in range(matches + 1))
 
 
 #: Values seen so far, and the matches below which a pair is dropped.
@@ -86,6 +87,7 @@ def _sketch(column: pa.Array, values: bool) -> pa.StructArray:
         else:
             key.append(hashlib.blake2b(texts[i].as_py() or b"", digest_size=16, key=b"wordless").digest())
     sketch: list[bytes | None] = [None] * len(sets)
+    short: list[bytes | None] = [None] * len(sets)
     some = np.flatnonzero(size)
     if values and len(some):
         every, begin = np.concatenate(sets), np.concatenate([[0], np.cumsum(size[some])[:-1]])
@@ -93,10 +95,10 @@ def _sketch(column: pa.Array, values: bool) -> pa.StructArray:
         for i, factor in enumerate(_FACTORS):
             least[:, i] = np.minimum.reduceat(((every * factor) >> np.uint64(32)).astype(np.uint32), begin)
         for r, i in enumerate(some.tolist()):
-            sketch[i] = least[r].tobytes()
+            sketch[i], short[i] = least[r].tobytes(), least[r].astype(np.uint8).tobytes()
     return pa.StructArray.from_arrays(
         [pa.array(key, pa.binary()), pa.array(size), pa.array([len(t.as_py() or b"") for t in texts], pa.int64()),
-         pa.array(sketch, pa.binary())], names=KIND.names)
+         pa.array(sketch, pa.binary()), pa.array(short, pa.binary())], names=KIND.names)
 
 
 def sketched(docs: DataFrame, text_col: str, keep: list[str], name: str, values: bool) -> DataFrame:
@@ -109,51 +111,49 @@ def sketched(docs: DataFrame, text_col: str, keep: list[str], name: str, values:
 
 # -- buckets -------------------------------------------------------------
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least index of each node's component."""
-    label = np.arange(n)
+def _forest(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least index of each node's component, when edges join those of ``label``."""
     while True:
         low = np.minimum(label[a], label[b])
         new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new][label]
         if np.array_equal(new, label):
             return label
         label = new
 
 
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a spanning forest of the pairs that no comparison drops, bucket by bucket."""
-    for table in whole_groups(batches, ["bucket", "i", "j"]):
+    """Edges of a spanning forest of the pairs that no comparison drops, bucket by bucket.
+
+    Rows come sorted by key within a bucket, so that buckets with the same
+    classes give the same edges.
+    """
+    for table in whole_groups(batches, ["bucket", "i", "j"], 20_000):
         bucket, i, j, block = (table.column(c).to_numpy() for c in ("bucket", "i", "j", "block"))
         change = (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         group = np.concatenate([[0], np.cumsum(change)])
         size = np.bincount(group)[group]
-        values = np.frombuffer(b"".join(table.column("values").to_pylist()), dtype="<u4").reshape(-1, HASHES)
-        band = table.column("band").to_numpy()
-        left, right = [], []
+        values = np.frombuffer(b"".join(table.column("short").to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
+        label = np.arange(len(group))
         for shift in range(1, int(size.max(initial=0))):
-            a = np.flatnonzero(size[:-shift] > shift) if shift < len(size) else np.zeros(0, np.int64)
+            a = np.flatnonzero(size[:-shift] > shift)
             a = a[group[a] == group[a + shift]]
             a = a[(i[a] == j[a]) | (block[a] != block[a + shift])]
-            for part in np.array_split(a, max(1, len(a) // 50_000)):
-                b, seen = part + shift, np.zeros(len(part), np.int64)
-                for of, need in CHECKS:
-                    seen += (values[part, of - STEP:of] == values[b, of - STEP:of]).sum(axis=1)
-                    stay = seen >= need
-                    part, b, seen = part[stay], b[stay], seen[stay]
-                # A pair counts in the first band that it shares.
-                same = (values[part] == values[b]).reshape(-1, BANDS, ROWS).all(axis=2)
-                first = same.argmax(axis=1) == band[part]
-                left.append(part[first])
-                right.append(b[first])
-        if not left:
-            continue
-        label = _forest(len(group), np.concatenate(left), np.concatenate(right))
+            a = a[label[a] != label[a + shift]]          # others are connected by now
+            b, seen = a + shift, np.zeros(len(a), np.int64)
+            for of, need in CHECKS:
+                seen += (values[a, of - STEP:of] == values[b, of - STEP:of]).sum(axis=1)
+                stay = seen >= need
+                a, b, seen = a[stay], b[stay], seen[stay]
+            if len(a):
+                label = _forest(label, a, b)
         node = np.flatnonzero(label != np.arange(len(label)))
-        keys = table.column("key").combine_chunks()
-        yield pa.RecordBatch.from_arrays([keys.take(pa.array(node)), keys.take(pa.array(label[node]))], names=["a", "b"])
+        if len(node):
+            keys = table.column("key").combine_chunks()
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(node)), keys.take(pa.array(label[node]))],
+                                             names=["a", "b"])
 
 
 def _blocked(df: DataFrame, blocks: str, node: str) -> DataFrame:
@@ -168,15 +168,14 @@ def _blocked(df: DataFrame, blocks: str, node: str) -> DataFrame:
 def candidate_edges(classes: DataFrame) -> DataFrame:
     """Edges (a, b) between keys; their components hold every pair that survives the comparisons."""
     small_batches(classes)
-    with_values = classes.where("n > 0").select("key", "values")
-    band = F.posexplode(F.array(*[F.xxhash64(F.lit(b), F.substring("values", 4 * ROWS * b + 1, 4 * ROWS))
-                                  for b in range(BANDS)])).alias("band", "bucket")
-    bands = with_values.select("key", "values", band)
+    band = F.explode(F.array(*[F.xxhash64(F.lit(b), F.substring("values", 4 * ROWS * b + 1, 4 * ROWS))
+                               for b in range(BANDS)])).alias("bucket")
+    bands = classes.where("n > 0").select("key", band)
     shared = (bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-              .select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")))
-    rows = _blocked(bands.join(shared, "bucket"), "blocks", "key")
-    return (rows.select("bucket", "i", "j", "block", "band", "key", "values")
-            .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+              .select("bucket", F.ceil(F.col("size") / BUCKET).alias("blocks")))
+    met = bands.join(shared, "bucket").join(classes.select("key", "short"), "key")
+    return (_blocked(met, "blocks", "key").select("bucket", "i", "j", "block", "key", "short")
+            .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
             .mapInArrow(_survivors, "a binary, b binary"))
 
 
@@ -228,7 +227,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(a):
                 continue
             links = np.bincount(a, minlength=len(one)) + np.bincount(b, minlength=len(one))
-            label = _forest(len(one), a, b)
+            label = _forest(np.arange(len(one)), a, b)
             node = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([keys[one[x]] for x in node], pa.binary()),
@@ -247,7 +246,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     sketch = written(sketched(source, "text", ["id"], "s", True).select("id", "s.*"), "sketch")
     classes = written(sketch.groupBy("key").agg(
         F.min("id").alias("class_id"), F.count("*").alias("n_copies"), F.first("n").alias("n"),
-        F.max("bytes").alias("bytes"), F.first("values").alias("values")), "classes")
+        F.max("bytes").alias("bytes"), F.first("values").alias("values"), F.first("short").alias("short")), "classes")
     found = components(candidate_edges(classes))
     sizes = found.join(classes.select(F.col("key").alias("node"), "bytes"), "node").groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
