@@ -111,3 +111,10 @@ def formatted_conversations(spark, sf_dir):
                                     F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                     F.lit(chat_windows.PLANTED).alias("text"))
     return chat_windows.read_back(chat_windows.windows(rows.unionByName(planted)))
+
+
+@query("op10_pii")
+def personal_data(spark, sf_dir):
+    from . import pii_bootstrap as op
+
+    return op.report(table(spark, sf_dir, "documents"))
