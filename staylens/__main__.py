@@ -3,7 +3,7 @@
     python -m staylens preprocess --input bookings.csv --out OUT [--target is_canceled]
     python -m staylens profile    --input bookings.csv --out OUT
     python -m staylens train      --train OUT/train_processed --test OUT/test_processed --out OUT/models
-                                  [--model Auto|RandomForest|...] [--quick]
+                                  [--model Auto|RandomForest|...] [--fit-rows N]
     python -m staylens score      --model OUT/models/best_model --input records.json --out OUT/scored
 """
 
@@ -38,7 +38,7 @@ def main(argv=None) -> None:
     t.add_argument("--n-iter", type=int, default=10)
     t.add_argument("--cv", type=int, default=5)
     t.add_argument("--seed", type=int, default=42)
-    t.add_argument("--quick", action="store_true", help="small forests / few rounds")
+    t.add_argument("--fit-rows", type=int, default=None, help="labelled rows of a fit, about, at most")
     s = sub.add_parser("score")
     s.add_argument("--model", required=True)
     s.add_argument("--input", required=True)
@@ -54,8 +54,7 @@ def main(argv=None) -> None:
     elif args.cmd == "profile":
         print(jobs.profile_job(spark, jobs.read_input(spark, args.input), args.out))
     elif args.cmd == "train":
-        cfg = SearchConfig(n_iter=args.n_iter, folds=args.cv, seed=args.seed,
-                           grid="quick" if args.quick else "full")
+        cfg = SearchConfig(n_iter=args.n_iter, folds=args.cv, seed=args.seed, fit_rows=args.fit_rows)
         jobs.train_job(spark, args.train, args.test, args.out, args.target, args.model, cfg).show(
             truncate=False)
     elif args.cmd == "score":

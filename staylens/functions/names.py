@@ -6,16 +6,12 @@ import re
 
 from pyspark.sql import DataFrame
 
-# A name keeps only ASCII letters, digits and "_"; any other
-# run of characters becomes one "_"; repeated "_" collapse; leading and
-# trailing "_" go; the result is lower case.
-_OTHER_CHARS = re.compile(r"[^A-Za-z0-9_]+")
-_UNDERSCORE_RUN = re.compile(r"_+")
+_RUN = re.compile("[A-Za-z0-9]+")
 
 
 def clean_name(name: object) -> str:
-    text = _OTHER_CHARS.sub("_", str(name).strip())
-    return _UNDERSCORE_RUN.sub("_", text).strip("_").lower()
+    """The runs of ASCII letters and digits in a name, in lower case, joined by ``_``."""
+    return "_".join(_RUN.findall(str(name))).lower()
 
 
 def clean_columns(df: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def kde_grid(long: DataFrame, keys: Sequence[str], points: int = 200, prebins: i
     Values are first counted into ``prebins`` equal bins (centres carry the
     counts), so the grid is evaluated against at most ``prebins`` centres per
     key -- a bounded array folded with ``aggregate`` -- never against rows.
-    Each key's curve integrates to 1.
+    A curve over its whole range integrates to 1; a constant column has a null density.
     """
     keys = list(keys)
     lo, hi = _range_cols(F.min("value"), F.max("value"))
@@ -128,9 +128,9 @@ def kde_grid(long: DataFrame, keys: Sequence[str], points: int = 200, prebins: i
     grid = grid.withColumn("x", x)
     total = F.aggregate("_cells", F.lit(0.0),
                         lambda acc, cell: acc + cell["c"] * F.exp(
-                            F.lit(-0.5) * F.pow((F.col("x") - cell["x"]) / F.col("_bw"), 2)))
+                            F.lit(-0.5) * F.pow(F.try_divide(F.col("x") - cell["x"], F.col("_bw")), 2)))
     norm = F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
-    return grid.select(*keys, "point", "x", (total / norm).alias("density"))
+    return grid.select(*keys, "point", "x", F.try_divide(total, norm).alias("density"))
 
 
 def density(df: DataFrame, cols: Sequence[str], points: int = 200, prebins: int = 1024,

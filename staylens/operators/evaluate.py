@@ -23,8 +23,9 @@ def pair_counts(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
     """(actual, predicted, count) over every pair of classes seen in labels or predictions."""
     counts = pair_counts(df, label_col, pred_col)
-    classes = counts.select(F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-        F.array("actual", "predicted"))))).alias("_cls"))
+    # One row a class before they meet in an array.
+    classes = (counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct()
+               .agg(F.array_sort(F.collect_list("c")).alias("_cls")))
     grid = (classes.select(F.explode("_cls").alias("actual"), "_cls")
             .select("actual", F.explode("_cls").alias("predicted")))
     return (grid.join(counts, ["actual", "predicted"], "left")
@@ -89,7 +90,7 @@ def roc_curve(df: DataFrame, label_col: str, score_col: str, pos_label=1,
     With ``drop_intermediate`` a point is kept only when the slope changes
     on either side of it (the first and last points always stay); for
     distinct scores that is: its (pos, neg) counts differ from the next
-    score's counts.
+    score's counts.  With one class only, the rate of the other is null.
     """
     per = score_counts(df, label_col, score_col, pos_label)
     cum = cumulative_by_value(per, [], "score", ["pos", "neg"], descending=True, with_next=True)
@@ -106,16 +107,16 @@ def roc_curve(df: DataFrame, label_col: str, score_col: str, pos_label=1,
         bend = (F.col("pos_next") != F.col("pos")) | (F.col("neg_next") != F.col("neg"))
         keep = first | last | bend
     curve = pts.where(keep).select(F.col("score").alias("threshold"),
-                                   (fps / F.col("_N")).alias("fpr"),
-                                   (tps / F.col("_P")).alias("tpr"))
+                                   F.try_divide(fps, F.col("_N")).alias("fpr"),
+                                   F.try_divide(tps, F.col("_P")).alias("tpr"))
     start = totals.select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
                           F.lit(0.0).alias("tpr"))
     return start.unionByName(curve)
 
 
 def roc_auc(df: DataFrame, label_col: str, score_col: str, pos_label=1) -> DataFrame:
-    """Trapezoid area under the ROC curve (dropping collinear points does not change it)."""
+    """Trapezoid area under the ROC curve (dropping collinear points does not change it); null for one class."""
     per = score_counts(df, label_col, score_col, pos_label)
     cum = cumulative_by_value(per, [], "score", ["pos", "neg"], descending=True)
     area = F.sum(F.col("neg") * (F.lit(2.0) * F.col("pos_before") + F.col("pos")))
-    return cum.agg((area / (F.lit(2.0) * F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return cum.agg(F.try_divide(area, F.lit(2.0) * F.sum("pos") * F.sum("neg")).alias("auc"))

@@ -30,9 +30,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import categorical_columns, numeric_columns
+from ..functions.features import categorical_columns, nan_to_null, numeric_columns
 from ..functions.names import clean_name, clean_columns
-from .columns import check_raw_input, prepare_raw, required_raw_columns
+from .columns import check_schema, prepare_raw, raw_inputs
 from .encode import DEFAULT_MAX_CATEGORIES, category_counts, collect_categories, onehot_name
 from .impute import UNKNOWN, numeric_fill_values
 from .scale import indicator_stats, scaled, scaler_stats
@@ -122,7 +122,7 @@ class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         self._set(**kwargs)
 
     def _fit(self, df: DataFrame) -> "BookingPreprocessorModel":
-        prepared, raw, _ = self._prepared(df)
+        prepared, raw, _ = self._prepared(nan_to_null(df))
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             state = self._fit_state(prepared, raw)
@@ -175,8 +175,7 @@ class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
                 stats[onehot_name(c, cat)] = indicator_stats(n, filled_counts[cat])
         features = list(nums) + [onehot_name(c, k) for c in cats for k in categories[c]]
         return {"raw_columns": raw,
-                "required_raw_columns": required_raw_columns(
-                    raw, self.getOrDefault(self.dropColumns) or None),
+                "required_raw_columns": raw_inputs(raw, self.getOrDefault(self.dropColumns) or None),
                 "numeric": nums, "categorical": cats, "fill": fill,
                 "categories": categories, "stats": stats, "features": features,
                 "rows": n}
@@ -224,7 +223,7 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         return exprs
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        cleaned = clean_columns(df)
+        cleaned = clean_columns(nan_to_null(df))
         keep = self._keep(cleaned.columns)
         # Kept columns ride along in the same projection; fitted names never include them.
         prepared = prepare_raw(cleaned, self.getOrDefault(self.dropColumns) or None,
@@ -237,4 +236,4 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         return out
 
     def check_raw(self, df: DataFrame) -> None:
-        check_raw_input(df, self.required_raw_columns)
+        check_schema(df, self.required_raw_columns)

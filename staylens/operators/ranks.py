@@ -286,6 +286,11 @@ def hash_ranks(df: DataFrame, partition: Sequence[str], hash_col: str, tie: Sequ
                    F.lit(0)).alias("_before"),
         F.sum("_c").over(Window.partitionBy(*partition)).alias("_n"))
     inner = Window.partitionBy(*partition, "_bucket").orderBy(hash_col, *tie)
-    return (with_b.join(prefix, [*partition, "_bucket"])
+    # A null key is a key of its own: the join must not lose its rows.
+    small = prefix.toDF(*[f"_k{i}" for i in range(len(partition))], "_kb", "_before", "_n")
+    same = F.col("_bucket").eqNullSafe(F.col("_kb"))
+    for i, c in enumerate(partition):
+        same = same & qcol(c).eqNullSafe(F.col(f"_k{i}"))
+    return (with_b.join(small, same)
             .withColumn("_rank", F.col("_before") + F.row_number().over(inner) - 1)
-            .drop("_bucket", "_before"))
+            .drop("_bucket", "_before", "_kb", *[f"_k{i}" for i in range(len(partition))]))

@@ -1,25 +1,28 @@
 """Tree-ensemble classifiers, randomized search over stratified folds, importances.
 
-Four presets, each a ``pyspark.ml`` tree ensemble plus a parameter grid:
+Four presets, each a ``pyspark.ml`` tree ensemble with a grid in its own parameters:
 
 * ``random_forest``      RandomForestClassifier
-* ``boost_symmetric``    GBTClassifier over depth / step / rounds
-* ``boost_leafwise``     GBTClassifier; a leaf budget maps to depth ceil(log2 leaves)
-* ``boost_depthwise``    GBTClassifier over rounds / step / depth / row subsampling
+* ``boost_symmetric``    GBTClassifier over depth, step and rounds
+* ``boost_leafwise``     GBTClassifier; depths that hold a budget of 31, 63 and 127 leaves
+* ``boost_depthwise``    GBTClassifier over rounds, step, depth and row subsampling
 
 A search draws ``n_iter`` grid points without replacement (seeded), scores
 each by mean accuracy over the stratified fold column and refits the best
 point on all training rows.  All (point, fold) fits run concurrently from a
 driver thread pool (``parallelism``); every fit is a distributed job.
+
+``fit_rows`` bounds the labelled rows of a fit: about so many are chosen by
+the hash of their features, the same ones each time.  Trees are built on the
+driver and grow with their rows, so large inputs need the bound.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 import random
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -30,29 +33,15 @@ from pyspark.sql import functions as F
 
 DEPTH_CAP = 30  # deepest tree Spark grows; an unlimited depth maps here.
 
-# Search grids of the four presets.
-FULL_GRIDS = {
-    "boost_symmetric": {"depth": [4, 6, 8], "learning_rate": [0.01, 0.05, 0.1],
-                        "rounds": [200, 500]},
-    "boost_leafwise": {"num_leaves": [31, 63, 127], "learning_rate": [0.01, 0.05, 0.1],
-                       "rounds": [200, 500]},
-    "random_forest": {"n_estimators": [100, 200], "max_depth": [None, 10, 20],
-                      "min_samples_split": [2, 5], "min_samples_leaf": [1, 2],
-                      "bootstrap": [True, False]},
-    "boost_depthwise": {"rounds": [100, 200, 300], "learning_rate": [0.01, 0.1, 0.2],
-                        "max_depth": [3, 6, 10], "subsample": [0.7, 0.8, 1.0]},
-}
-# Same shape with small forests and few rounds: for checks and local runs.
-QUICK_GRIDS = {
-    "boost_symmetric": {"depth": [4, 6, 8], "learning_rate": [0.05, 0.1, 0.3],
-                        "rounds": [5, 10]},
-    "boost_leafwise": {"num_leaves": [31, 63, 127], "learning_rate": [0.05, 0.1, 0.3],
-                       "rounds": [5, 10]},
-    "random_forest": {"n_estimators": [10, 20], "max_depth": [None, 5, 10],
-                      "min_samples_split": [2, 5], "min_samples_leaf": [1, 2],
-                      "bootstrap": [True, False]},
-    "boost_depthwise": {"rounds": [5, 10, 15], "learning_rate": [0.1, 0.2, 0.3],
-                        "max_depth": [3, 6, 10], "subsample": [0.7, 0.8, 1.0]},
+# Search grids of the four presets.  A minimum of 2 or 5 rows to split
+# and of 1 or 2 rows in a leaf comes to a minimum of 1, 2 or 3 rows in a leaf.
+GRIDS = {
+    "boost_symmetric": {"maxDepth": [4, 6, 8], "stepSize": [0.01, 0.05, 0.1], "maxIter": [200, 500]},
+    "boost_leafwise": {"maxDepth": [5, 6, 7], "stepSize": [0.01, 0.05, 0.1], "maxIter": [200, 500]},
+    "random_forest": {"numTrees": [100, 200], "maxDepth": [DEPTH_CAP, 10, 20],
+                      "minInstancesPerNode": [1, 2, 3], "bootstrap": [True, False]},
+    "boost_depthwise": {"maxIter": [100, 200, 300], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 6, 10],
+                        "subsamplingRate": [0.7, 0.8, 1.0]},
 }
 # Order of automatic selection (first wins ties).
 MODEL_ORDER = ("boost_symmetric", "boost_leafwise", "random_forest", "boost_depthwise")
@@ -63,8 +52,8 @@ ALIASES = {"CatBoost": "boost_symmetric", "LightGBM": "boost_leafwise",
 
 def resolve(name: str) -> str:
     key = ALIASES.get(name, name)
-    if key not in FULL_GRIDS:
-        raise ValueError(f"Unsupported model name: {name}")
+    if key not in GRIDS:
+        raise ValueError(f"no preset {name!r}; there are {', '.join(GRIDS)}")
     return key
 
 
@@ -73,13 +62,13 @@ class SearchConfig:
     n_iter: int = 10
     folds: int = 5
     seed: int = 42
-    grid: str = "full"           # "full" or "quick"
+    fit_rows: int | None = None   # labelled rows of a fit at most, about; None: all
     parallelism: int = 4          # concurrent fits (each one a distributed job)
     engine: str = "fold_parallel"  # or "cross_validator" (folds one after another)
     label_col: str = "label"
     features_col: str = "features"
     fold_col: str = "fold"
-    extra: dict = field(default_factory=dict)
+    grids: dict | None = None     # other grids than GRIDS, in the same shape
 
 
 def grid_points(grid: dict[str, list]) -> list[dict]:
@@ -103,23 +92,20 @@ def build(name: str, point: dict, cfg: SearchConfig):
     # every row through the whole tree at each level (checkpointed every 10).
     common = dict(labelCol=cfg.label_col, featuresCol=cfg.features_col, seed=cfg.seed,
                   cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
-    if name == "random_forest":
-        depth = point["max_depth"] if point["max_depth"] is not None else DEPTH_CAP
-        min_node = max(point["min_samples_leaf"], math.ceil(point["min_samples_split"] / 2))
-        return RandomForestClassifier(numTrees=point["n_estimators"], maxDepth=depth,
-                                      minInstancesPerNode=min_node, bootstrap=point["bootstrap"],
-                                      featureSubsetStrategy="sqrt", **common)
-    if name == "boost_symmetric":
-        return GBTClassifier(maxDepth=point["depth"], stepSize=point["learning_rate"],
-                             maxIter=point["rounds"], **common)
-    if name == "boost_leafwise":
-        depth = max(1, math.ceil(math.log2(point["num_leaves"])))
-        return GBTClassifier(maxDepth=depth, stepSize=point["learning_rate"],
-                             maxIter=point["rounds"], **common)
-    if name == "boost_depthwise":
-        return GBTClassifier(maxDepth=point["max_depth"], stepSize=point["learning_rate"],
-                             maxIter=point["rounds"], subsamplingRate=point["subsample"], **common)
-    raise ValueError(f"Unsupported model name: {name}")
+    if resolve(name) == "random_forest":
+        return RandomForestClassifier(featureSubsetStrategy="sqrt", **common, **point)
+    return GBTClassifier(**common, **point)
+
+
+def bounded(train: DataFrame, cfg: SearchConfig) -> DataFrame:
+    """About ``fit_rows`` rows, chosen by a hash of their features; all rows without the bound."""
+    if cfg.fit_rows is None:
+        return train
+    total = train.count()
+    if total <= cfg.fit_rows:
+        return train
+    place = F.pmod(F.xxhash64(vector_to_array(F.col(cfg.features_col)), F.lit(cfg.seed)), F.lit(1 << 30))
+    return train.where(place < F.lit(int((1 << 30) * cfg.fit_rows / total)))
 
 
 def search(name: str, train: DataFrame, cfg: SearchConfig):
@@ -134,8 +120,8 @@ def search(name: str, train: DataFrame, cfg: SearchConfig):
     only the points of one fold concurrently.  Both give the same scores.
     """
     name = resolve(name)
-    grids = QUICK_GRIDS if cfg.grid == "quick" else FULL_GRIDS
-    points = sample_points(grids[name], cfg.n_iter, cfg.seed)
+    train = bounded(train, cfg)
+    points = sample_points((cfg.grids or GRIDS)[name], cfg.n_iter, cfg.seed)
     evaluator = MulticlassClassificationEvaluator(labelCol=cfg.label_col, metricName="accuracy")
     if cfg.engine == "cross_validator":
         base = build(name, points[0], cfg)

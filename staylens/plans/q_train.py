@@ -1,28 +1,34 @@
-"""Training, selection, comparison and scoring queries (rows-only checks; own tests).
+"""Evaluation store, comparison and scoring queries.
 
-A model search is not SQL.  One quick auto-selection run per process and
-data directory writes evaluations, ROC tables, importances and the best
-scoring pipeline to the shared folder; the queries below read those tables.
-The quick grid has the preset shapes with small forests and few rounds.
+A model search is not SQL and takes hours, so it is a job (:mod:`jobs`) and
+not a query.  The comparison queries run the same evaluation store over three
+stated scores of all bookings, so their rows have an oracle.  Two queries fit
+one stated point of the random forest's grid and are checked rows-only.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators.columns import DEFAULT_DROP
-from ..operators.train import SearchConfig
-from ..sources.files import flatten_evaluation, load_pipeline, read_evaluations
+from ..operators.train import SearchConfig, bounded, build, importance_table
+from ..session import scratch_path, shared_dir
+from ..sources.files import flatten_evaluation, read_evaluations
 from ..sources.tables import bookings, with_signal_label
-from .catalog import register
+from .catalog import r6, register
+from .oracle import with_ctes
 from .scoring import score_frame
-from .training import auto_select, prepare_training_data
+from .training import SUMMARY_COLS, evaluate_scores, prepare_training_data, summary_frame
 
-QUICK = SearchConfig(n_iter=2, folds=3, grid="quick", parallelism=4)
 ID, LABEL = "booking_id", "label_signal"
-_RUNS: dict[str, dict] = {}
+#: Stated scores: (id * a) mod m, over m - 1; prediction 1 from 0.5 on.  The CV score stands for one.
+SCORERS = {"by_101": (1, 101, 0.5), "by_89": (7, 89, 0.25), "by_97": (3, 97, 0.75)}
+#: A point of the random forest's grid, fitted on so many rows at most, about.
+POINT = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 1, "bootstrap": True}
+FIT = SearchConfig(fit_rows=20_000)
 
 
 def training_raw(spark, sf_dir):
@@ -30,77 +36,118 @@ def training_raw(spark, sf_dir):
     return with_signal_label(bookings(spark, sf_dir)).drop("is_canceled")
 
 
-def selection_run(spark, sf_dir) -> dict:
-    if sf_dir not in _RUNS:
-        data = prepare_training_data(spark, training_raw(spark, sf_dir), LABEL, ID,
-                                     test_size=0.3, folds=QUICK.folds,
-                                     drop=list(DEFAULT_DROP))
-        summary, best, pipeline = auto_select(spark, data, QUICK)
-        summary.write.mode("overwrite").parquet(os.path.join(data.base, "summary"))
-        _RUNS[sf_dir] = {"base": data.base, "best": best}
-    return _RUNS[sf_dir]
-
-
-@register("model_selection_summary")
-def model_selection_summary(spark, sf_dir):
-    """One row per preset (CV score, accuracy, per-class P/R/F1, macro F1), best first."""
-    run = selection_run(spark, sf_dir)
-    return spark.read.parquet(os.path.join(run["base"], "summary")).orderBy(
-        F.desc("Best_CV_Score"), "Model")
-
-
-@register("feature_importance_top5")
-def feature_importance_top5(spark, sf_dir):
-    """Top 5 importances of the selected model (a top-k report)."""
-    run = selection_run(spark, sf_dir)
-    imp = (spark.read.option("header", True).schema("feature string, importance double")
-           .csv(os.path.join(run["base"], "importance", run["best"])))
-    return imp.orderBy(F.desc("importance"), "feature").limit(5)
+def stored_evaluations(spark, sf_dir) -> tuple[str, list[dict]]:
+    """Evaluates every stated score over all bookings; (folder, summary rows)."""
+    base = scratch_path(spark, "evaluations")
+    rows = bookings(spark, sf_dir).select(F.col(ID), F.col("is_canceled").cast("double").alias("label"))
+    found = []
+    for name, (a, m, cv) in SCORERS.items():
+        scored = rows.withColumn("score", ((F.col(ID) * a) % m) / F.lit(float(m - 1)))
+        scored = scored.withColumn("prediction", (F.col("score") >= 0.5).cast("double"))
+        found.append(evaluate_scores(spark, name, scored, cv, base))
+    return base, found
 
 
 def _evaluations(spark, sf_dir):
-    run = selection_run(spark, sf_dir)
-    return read_evaluations(spark, os.path.join(run["base"], "evaluations", "*"))
+    base, _ = stored_evaluations(spark, sf_dir)
+    return read_evaluations(spark, os.path.join(base, "evaluations", "*"))
+
+
+_SCORES = ",\n".join(f"  SELECT '{n}' AS m, CAST({cv} AS DOUBLE) AS cv, is_canceled AS y, (booking_id * {a} % {k}) / {float(k - 1)} AS s "
+                    "FROM bookings" + (" UNION ALL" if i < len(SCORERS) - 1 else "")
+                    for i, (n, (a, k, cv)) in enumerate(SCORERS.items())).replace(",\n", "\n")
+_CTES = (f"""
+sc AS (SELECT m, cv, y, s, CAST(s >= 0.5 AS INT) AS p FROM (
+{_SCORES}))""", """
+pc AS (SELECT m, cv, c, count(*) FILTER (WHERE y = c AND p = c) AS tp, count(*) FILTER (WHERE p = c) AS np,
+  count(*) FILTER (WHERE y = c) AS na FROM sc, (VALUES (0), (1)) k(c) GROUP BY m, cv, c)""", """
+pr AS (SELECT *, CASE WHEN np = 0 THEN 0.0 ELSE tp / np END AS pre, CASE WHEN na = 0 THEN 0.0 ELSE tp / na END AS rec FROM pc)""", """
+f1 AS (SELECT *, CASE WHEN pre + rec = 0 THEN 0.0 ELSE 2 * pre * rec / (pre + rec) END AS f FROM pr)""", """
+su AS (SELECT m, cv, sum(tp) / sum(na) AS acc, avg(f) AS macro FROM f1 GROUP BY m, cv)""", """
+g AS (SELECT m, s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg FROM sc GROUP BY m, s)""", """
+cu AS (SELECT m, s, pos, neg, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, lead(pos) OVER w AS pn, lead(neg) OVER w AS nn,
+  row_number() OVER w AS i FROM g WINDOW w AS (PARTITION BY m ORDER BY s DESC))""", """
+au AS (SELECT m, sum(pos) AS tp, sum(neg) AS tn, sum(neg * (2.0 * (tps - pos) + pos)) / (2.0 * sum(pos) * sum(neg)) AS auc
+  FROM cu GROUP BY m)""")
+
+
+@register("model_selection_summary", with_ctes("""
+SELECT su.m AS "Model", round(su.cv, 6) AS "Best_CV_Score", round(acc, 6) AS "Accuracy",
+  round(a.pre, 6) AS "Precision_0", round(a.rec, 6) AS "Recall_0", round(a.f, 6) AS "F1_Score_0",
+  round(b.pre, 6) AS "Precision_1", round(b.rec, 6) AS "Recall_1", round(b.f, 6) AS "F1_Score_1", round(macro, 6) AS "Macro_Avg_F1"
+FROM su JOIN f1 a ON a.m = su.m AND a.c = 0 JOIN f1 b ON b.m = su.m AND b.c = 1""", *_CTES))
+def model_selection_summary(spark, sf_dir):
+    """One row per evaluation (CV score, accuracy, per-class precision / recall / F1, macro F1)."""
+    table = summary_frame(spark, stored_evaluations(spark, sf_dir)[1])
+    return table.select("Model", *[r6(c).alias(c) for c in SUMMARY_COLS if c != "Model"])
 
 
-@register("accuracy_ranking")
+@register("accuracy_ranking", with_ctes("SELECT m AS model_name, round(acc, 6) AS accuracy FROM su", *_CTES))
 def accuracy_ranking(spark, sf_dir):
-    return _evaluations(spark, sf_dir).select("model_name", "accuracy").orderBy(
+    return _evaluations(spark, sf_dir).select("model_name", r6("accuracy").alias("accuracy")).orderBy(
         F.desc("accuracy"), "model_name")
 
 
-@register("roc_comparison")
+@register("roc_comparison", with_ctes("""
+SELECT au.m AS model_name, CAST('inf' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr, round(auc, 6) AS auc
+FROM au
+UNION ALL SELECT au.m, round(s, 6), round(fps / tn, 6), round(tps / tp, 6), round(auc, 6) FROM cu JOIN au ON au.m = cu.m
+WHERE i = 1 OR pn IS NULL OR pn <> pos OR nn <> neg""", *_CTES))
 def roc_comparison(spark, sf_dir):
-    """ROC points of every stored evaluation with its AUC, as one long table."""
-    ev = _evaluations(spark, sf_dir).select("model_name", "auc", "roc_path").collect()
-    frames = [spark.read.parquet(r["roc_path"]).select(
-        F.lit(r["model_name"]).alias("model_name"), "threshold", "fpr", "tpr",
-        F.lit(r["auc"]).alias("auc")) for r in ev]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-@register("confusion_long")
+    """ROC points of every stored evaluation with its AUC; evaluations without points are left out."""
+    out = spark.createDataFrame([], "model_name string, threshold double, fpr double, tpr double, auc double")
+    for r in _evaluations(spark, sf_dir).where("roc_path IS NOT NULL").select("model_name", "auc", "roc_path").collect():
+        out = out.unionByName(spark.read.parquet(r["roc_path"]).select(
+            F.lit(r["model_name"]).alias("model_name"), "threshold", "fpr", "tpr", F.lit(r["auc"]).alias("auc")))
+    return out.select("model_name", *[r6(c).alias(c) for c in ("threshold", "fpr", "tpr", "auc")])
+
+
+@register("confusion_long", with_ctes("""
+SELECT m AS model_name, CAST(a AS INT) AS actual, CAST(b AS INT) AS predicted, count(*) FILTER (WHERE y = a AND p = b) AS "count"
+FROM sc, (VALUES (0), (1)) i(a), (VALUES (0), (1)) j(b) GROUP BY m, a, b""", *_CTES))
 def confusion_long(spark, sf_dir):
-    """Confusion matrices of all models as (model_name, actual, predicted, count)."""
+    """Confusion matrices of all evaluations as (model_name, actual, predicted, count)."""
     ev = _evaluations(spark, sf_dir)
     rows = ev.select("model_name", F.posexplode("confusion_matrix").alias("actual", "_row"))
     return rows.select("model_name", "actual",
                        F.posexplode("_row").alias("predicted", "count"))
 
 
-@register("evaluation_flatten")
+@register("evaluation_flatten", with_ctes("""
+SELECT m AS model_name, 'best_cv_score' AS "key", NULL AS sub_key, round(cv, 6) AS number, NULL AS note FROM su
+UNION ALL SELECT m, 'accuracy', NULL, round(acc, 6), NULL FROM su
+UNION ALL SELECT m, 'auc', NULL, round(auc, 6), NULL FROM au
+UNION ALL SELECT m, 'confusion_matrix', NULL, NULL, 'List with 2 items' FROM su
+UNION ALL SELECT m, 'report', CAST(c AS VARCHAR), round(f, 6), NULL FROM f1
+UNION ALL SELECT m, 'report', 'macro avg', round(macro, 6), NULL FROM su
+UNION ALL SELECT m, 'report', 'weighted avg', round(sum(f * na) / sum(na), 6), NULL FROM f1 GROUP BY m
+UNION ALL SELECT m, 'report', 'accuracy', round(acc, 6), NULL FROM su""", *_CTES))
 def evaluation_flatten(spark, sf_dir):
-    return flatten_evaluation(_evaluations(spark, sf_dir))
+    """Flattened records: numbers of the scalars, the F1 of each report line; folders differ by run and are left out."""
+    flat = flatten_evaluation(_evaluations(spark, sf_dir)).where("key <> 'roc_path'")
+    number = F.when(F.col("key") == "report", F.get_json_object("value", "$.f1_score")).otherwise(F.col("value"))
+    note = F.when(F.col("key") == "confusion_matrix", F.col("value"))
+    return flat.select("model_name", "key", "sub_key", F.round(number.try_cast("double"), 6).alias("number"), note.alias("note"))
+
+
+def _fitted(spark, sf_dir):
+    data = prepare_training_data(spark, training_raw(spark, sf_dir), LABEL, ID, test_size=0.3, folds=3,
+                                 drop=list(DEFAULT_DROP))
+    shared_dir(spark)
+    return data, build("random_forest", POINT, FIT).fit(bounded(data.train, FIT))
+
+
+@register("feature_importance_top5")
+def feature_importance_top5(spark, sf_dir):
+    """Top 5 importances of the fitted forest (a top-k report)."""
+    data, model = _fitted(spark, sf_dir)
+    return importance_table(spark, model, data.features).limit(5)
 
 
 @register("score_test_rows")
 def score_test_rows(spark, sf_dir):
-    """Saved best pipeline scores the raw test rows: one output row per input row."""
-    run = selection_run(spark, sf_dir)
-    pipeline = load_pipeline(os.path.join(run["base"], "best_model"))
-    split = spark.read.parquet(os.path.join(run["base"], "split"))
+    """Preprocessor and forest score the raw test rows: one output row per input row."""
+    data, model = _fitted(spark, sf_dir)
+    split = spark.read.parquet(os.path.join(data.base, "split"))
     test_raw = split.where(F.col("part") == "test").drop("part", "fold", LABEL)
-    return score_frame(pipeline, test_raw, keep=[ID])
+    return score_frame(PipelineModel(stages=[data.preprocessor, model]), test_raw, keep=[ID])

@@ -71,5 +71,5 @@ def score_records(pipeline: PipelineModel, records: DataFrame, processed: bool =
                   keep: Sequence[str] = ()) -> DataFrame:
     """Batch entry: an empty batch is an error (checked with a one-row probe)."""
     if records.isEmpty():
-        raise ValueError("At least one booking record is required.")
+        raise ValueError("no records to score")
     return score_frame(pipeline, records, processed, keep)

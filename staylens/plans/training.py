@@ -77,6 +77,22 @@ def _confusion(pred: DataFrame) -> list[list[int]]:
     return [[cell.get((a, b), 0) for b in classes] for a in classes]
 
 
+def evaluate_scores(spark: SparkSession, name: str, scored: DataFrame, cv_score: float, out_dir: str) -> dict:
+    """Evaluates (label, prediction, score) rows, stores the record and the ROC points, returns the summary row."""
+    report = _report_dict(scored)
+    roc_path = os.path.join(out_dir, "roc", name)
+    roc_curve(scored, "label", "score", pos_label=1.0).write.mode("overwrite").parquet(roc_path)
+    accuracy = report["accuracy"]["f1_score"]
+    write_evaluation(spark, {"model_name": name, "best_cv_score": cv_score, "accuracy": accuracy, "report": report,
+                             "confusion_matrix": _confusion(scored), "roc_path": roc_path,
+                             "auc": roc_auc(scored, "label", "score", pos_label=1.0).first()["auc"]},
+                     os.path.join(out_dir, "evaluations", name))
+    per_class = {f"{measure}_{c}": report.get(c, {}).get(key)
+                 for c in ("0", "1") for measure, key in PER_CLASS}
+    return {"Model": name, "Best_CV_Score": cv_score, "Accuracy": accuracy, **per_class,
+            "Macro_Avg_F1": report["macro avg"]["f1_score"]}
+
+
 def run_model(spark: SparkSession, name: str, data: TrainingData, cfg: SearchConfig,
               out_dir: str | None = None) -> dict:
     """Search, predict the test rows once, evaluate, store evaluation / ROC / importances."""
@@ -85,36 +101,22 @@ def run_model(spark: SparkSession, name: str, data: TrainingData, cfg: SearchCon
     shared_dir(spark)  # tree learners checkpoint their cached node ids there
     model, cv_score, point = search(name, data.train, cfg)
     ids = [data.id_col] if data.id_col else []
-    pred = (model.transform(data.test)
-            .select(*ids, "label", "prediction", positive_probability().alias("score"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    scored = (model.transform(data.test)
+              .select(*ids, "label", "prediction", positive_probability().alias("score"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        report = _report_dict(pred)
-        cm = _confusion(pred)
-        auc = roc_auc(pred, "label", "score", pos_label=1.0).first()["auc"]
-        roc_path = os.path.join(out_dir, "roc", name)
-        roc_curve(pred, "label", "score", pos_label=1.0).write.mode("overwrite").parquet(roc_path)
+        row = evaluate_scores(spark, name, scored, cv_score, out_dir)
     finally:
-        pred.unpersist()
-    write_evaluation(spark, {"model_name": name, "best_cv_score": cv_score,
-                             "accuracy": report["accuracy"]["f1_score"], "report": report,
-                             "confusion_matrix": cm, "auc": auc, "roc_path": roc_path},
-                     os.path.join(out_dir, "evaluations", name))
-    write_table(importance_table(spark, model, data.features),
-                os.path.join(out_dir, "importance", name))
-    r0, r1 = report.get("0", {}), report.get("1", {})
-    return {"Model": name, "Best_CV_Score": cv_score, "Accuracy": report["accuracy"]["f1_score"],
-            "Precision_0": r0.get("precision"), "Recall_0": r0.get("recall"),
-            "F1_Score_0": r0.get("f1_score"), "Precision_1": r1.get("precision"),
-            "Recall_1": r1.get("recall"), "F1_Score_1": r1.get("f1_score"),
-            "Macro_Avg_F1": report["macro avg"]["f1_score"], "_model": model, "_point": point}
-
-
-SUMMARY_SCHEMA = ("Model string, Best_CV_Score double, Accuracy double, Precision_0 double, "
-                  "Recall_0 double, F1_Score_0 double, Precision_1 double, Recall_1 double, "
-                  "F1_Score_1 double, Macro_Avg_F1 double")
+        scored.unpersist()
+    write_table(importance_table(spark, model, data.features), os.path.join(out_dir, "importance", name))
+    return row | {"_model": model, "_point": point}
+
+
+# The names of the comparison table.
+PER_CLASS = (("Precision", "precision"), ("Recall", "recall"), ("F1_Score", "f1_score"))
 SUMMARY_COLS = ["Model", "Best_CV_Score", "Accuracy", "Precision_0", "Recall_0", "F1_Score_0",
                 "Precision_1", "Recall_1", "F1_Score_1", "Macro_Avg_F1"]
+SUMMARY_SCHEMA = ", ".join(f"{c} {'string' if c == 'Model' else 'double'}" for c in SUMMARY_COLS)
 
 
 def summary_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -123,27 +125,27 @@ def summary_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(data, SUMMARY_SCHEMA).orderBy(F.desc("Best_CV_Score"), "Model")
 
 
+def attempt(spark: SparkSession, name: str, data: TrainingData, cfg: SearchConfig, out_dir: str) -> dict:
+    """A preset's row, or its error: one preset must not stop the others."""
+    try:
+        return run_model(spark, name, data, cfg, out_dir)
+    except Exception as err:  # noqa: BLE001
+        return {"Model": resolve(name), "_error": f"{type(err).__name__}: {err}"[:500]}
+
+
 def auto_select(spark: SparkSession, data: TrainingData, cfg: SearchConfig,
                 names=MODEL_ORDER, out_dir: str | None = None) -> tuple[DataFrame, str, PipelineModel]:
-    """Every preset in order; failures are skipped; best CV score wins (first on ties).
+    """Every preset; of those that ran, the highest CV score is best (of equal ones the first named).
 
     Writes the comparison table and the best scoring pipeline (preprocessor +
     classifier); returns (summary, best name, pipeline).
     """
     out_dir = out_dir or data.base
-    rows, best, best_score = [], None, -1.0
-    failures = {}
-    for name in names:
-        try:
-            row = run_model(spark, name, data, cfg, out_dir)
-        except Exception as err:  # noqa: BLE001 -- a failing preset must not stop the others
-            failures[name] = str(err)
-            continue
-        rows.append(row)
-        if row["Best_CV_Score"] > best_score:
-            best, best_score = row, row["Best_CV_Score"]
-    if not rows or best is None:
-        raise ValueError(f"All models have failed: {failures}")
+    tried = [attempt(spark, name, data, cfg, out_dir) for name in names]
+    rows = [r for r in tried if "_error" not in r]
+    if not rows:
+        raise ValueError("no preset could be trained: " + "; ".join(f"{r['Model']}: {r['_error']}" for r in tried))
+    best = max(enumerate(rows), key=lambda x: (x[1]["Best_CV_Score"], -x[0]))[1]
     summary = summary_frame(spark, rows)
     write_table(summary, os.path.join(out_dir, "model_comparison_summary"))
     pipeline = PipelineModel(stages=[data.preprocessor, best["_model"]])

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: The folder in use, by application.
+_private: dict[str, str] = {}
 
 
 def build_session(master: str | None = None, app: str = "staylens",
@@ -39,21 +42,23 @@ def build_session(master: str | None = None, app: str = "staylens",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and intermediate tables.
+    """Shared folder for lineage cuts and intermediate tables: ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (a
-    local test run) a private folder is created and registered.
+    Where the session names none, a local session (one JVM) gets a private
+    folder; on a cluster that is an error, since a machine-local folder is not
+    visible to other executors.  The folder is registered once; the setting
+    stays as the user made it.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
+    path = spark.conf.get(CHECKPOINT_CONF, None) or _private.get(spark.sparkContext.applicationId)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            # A machine-local folder is not visible to other executors.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="staylens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.applicationId not in _private:
+        spark.sparkContext.setCheckpointDir(path)
+        _private[spark.sparkContext.applicationId] = path
     return path
 
 

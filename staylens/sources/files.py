@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, MapType, StringType,
                                StructField, StructType)
@@ -18,7 +18,7 @@ from ..functions.names import qcol
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
-# Raw booking columns and their types; agent and company stay text on purpose.
+# Raw booking columns and their types; agent and company stay text on purpose.
 RAW_TYPES = {
     "hotel": "string", "is_canceled": "int", "lead_time": "int", "arrival_date_year": "int",
     "arrival_date_month": "string", "arrival_date_week_number": "int",
@@ -38,20 +38,50 @@ RAW_TYPES = {
 def read_raw_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
     """Header CSV read as text, NA tokens to null, then typed by name (unknown names stay text).
 
-    A numeric field that does not parse becomes null (lenient, not an error).
+    Quotes inside a quoted field are doubled, fields may hold line breaks, and
+    a backslash is an ordinary character.  A whole number may be written with a
+    fraction of zero.  A field that does not parse becomes null;
+    :func:`unparsed` counts those.
     """
-    types = RAW_TYPES if types is None else types
+    raw = _raw_text(spark, path)
+    return raw.select(*[_typed(c, _type_of(c, types)).alias(c) for c in raw.columns])
+
+
+def unparsed(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """One row: for each typed column, how many fields hold text that is not of its type."""
+    raw = _raw_text(spark, path)
+    lost = [F.count_if(_text(c).isNotNull() & _typed(c, t).isNull()).alias(c)
+            for c in raw.columns if (t := _type_of(c, types)) != "string"]
+    return raw.agg(*lost) if lost else spark.createDataFrame([], StructType())
+
+
+def _raw_text(spark: SparkSession, path: str) -> DataFrame:
     try:
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        raw = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"')
+               .option("escape", '"').option("multiLine", True).csv(path))
         raw.schema  # noqa: B018  (resolves the path now)
     except AnalysisException as err:
-        raise FileNotFoundError(f"Data file not found: {path}") from err
-    exprs = []
-    for c in raw.columns:
-        v = F.when(qcol(c).isin(*NA_TOKENS), F.lit(None)).otherwise(qcol(c))
-        t = types.get(c, types.get(clean_name(c), "string"))
-        exprs.append((v if t == "string" else v.try_cast(t)).alias(c))
-    return raw.select(*exprs)
+        raise FileNotFoundError(f"no CSV can be read at {path}") from err
+    return raw
+
+
+def _type_of(column: str, types: dict[str, str] | None) -> str:
+    types = RAW_TYPES if types is None else types
+    return types.get(column, types.get(clean_name(column), "string"))
+
+
+def _text(column: str) -> Column:
+    return F.when(qcol(column).isin(*NA_TOKENS), F.lit(None)).otherwise(qcol(column))
+
+
+def _typed(column: str, kind: str) -> Column:
+    text = _text(column)
+    if kind == "string":
+        return text
+    if kind in ("int", "bigint", "long"):
+        number = text.try_cast("double")
+        return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
+    return text.try_cast(kind)
 
 
 def read_processed(spark: SparkSession, path: str, target: str, fmt: str = "parquet"):
@@ -59,14 +89,14 @@ def read_processed(spark: SparkSession, path: str, target: str, fmt: str = "parq
     df = (spark.read.parquet(path) if fmt == "parquet"
           else spark.read.option("header", True).option("inferSchema", True).csv(path))
     if target not in df.columns:
-        raise KeyError(f"Training data is missing target column: {target}")
+        raise KeyError(f"the table has no column {target!r} to learn")
     return df, [c for c in df.columns if c != target]
 
 
 def write_processed(df: DataFrame, path: str, target: str, fmt: str = "parquet") -> None:
     """Features then the target as last column; the label stays in its row."""
     if target not in df.columns:
-        raise KeyError(f"Target column '{target}' was not found.")
+        raise KeyError(f"the frame has no column {target!r} to write last")
     out = df.select(*[qcol(c) for c in df.columns if c != target], F.col(target))
     writer = out.write.mode("overwrite")
     if fmt == "parquet":
@@ -103,7 +133,9 @@ def read_evaluations(spark: SparkSession, pattern: str) -> DataFrame:
     """All evaluation records under a glob; none found -> empty frame."""
     try:
         return spark.read.schema(EVAL_SCHEMA).json(pattern)
-    except AnalysisException:
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], EVAL_SCHEMA)
 
 
@@ -124,19 +156,14 @@ def flatten_evaluation(df: DataFrame) -> DataFrame:
 def records_frame(spark: SparkSession, records: Sequence[dict], schema: StructType | str | None = None) -> DataFrame:
     """A batch of request records as a frame; an empty batch is an error."""
     if not records:
-        raise ValueError("At least one booking record is required.")
+        raise ValueError("no records given")
     return spark.createDataFrame(list(records), schema) if schema else spark.createDataFrame(list(records))
 
 
-def read_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """JSON-lines records with a declared schema (no inference)."""
-    return spark.read.schema(schema).json(path)
-
-
 def save_model(model, path: str) -> str:
     """Persist a fitted model or pipeline; an untrained model is an error."""
     if model is None:
-        raise ValueError("Model not trained.")
+        raise ValueError("there is no fitted model to save")
     model.write().overwrite().save(path)
     return path
 
@@ -145,5 +172,5 @@ def load_pipeline(path: str):
     """Load a saved PipelineModel; a missing artifact is an error."""
     from pyspark.ml import PipelineModel
     if "://" not in path and not os.path.exists(path):
-        raise RuntimeError(f"Required model artifact not found: {path}")
+        raise RuntimeError(f"no saved pipeline at {path}")
     return PipelineModel.load(path)

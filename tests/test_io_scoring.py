@@ -7,9 +7,9 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from staylens.operators.columns import check_raw_input, processed_input
+from staylens.operators.columns import check_schema, processed_input
 from staylens.operators.preprocess import BookingPreprocessor, BookingPreprocessorModel
-from staylens.operators.train import SearchConfig, resolve, sample_points, search, QUICK_GRIDS
+from staylens.operators.train import GRIDS, SearchConfig, grid_points, resolve, sample_points, search
 from staylens.plans.scoring import score_frame, score_records
 from staylens.plans.training import auto_select, prepare_training_data
 from staylens.sources.files import (flatten_evaluation, load_pipeline, read_evaluations,
@@ -69,9 +69,9 @@ def test_preprocessor_save_load_and_contracts(spark, workdir):
     assert a == b
     assert "assigned_room_type" in model.required_raw_columns
     assert "agent" not in model.required_raw_columns
-    with pytest.raises(ValueError, match="Missing columns"):
-        check_raw_input(raw.drop("hotel"), model.required_raw_columns)
-    with pytest.raises(ValueError, match="Non-numeric"):
+    with pytest.raises(ValueError, match="columns not given"):
+        check_schema(raw.drop("hotel"), model.required_raw_columns)
+    with pytest.raises(ValueError, match="not numbers"):
         processed_input(raw, model.feature_columns)
     with pytest.raises(ValueError):
         save_model(None, os.path.join(workdir, "none"))
@@ -83,15 +83,21 @@ def test_unknown_model_name():
     with pytest.raises(ValueError):
         resolve("Perceptron")
     assert resolve("RandomForest") == "random_forest"
-    pts = sample_points(QUICK_GRIDS["random_forest"], 10, 42)
+    pts = sample_points(GRIDS["random_forest"], 10, 42)
+    assert len({json.dumps(p, sort_keys=True) for p in grid_points(GRIDS["random_forest"])}) == 36
     assert len(pts) == 10 and len({json.dumps(p, sort_keys=True) for p in pts}) == 10
 
 
+# Tests only: grids of the same shape with small forests and few rounds.
+SMALL = {"random_forest": {"numTrees": [5, 10], "maxDepth": [5], "minInstancesPerNode": [1, 3], "bootstrap": [True]},
+         "boost_symmetric": {"maxDepth": [4], "stepSize": [0.1, 0.3], "maxIter": [5]}}
+
+
 @pytest.fixture(scope="module")
 def trained(spark):
     raw = with_signal_label(bookings(spark, SF_SMALL)).drop("is_canceled")
     data = prepare_training_data(spark, raw, "label_signal", "booking_id", folds=3)
-    cfg = SearchConfig(n_iter=2, folds=3, grid="quick", parallelism=2)
+    cfg = SearchConfig(n_iter=2, folds=3, grids=SMALL, parallelism=2)
     summary, best, pipeline = auto_select(spark, data, cfg, names=("random_forest", "boost_symmetric"))
     return data, summary, best, pipeline
 
@@ -127,7 +133,7 @@ def test_processed_scoring_path(trained, spark):
         F.col(f"`{c}`") for c in prep.feature_columns])
     out = score_frame(pipeline, feats, processed=True, keep=["booking_id"])
     assert out.count() == feats.count()
-    with pytest.raises(ValueError, match="Missing features"):
+    with pytest.raises(ValueError, match="columns not given"):
         score_frame(pipeline, feats.drop(prep.feature_columns[0]), processed=True)
 
 
@@ -147,8 +153,8 @@ def test_streaming_scoring(trained, spark, workdir):
 
 def test_fold_parallel_search_equals_cross_validator(trained):
     data = trained[0]
-    cfg = SearchConfig(n_iter=2, folds=3, grid="quick", parallelism=3)
-    cv_cfg = SearchConfig(n_iter=2, folds=3, grid="quick", parallelism=3, engine="cross_validator")
+    cfg = SearchConfig(n_iter=2, folds=3, grids=SMALL, parallelism=3)
+    cv_cfg = SearchConfig(n_iter=2, folds=3, grids=SMALL, parallelism=3, engine="cross_validator")
     _, s1, p1 = search("random_forest", data.train, cfg)
     _, s2, p2 = search("random_forest", data.train, cv_cfg)
     assert p1 == p2 and abs(s1 - s2) < 1e-12

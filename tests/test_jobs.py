@@ -58,7 +58,8 @@ def test_profile_job(spark, raw_csv, tmp_path_factory):
 def test_train_and_score_jobs(spark, processed):
     paths, out = processed
     models = os.path.join(out, "models")
-    cfg = SearchConfig(n_iter=1, folds=2, grid="quick", parallelism=2)
+    cfg = SearchConfig(n_iter=1, folds=2, parallelism=2, grids={"random_forest": {
+        "numTrees": [5], "maxDepth": [5], "minInstancesPerNode": [1], "bootstrap": [True]}})
     summary = jobs.train_job(spark, paths["train"], paths["test"], models, model="RandomForest",
                              cfg=cfg).collect()
     assert len(summary) == 1 and summary[0]["Model"] == "random_forest"
