@@ -11,9 +11,12 @@ trigger with what may stand beside it in one string), none of which is a prefix
 of another.
 
 Dictionary.  Triggers that occur in one document only cannot lie in a repeated
-string and leave after an aggregate over their hashes.  The other phrases are
-reduced to distinct ones inside each task, the smallest document standing for
-all, and meet by trigger.
+string and leave after an aggregate over their hashes, by a filter of fixed
+size that every task holds (what passes it by mistake meets nothing).  The
+other phrases meet by trigger, first under a name (a hash), reduced to distinct
+ones inside each task: a phrase that a smaller document has too is settled
+whole.  Only where a trigger has several phrases are the bytes of each, once,
+compared.
 
 Order.  In each group of phrases the parts right of the trigger's start are
 put in suffix order with common prefix lengths, and the parts left of it in
@@ -43,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from .arrowmap import add_struct, small_batches, whole_groups
+from .arrowmap import Shared, add_struct, small_batches, whole_groups
 from .components import written
 from .textbatch import mix64, text_bytes
 
@@ -54,7 +57,9 @@ FREE = LENGTH - TRIGGER
 #: Documents that share a trigger, above which its phrases are dealt out by the bytes beside it.
 HOT = 10_000
 #: Bytes hashed at a time, and phrases that a task reduces together.
-STRETCH, SHARD = 1 << 20, 200_000
+STRETCH, SHARD = 1 << 20, 500_000
+#: Bits of a filter, as a power of two: 8 MB.
+FILTER = 26
 #: A null id stands here.
 LAST = (1 << 63) - 1
 
@@ -70,6 +75,12 @@ def _slide(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return pick(x[:len(x) - (width - span)], x[width - span:]) if span < width else x
 
 
+def _rolled(wide: np.ndarray, at) -> np.ndarray:
+    """The rolling hash of the ``TRIGGER`` bytes at some places; ``wide``: the 8 bytes from each byte on."""
+    a, b, c = (wide[at], wide[at + 8], wide[at + TRIGGER - 8])
+    return np.minimum(mix64(a * _A + mix64(b) + c * _B), _NONE - np.uint64(1))
+
+
 def triggers(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of the triggers of all rows; ``rows``: byte offsets of the rows."""
     n, where, hashes = len(raw), [], []
@@ -79,8 +90,7 @@ def triggers(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         part = np.concatenate([raw[lo:hi], np.zeros(LENGTH + 8, np.uint8)])
         m = hi - lo
         wide = np.ndarray(m + TRIGGER, dtype="<u8", strides=(1,), buffer=part)
-        h = mix64(wide[:m] * _A + mix64(wide[8:m + 8]) + wide[TRIGGER - 8:m + TRIGGER - 8] * _B)
-        h = np.minimum(h, _NONE - np.uint64(1))
+        h = _rolled(wide, np.arange(m))
         # A string must end in the row in which it begins.
         end = rows[np.searchsorted(rows, np.arange(lo, hi), side="right")] if m else rows[:0]
         valid = np.arange(lo, hi) + LENGTH <= end
@@ -95,84 +105,259 @@ def triggers(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(where), np.concatenate(hashes)
 
 
-def _found(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
-    """(row, text, positions, hashes) of the rows of a batch that have triggers; texts are column 0."""
-    raw, rows = text_bytes(batch.column(0))
-    at, h = triggers(raw, rows)
-    first = np.searchsorted(at, rows)
-    for r in np.flatnonzero(np.diff(first)).tolist():
-        a, b = first[r], first[r + 1]
-        yield r, raw[rows[r]:rows[r + 1]].tobytes(), at[a:b] - rows[r], h[a:b]
+class Occurrences:
+    """The triggers of a batch whose texts are column 0, ids column 1 and text hashes column 2."""
+
+    def __init__(self, batch: pa.RecordBatch, shared: np.ndarray | None = None):
+        raw, rows = text_bytes(batch.column(0))
+        at, h = triggers(raw, rows)
+        if shared is not None:
+            some = _passes(h, shared)
+            at, h = at[some], h[some]
+        self.row = np.searchsorted(rows, at, side="right") - 1
+        self.h, self.at = h, at - rows[self.row]
+        size = np.diff(rows)[self.row]
+        self.left, self.right = np.minimum(FREE, self.at), np.minimum(LENGTH, size - self.at)
+        if batch.num_columns > 2:
+            self.ord = batch.column(1).to_numpy()[self.row]
+            self.th = batch.column(2).to_numpy()[self.row]
+            # Each text between zeros, so that a phrase can be read beyond its ends.
+            gap = LENGTH + FREE
+            self.bytes = np.zeros(len(raw) + gap * (len(rows) + 1), np.uint8)
+            for r in np.unique(self.row).tolist():
+                a = rows[r] + gap * (r + 1)
+                self.bytes[a:a + rows[r + 1] - rows[r]] = raw[rows[r]:rows[r + 1]]
+            self.place = at + gap * (self.row + 1) - FREE      # where the phrase begins
+
+    def keep(self, some: np.ndarray) -> None:
+        for k in ("row", "h", "at", "left", "right", "ord", "th", "place"):
+            setattr(self, k, getattr(self, k)[some])
+
+    def names(self) -> np.ndarray:
+        """A hash of each trigger's phrase and of how much of it there is."""
+        wide = np.ndarray(len(self.bytes) - 7, dtype="<u8", strides=(1,), buffer=self.bytes)
+        x = (self.left * 64 + self.right).astype(np.uint64)
+        for k in range(0, LENGTH + FREE, 8):
+            x = mix64(x * _A + wide[self.place + k])
+        return x
+
+    def phrases(self) -> np.ndarray:
+        return np.lib.stride_tricks.sliding_window_view(self.bytes, LENGTH + FREE)[self.place]
+
+    @property
+    def lo(self) -> np.ndarray:
+        """The fewest and most bytes that a string can begin before the trigger."""
+        return np.maximum(0, LENGTH - self.right)
+
+    @property
+    def hi(self) -> np.ndarray:
+        return np.minimum(FREE, self.left)
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct triggers of each row."""
     for batch in batches:
-        own: list[np.ndarray] = [np.zeros(0, np.int64)] * batch.num_rows
-        for r, _, _, h in _found(batch):
-            own[r] = np.unique(h).view(np.int64)
-        ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *own])))
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), lists], names=["ord", "salt", "hashes"])
+        found = Occurrences(batch)
+        pairs = np.unique(np.stack([found.row.astype(np.uint64), found.h]), axis=1) if len(found.h) else np.zeros((2, 0), np.uint64)
+        ends = np.searchsorted(pairs[0], np.arange(batch.num_rows + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs[1].view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(1), lists], names=["ord", "hashes"])
+
+
+def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of a hash in a filter."""
+    return (h >> np.uint64(64 - FILTER)).astype(np.int64), ((h * _A) >> np.uint64(64 - FILTER)).astype(np.int64)
 
 
-PHRASE = "key long, lo int, hi int, ord long, th long, at array<int>, phrase binary"
+def _passes(h: np.ndarray, packed: np.ndarray) -> np.ndarray:
+    one, two = _bits(h)
+    hit = lambda at: (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    return hit(one) & hit(two)
 
 
-def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct phrases of a shard, each for its smallest document, and what the others must remove.
+def _filter(hashes: DataFrame) -> Shared:
+    """A Bloom filter of a column of hashes, of the same size for any input.
 
-    A row without a phrase says that every string from ``lo`` to ``hi`` bytes
-    before the positions ``at`` is repeated.
+    It only spares work: what passes by mistake meets nothing equal later.
     """
-    seen: dict[tuple, list[tuple[int, int, list[int]]]] = {}
-    hot: set[int] = set()
+    def places(batches):
+        for batch in batches:
+            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(_bits(h))))], names=["at"])
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        out: list[list] = [[] for _ in range(7)]
-        for (h, phrase, left, right), who in seen.items():
-            lo, hi = max(0, LENGTH - right), min(FREE, left)
-            least = min(w[0] for w in who)
-            kinds = [(h, 0, FREE)]
-            if h in hot:   # by the bytes left of the trigger, and by those right of it
-                half = (FREE + 1) // 2
-                kinds = []
-                if hi >= half:
-                    kinds.append((_side(h, 1, phrase[FREE - half:FREE]), half, FREE))
-                if lo < half:
-                    kinds.append((_side(h, 2, phrase[LENGTH:LENGTH + FREE - half + 1]), 0, half - 1))
-            for order, th, at in who:
-                if order > least:
-                    rows = [(th, lo, hi, order, th, at, None)]
-                else:
-                    rows = [(key, max(a, lo), min(b, hi), order, th, at, phrase) for key, a, b in kinds]
-                for row in rows:
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-        seen.clear()
-        if out[0]:
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary()]
-            yield from pa.Table.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                                            names=["key", "lo", "hi", "ord", "th", "at", "phrase"]).to_batches(4000)
+    words = (hashes.mapInArrow(places, "at long").groupBy(F.floor(F.col("at") / 64).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).toArrow())
+    packed = np.zeros((1 << FILTER) // 64, dtype="<i8")
+    packed[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return Shared(hashes.sparkSession, packed.view(np.uint8))
+
+
+SPANS = "ord long, th long, starts array<int>, ends array<int>"
+
+
+def _merged(order: np.ndarray, th: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """Spans of each document, those that overlap or touch as one, as lists."""
+    if not len(order):
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()),
+                                           *[pa.array([], pa.list_(pa.int32()))] * 2], names=["ord", "th", "starts", "ends"])
+    sort = np.lexsort((start, th, order))
+    order, th, start, end = order[sort], th[sort], start[sort].astype(np.int64), end[sort].astype(np.int64)
+    new = np.concatenate([[True], (order[1:] != order[:-1]) | (th[1:] != th[:-1])])
+    doc = np.cumsum(new) - 1
+    # The farthest end so far within a document: documents are told apart by a step larger than any text.
+    reach = np.maximum.accumulate(end + doc * (1 << 40)) - doc * (1 << 40)
+    opens = new.copy()
+    opens[1:] |= start[1:] > reach[:-1]
+    first = np.flatnonzero(opens)
+    last = np.concatenate([first[1:] - 1, [len(start) - 1]])
+    docs = np.flatnonzero(new)
+    ends = np.searchsorted(first, np.concatenate([docs, [len(start)]])).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v.astype(np.int32))) for v in (start[first], reach[last])]
+    return pa.RecordBatch.from_arrays([pa.array(order[docs]), pa.array(th[docs]), *lists],
+                                      names=["ord", "th", "starts", "ends"])
+
+
+NAMED = "key long, hot boolean, name long, ord long, th long, lo int, hi int, starts array<int>, ends array<int>"
+
+
+def _named(batches: Iterator[pa.RecordBatch], shared: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Distinct phrases of a shard by name, each for its smallest document, and what the others must remove.
+
+    A row without a name holds spans; one with a name has in ``starts`` the places of its trigger.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
 
+    def flush() -> Iterator[pa.RecordBatch]:
+        h, name, order, th, at, lo, hi = (np.concatenate(c) for c in zip(*held, strict=True))
+        held.clear()
+        sort = np.lexsort((at, th, order, name, h))
+        h, name, order, th, at, lo, hi = (c[sort] for c in (h, name, order, th, at, lo, hi))
+        group = np.concatenate([[True], (h[1:] != h[:-1]) | (name[1:] != name[:-1])])
+        least = order[np.maximum.accumulate(np.where(group, np.arange(len(h)), 0))]
+        later = order > least
+        spans = _merged(order[later], th[later], (at - hi)[later], (at - lo + LENGTH)[later])
+        none = lambda kind, n=spans.num_rows: pa.nulls(n, kind)
+        columns = ["key", "hot", "name", "ord", "th", "lo", "hi", "starts", "ends"]
+        if spans.num_rows:
+            yield from pa.Table.from_arrays(
+                [spans.column("th"), none(pa.bool_()), none(pa.int64()), spans.column("ord"), spans.column("th"),
+                 none(pa.int32()), none(pa.int32()), spans.column("starts"), spans.column("ends")],
+                names=columns).to_batches(4000)
+        h, name, order, th, at, lo, hi = (c[~later] for c in (h, name, order, th, at, lo, hi))
+        one = np.concatenate([[True], (h[1:] != h[:-1]) | (name[1:] != name[:-1]) | (order[1:] != order[:-1])
+                              | (th[1:] != th[:-1])])
+        first = np.flatnonzero(one)
+        places = pa.ListArray.from_arrays(pa.array(np.concatenate([first, [len(h)]]).astype(np.int32)),
+                                          pa.array(at.astype(np.int32)))
+        h, name, order, th, lo, hi = (c[first] for c in (h, name, order, th, lo, hi))
+        warm = _passes(h, hot)
+        key = np.where(warm, mix64(h ^ name), h)
+        yield from pa.Table.from_arrays(
+            [pa.array(key.view(np.int64)), pa.array(warm), pa.array(name.view(np.int64)), pa.array(order), pa.array(th),
+             pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), places, pa.nulls(len(h), pa.list_(pa.int32()))],
+            names=columns).to_batches(4000)
+
+    size = 0
     for batch in batches:
-        order, th = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        cool, warm = batch.column(3), batch.column(4)
-        for r, text, at, h in _found(batch):
-            own = np.array([*(cool[r].as_py() or ()), *(warm[r].as_py() or ())], dtype=np.int64)
-            hot.update(warm[r].as_py() or ())
-            stay = np.isin(h.view(np.int64), own)
-            padded = b"\0" * FREE + text + b"\0" * FREE
-            for p, x in zip(at[stay].tolist(), h[stay].view(np.int64).tolist(), strict=True):
-                key = x, padded[p:p + LENGTH + FREE], min(FREE, p), min(LENGTH, len(text) - p)
-                who = seen.setdefault(key, [])
-                if who and who[-1][0] == order[r] and who[-1][1] == th[r]:
-                    if who[-1][2][-1] < p:   # a row that is repeated has been read before
-                        who[-1][2].append(p)
-                else:
-                    who.append((order[r], th[r], [p]))
-        if len(seen) >= SHARD:
+        found = Occurrences(batch, shared)
+        if len(found.h):
+            held.append((found.h, found.names(), found.ord, found.th, found.at, found.lo, found.hi))
+            size += len(found.h)
+        if size >= SHARD:
             yield from flush()
-    yield from flush()
+            size = 0
+    if held:
+        yield from flush()
+
+
+KNOWN = SPANS + ", ask array<long>"
+
+
+def _request(name: np.ndarray, order: np.ndarray) -> np.ndarray:
+    return mix64(name * _A + mix64(order.view(np.uint64)))
+
+
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is settled by whole phrases, and requests where a trigger's phrases differ and bytes must be compared.
+
+    Rows come sorted by key, name and id.
+    """
+    lists = pa.list_(pa.int32())
+    for table in whole_groups(batches, ["key"], 4_000):
+        given = table.column("name").is_null().to_numpy()
+        ready = table.filter(pa.array(given)).combine_chunks()
+        if ready.num_rows:
+            yield from pa.Table.from_arrays(
+                [*[ready.column(c) for c in ("ord", "th", "starts", "ends")], pa.nulls(ready.num_rows, pa.list_(pa.int64()))],
+                names=["ord", "th", "starts", "ends", "ask"]).to_batches()
+        rows = table.filter(pa.array(~given)).combine_chunks()
+        if not rows.num_rows:
+            continue
+        key, name, order, th, lo, hi = (rows.column(c).to_numpy() for c in ("key", "name", "ord", "th", "lo", "hi"))
+        hot = rows.column("hot").to_numpy(zero_copy_only=False)
+        opens = np.concatenate([[True], key[1:] != key[:-1]])
+        group = np.cumsum(opens) - 1
+        begin = np.flatnonzero(opens)
+        named = opens.copy()
+        named[1:] |= name[1:] != name[:-1]
+        first = order == order[np.maximum.accumulate(np.where(named, np.arange(len(key)), 0))]
+        several = np.add.reduceat(named.astype(np.int64), begin)[group] > 1
+        apart = (np.minimum.reduceat(order, begin) < np.maximum.reduceat(order, begin))[group]
+        ask = first & (hot | several & apart)
+        places = rows.column("starts").combine_chunks() if isinstance(rows.column("starts"), pa.ChunkedArray) else rows.column("starts")
+        count = np.diff(places.offsets.to_numpy())
+        row = np.repeat(np.arange(len(key)), count)
+        at = places.flatten().to_numpy()
+        later = ~first[row]
+        row, at = row[later], at[later]
+        made = _merged(order[row], th[row], at - hi[row], at - lo[row] + LENGTH)
+        n = made.num_rows
+        asked = pa.array([_request(name[ask].view(np.uint64), order[ask]).view(np.int64)], pa.list_(pa.int64()))
+        if n:
+            yield pa.RecordBatch.from_arrays([*made.columns, pa.nulls(n, pa.list_(pa.int64()))],
+                                             names=[*made.schema.names, "ask"])
+        if ask.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, lists),
+                                              pa.nulls(1, lists), asked], names=["ord", "th", "starts", "ends", "ask"])
+
+
+PHRASE = "key long, lo int, hi int, ord long, th long, at int, phrase binary"
+
+
+def _phrases(batches: Iterator[pa.RecordBatch], shared: np.ndarray, hot: np.ndarray,
+             asked: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The bytes of the phrases asked for, by trigger; of hot triggers by the bytes on either side too."""
+    half = (FREE + 1) // 2
+    for batch in batches:
+        found = Occurrences(batch, shared)
+        if not len(found.h):
+            continue
+        found.keep(_passes(_request(found.names(), found.ord), asked))
+        if not len(found.h):
+            continue
+        phrase = found.phrases()
+        warm = _passes(found.h, hot)
+        lo, hi = found.lo, found.hi
+        parts = [(np.flatnonzero(~warm), found.h.view(np.int64), 0, FREE)]
+        if warm.any():
+            key = np.zeros((2, len(warm)), np.int64)
+            for i in np.flatnonzero(warm).tolist():
+                x, text = int(found.h.view(np.int64)[i]), phrase[i].tobytes()
+                key[0, i] = _side(x, 1, text[FREE - half:FREE])
+                key[1, i] = _side(x, 2, text[LENGTH:LENGTH + FREE - half + 1])
+            parts += [(np.flatnonzero(warm), key[0], half, FREE), (np.flatnonzero(warm), key[1], 0, half - 1)]
+        for who, key, a, b in parts:
+            who = who[np.maximum(lo[who], a) <= np.minimum(hi[who], b)]
+            if not len(who):
+                continue
+            text = pa.Array.from_buffers(pa.binary(), len(who), [
+                None, pa.py_buffer((np.arange(len(who) + 1) * (LENGTH + FREE)).astype(np.int32).tobytes()),
+                pa.py_buffer(phrase[who].tobytes())])
+            yield from pa.Table.from_arrays(
+                [pa.array(key[who]), pa.array(np.maximum(lo[who], a).astype(np.int32)),
+                 pa.array(np.minimum(hi[who], b).astype(np.int32)), pa.array(found.ord[who]), pa.array(found.th[who]),
+                 pa.array(found.at[who].astype(np.int32)), text],
+                names=[f.split()[0] for f in PHRASE.split(", ")]).to_batches(4000)
 
 
 def _side(h: int, side: int, text: bytes) -> int:
@@ -218,53 +403,47 @@ def repeated(group: np.ndarray, phrase: np.ndarray, lo: np.ndarray, hi: np.ndarr
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(ord, th, starts, ends) of what a group removes from each document."""
     for table in whole_groups(batches, ["key"], 20_000):
-        spans: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-
-        def add(order, th, at, lo, hi, spans=spans):
-            starts, ends = spans.setdefault((order, th), ([], []))
-            for p in at:
-                starts.append(p - hi)
-                ends.append(p - lo + LENGTH)
-
-        given = table.column("phrase").is_null().to_numpy()
-        for row in table.filter(pa.array(given)).to_pylist():
-            add(row["ord"], row["th"], row["at"], row["lo"], row["hi"])
-        asked = table.filter(pa.array(~given))
-        if asked.num_rows:
-            key, lo, hi, order, th = (asked.column(c).to_numpy() for c in ("key", "lo", "hi", "ord", "th"))
-            group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-            phrase = np.frombuffer(b"".join(asked.column("phrase").to_pylist()), np.uint8).reshape(-1, LENGTH + FREE)
-            found = repeated(group, phrase, lo, hi, order)
-            at = asked.column("at")
-            for r in np.flatnonzero(found.any(axis=1)).tolist():
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], found[r], [False]]).astype(np.int8)))
-                for a, b in edge.reshape(-1, 2).tolist():
-                    add(int(order[r]), int(th[r]), at[r].as_py(), a, b - 1)
-        if spans:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in spans], pa.int64()), pa.array([k[1] for k in spans], pa.int64()),
-                 pa.array([v[0] for v in spans.values()], pa.list_(pa.int32())),
-                 pa.array([v[1] for v in spans.values()], pa.list_(pa.int32()))], names=["ord", "th", "starts", "ends"])
+        key, lo, hi, order, th, at = (table.column(c).to_numpy() for c in ("key", "lo", "hi", "ord", "th", "at"))
+        group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        phrase = np.frombuffer(b"".join(table.column("phrase").to_pylist()), np.uint8).reshape(-1, LENGTH + FREE)
+        found = repeated(group, phrase, lo, hi, order)
+        edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        row, a = np.nonzero(edge == 1)
+        _, b = np.nonzero(edge == -1)
+        made = _merged(order[row], th[row], at[row] - b + 1, at[row] - a + LENGTH)
+        if made.num_rows:
+            yield made
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(ord, th, starts, ends): byte spans to remove, by id and hash of the text; they may overlap."""
+    """(ord, th, starts, ends): byte spans to remove, by id and hash of the text; they may overlap.
+
+    The text is read three times and never shuffled here: filters of a fixed
+    size say which triggers, and then which phrases, can matter.
+    """
     small_batches(docs)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("ord"),
-                       F.xxhash64(text).alias("th"), text.alias("text"))
-    salt = F.pmod("th", F.lit(1024)).cast("int").alias("salt")
-    pairs = (rows.select("text", "ord", salt).mapInArrow(_hashes, "ord long, salt int, hashes array<long>")
-             .select("ord", "salt", F.explode("hashes").alias("h")))
-    shared = (pairs.groupBy("h").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count("*").alias("n"))
-              .where("least < most").select("h", (F.col("n") > HOT).alias("hot")))
-    lists = written(pairs.join(shared, "h").groupBy("ord", "salt")
-                    .agg(F.collect_list(F.expr("if(hot, null, h)")).alias("cool"),
-                         F.collect_list(F.expr("if(hot, h, null)")).alias("warm")), "triggers")
-    met = rows.withColumn("salt", salt).join(lists, ["ord", "salt"])
-    return written(met.select("text", "ord", "th", "cool", "warm").mapInArrow(_phrases, PHRASE)
-                   .repartition("key").sortWithinPartitions("key")
-                   .mapInArrow(_spans, "ord long, th long, starts array<int>, ends array<int>"), "spans")
+    rows = docs.select(text.alias("text"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("ord"),
+                       F.xxhash64(text).alias("th"))
+    every = rows.select("text", "ord").mapInArrow(_hashes, "ord long, hashes array<long>")
+    shared = written(every.select("ord", F.explode("hashes").alias("h")).groupBy("h")
+                     .agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count("*").alias("n"))
+                     .where("least < most").select("h", "n"), "shared")
+    maybe, hot = _filter(shared.select("h")), _filter(shared.where(f"n > {HOT}").select("h"))
+
+    def named(batches):
+        yield from _named(batches, maybe.value, hot.value)
+
+    known = written(rows.mapInArrow(named, NAMED).repartition("key").sortWithinPartitions("key", "name", "ord")
+                    .mapInArrow(_known, KNOWN), "known")
+    asked = _filter(known.where("ask IS NOT NULL").select(F.explode("ask").alias("h")))
+
+    def phrases(batches):
+        yield from _phrases(batches, maybe.value, hot.value, asked.value)
+
+    compared = written(rows.mapInArrow(phrases, PHRASE).repartition("key").sortWithinPartitions("key")
+                       .mapInArrow(_spans, SPANS), "compared")
+    return known.where("ask IS NULL").drop("ask").union(compared)
 
 
 KIND = (StructType().add("n_bytes", LongType()).add("n_removed", LongType()).add("n_spans", LongType())
