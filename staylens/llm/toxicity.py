@@ -46,7 +46,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructType
 from .arrowmap import Shared, add_struct, fresh
 
 #: Labelled documents, clean and toxic, that the model is fitted on at most.
-BOUND = 4000, 2000
+BOUND = 3000, 1500
 THRESHOLD = 0.7
 LANDMARKS, WIDTH, DECAY = 192, 8, 0.6
 #: Clean words that the machine is shown first.
@@ -202,21 +202,42 @@ def _parts(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return every[order], np.concatenate(parts)[order]
 
 
-def _documents(bags: list[set[str]]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
-    """(document, part) pairs, the words, and the (word, part) pairs of some bags."""
-    every = sorted(set().union(*bags)) if bags else []
-    if not every:
-        none = np.zeros(0, np.int64)
-        return none, none, [], none, none
-    number = {w: i for i, w in enumerate(every)}
-    word, part = _parts(every)
-    begin = np.searchsorted(word, np.arange(len(every) + 1))
-    doc = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    own = np.fromiter((number[w] for b in bags for w in b), np.int64, len(doc))
-    size = begin[own + 1] - begin[own]
-    at = np.repeat(begin[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    pairs = np.unique(np.repeat(doc, size) << 36 | part[at])
-    return pairs >> 36, pairs & ((1 << 36) - 1), every, word, part
+def _counts(bags: list[set[str]], allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """(parts, groups of bags that hold each, groups); of ``allowed`` parts only, if given.
+
+    Bags with the same three least-hashed words are likely copies, one group.
+    Groups are counted some at a time, so memory does not follow their number.
+    """
+    marks = [tuple(heapq.nsmallest(3, (zlib.crc32(w.encode()) for w in bag))) for bag in bags]
+    order = sorted(range(len(bags)), key=marks.__getitem__)
+    kinds, counts, groups = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    at = 0
+    while at < len(order):
+        group, members = [], []
+        while at < len(order) and (len(members) < 400 or marks[order[at]] == marks[order[at - 1]]):
+            new = not members or marks[order[at]] != marks[order[at - 1]]
+            groups += new
+            group.append((group[-1] if group else -1) + new)
+            members.append(bags[order[at]])
+            at += 1
+        every = sorted(set().union(*members))
+        if not every:
+            continue
+        number = {w: i for i, w in enumerate(every)}
+        word, part = _parts(every)
+        if allowed is not None:
+            some = np.isin(part, allowed)
+            word, part = word[some], part[some]
+        begin = np.searchsorted(word, np.arange(len(every) + 1))
+        own = np.fromiter((number[w] for b in members for w in b), np.int64)
+        size = begin[own + 1] - begin[own]
+        place = np.repeat(begin[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        which = np.repeat(np.repeat(group, [len(b) for b in members]), size)
+        pairs = np.unique(part[place] * len(members) + which) // len(members)
+        kind, count = np.unique(pairs, return_counts=True)
+        kinds, back = np.unique(np.concatenate([kinds, kind]), return_inverse=True)
+        counts = np.bincount(back, weights=np.concatenate([counts, count]), minlength=len(kinds)).astype(np.int64)
+    return kinds, counts, groups
 
 
 def _tail(hits: int, of: int, share: float) -> float:
@@ -230,20 +251,15 @@ def witnesses(toxic: list[set[str]], clean: list[set[str]]) -> Counter:
     """Words that mark toxic documents, with the number of documents that each marks.
 
     A part of a word is a mark if it occurs in so many more toxic documents
-    than chance gives (binomial test, false discoveries held at one in a thousand).
-    Documents with the same three least-hashed words are likely copies and count once.
+    than chance gives (binomial test, false discoveries held at one in a
+    thousand), looking at words that no clean document has.
     """
-    doc, part, every, word, word_part = _documents(toxic)
-    clean_doc, clean_part, clean_words, _, _ = _documents(clean)
-    least = lambda bag: hash(tuple(heapq.nsmallest(3, (zlib.crc32(w.encode()) for w in bag))))
-
-    def counts(bags, doc, part):
-        kind = np.unique([least(b) for b in bags], return_inverse=True)[1]
-        pairs = np.unique(part * len(bags) + kind[doc]) // len(bags)
-        return *np.unique(pairs, return_counts=True), int(kind.max()) + 1
-
-    kind, count, n1 = counts(toxic, doc, part)
-    ckind, ccount, n0 = counts(clean, clean_doc, clean_part)
+    known = set().union(*clean)
+    only = [bag - known for bag in toxic]
+    kind, count, n1 = _counts(only)
+    ckind, ccount, n0 = _counts(clean, kind)
+    if not len(kind):
+        return Counter()
     there = np.searchsorted(ckind, kind)
     other = np.zeros(len(kind), np.int64)
     found = there < len(ckind)
@@ -258,8 +274,9 @@ def witnesses(toxic: list[set[str]], clean: list[set[str]]) -> Counter:
     good = np.flatnonzero(order <= 0.001 * np.arange(1, len(p) + 1) / max(1, len(p)))
     odds = (count[tested] + 0.5) / (n1 + 1) / ((other[tested] + 0.5) / (n0 + 1))
     marks = kind[tested[(p <= (order[good[-1]] if len(good) else -1)) & (odds > 10)]]
-    known = set(clean_words)
-    marking = {every[w] for w in np.unique(word[np.isin(word_part, marks)]).tolist()} - known
+    every = sorted(set().union(*only))
+    word, part = _parts(every)
+    marking = {every[w] for w in np.unique(word[np.isin(part, marks)]).tolist()}
     out = Counter()
     for bag in toxic:
         out.update(bag & marking)
@@ -396,9 +413,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     share = rows.where("toxic in (0, 1)").agg(F.avg("toxic")).first()[0]
     bags = add_struct(source, ["text"], ["id", "toxic"], "made", StructType().add("words", "string"), compute)
-    return fit([(set(r.words.split()), r.toxic) for r in
-                bags.select("id", "toxic", "made.words").orderBy(F.xxhash64("id"), "id", "toxic", "words").collect()],
-               share)
+    one: dict[str, str] = {}   # each word once in memory
+    rows = bags.select("id", "toxic", "made.words").orderBy(F.xxhash64("id"), "id", "toxic", "words").toLocalIterator()
+    return fit([({one.setdefault(w, w) for w in r.words.split()}, r.toxic) for r in rows], share)
 
 
 def annotate(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str] | None = None,
