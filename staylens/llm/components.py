@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +15,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: a lineage cut that outlives executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     # Shuffle files of what has been written are of no more use; Spark deletes them
     # when it finds that nothing refers to them.
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)     # deleting goes on beside the next job
     return spark.read.parquet(path)
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -45,6 +46,8 @@ CUT = frozenset(
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
          "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
          "option": ({"option"}, {"select"})}
+#: Parts of lists, tables and running text; the density of one of them speaks for its container.
+PARTS = frozenset("tr tbody thead tfoot td th caption li dt dd ul ol dl p blockquote pre figure center h1 h2 h3 h4 h5 h6".split())
 #: Words of class, id and role that mark what is not the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
@@ -60,9 +63,9 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 class Node:
     __slots__ = ("tag", "cut", "link", "parts", "parent", "chars", "link_chars", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool, role: bool = False):
+    def __init__(self, tag: str, parent: Node | None, cut: bool, link: bool = False):
         self.tag, self.parent, self.cut = tag, parent, cut
-        self.link = role
+        self.link = link
         self.parts: list[Node | str] = []
 
     def nodes(self):
@@ -84,51 +87,58 @@ def _marked(attrs) -> bool:
 class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("#", None, False)
+        self.root = Node("#", None, False)
+        self.stack = [self.root]         # open elements
+        self.open: Counter[str] = Counter()
+
+    def close(self):
+        super().close()
+        self.stack = self.stack[:1]
+
+    def leave(self, at: int) -> None:
+        """Closes the open elements from place ``at`` on."""
+        for node in self.stack[at:]:
+            self.open[node.tag] -= 1
+        del self.stack[at:]
 
     def close_to(self, tags, stop) -> None:
-        node = self.here
-        while node.parent is not None and node.tag not in stop:
-            if node.tag in tags:
-                self.here = node.parent
+        if not any(self.open[t] for t in tags):
+            return
+        for at in range(len(self.stack) - 1, 0, -1):
+            tag = self.stack[at].tag
+            if tag in tags:
+                self.leave(at)
+                return
+            if tag in stop:
                 return
-            node = node.parent
 
     def handle_starttag(self, tag, attrs):
         if tag in _ENDS:
             self.close_to(*_ENDS[tag])
         if tag not in INLINE and tag not in VOID:   # a block ends an open paragraph
             self.close_to({"p"}, {"table", "td", "th", "button", "object", "body"})
-        if tag in ("html", "body") and any(n.tag == tag for n in self.path()):
+        if tag in ("html", "body") and self.open[tag]:
             return
-        inside = any(n.tag in ("article", "main") for n in self.path())
+        inside = self.open["article"] or self.open["main"]
         cut = tag in CUT or tag == "header" and not inside or tag not in _KEEP and _marked(attrs)
-        node = Node(tag, self.here, cut, tag == "a")
-        self.here.parts.append(node)
+        node = Node(tag, self.stack[-1], cut, tag == "a")
+        self.stack[-1].parts.append(node)
         if tag not in VOID:
-            self.here = node
+            self.stack.append(node)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
-    def path(self):
-        node = self.here
-        while node is not None:
-            yield node
-            node = node.parent
-
     def handle_endtag(self, tag):
         if tag == "br":
-            self.here.parts.append(Node("br", self.here, False))
-            return
-        for node in self.path():
-            if node.tag == tag and node.parent is not None:
-                if tag not in ("html", "body"):
-                    self.here = node.parent
-                return
+            self.stack[-1].parts.append(Node("br", self.stack[-1], False))
+        elif self.open[tag] and tag not in ("html", "body"):
+            at = next(i for i in range(len(self.stack) - 1, 0, -1) if self.stack[i].tag == tag)
+            self.leave(at)
 
     def handle_data(self, data):
-        self.here.parts.append(data)
+        self.stack[-1].parts.append(data)
 
 
 def parse(html: str) -> Node:
@@ -174,6 +184,13 @@ def _best(node: Node) -> Node:
     return max(_order(node), key=lambda n: n.total)
 
 
+def _whole(node: Node) -> Node:
+    """The list, table or other container of which a node is but a part."""
+    while node.tag in PARTS and node.parent is not None and node.parent.tag not in ("body", "#"):
+        node = node.parent
+    return node
+
+
 def content(root: Node) -> list[Node]:
     """The nodes that hold the article, in no order; none lies in another."""
     order = measure(root)
@@ -206,7 +223,7 @@ def content(root: Node) -> list[Node]:
         node = todo.pop()
         if node.density >= least and node.chars:
             found = _best(node)
-            chosen.append(found if found.total else node)
+            chosen.append(_whole(found if found.total else node))
             todo.extend(n for n in node.nodes() if not n.cut)
     ids = {id(n) for n in chosen}
     unique = {id(n): n for n in chosen}.values()
