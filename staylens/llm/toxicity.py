@@ -48,9 +48,9 @@ from .arrowmap import Shared, add_struct, fresh
 #: Labelled documents, clean and toxic, that the model is fitted on at most.
 BOUND = 3000, 1500
 THRESHOLD = 0.7
-LANDMARKS, WIDTH, DECAY = 192, 8, 0.6
+LANDMARKS, WIDTH, DECAY = 128, 8, 0.6
 #: Clean words that the machine is shown first.
-CLEAN_WORDS = 6_000
+CLEAN_WORDS = 3_000
 #: What all clean words cost beside all toxic ones: a document has hundreds of them.
 CLEAN_COST = 30.0
 #: Scores of words that a task remembers at a time.
@@ -153,17 +153,17 @@ class Model:
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-5) -> np.ndarray:
     """Weights (the last is the bias) of least ridge and squared hinge loss, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
     w = np.zeros(x.shape[1])
     keep = ridge * np.eye(x.shape[1])
     keep[-1, -1] = 1e-9
-    for _ in range(30):
-        inside = y * (x @ w) < 1
-        part, c = x[inside], cost[inside]
-        new = np.linalg.solve(keep + part.T @ (part * c[:, None]), part.T @ (c * y[inside]))
-        if np.allclose(new, w, atol=1e-7):
+    was = None
+    for _ in range(15):
+        inside = y * (x @ w.astype(np.float32)) < 1
+        if was is not None and np.array_equal(inside, was):
             break
-        w = new
+        was, part, c = inside, x[inside], cost[inside].astype(np.float32)
+        w = np.linalg.solve(keep + part.T @ (part * c[:, None]), part.T @ (c * y[inside].astype(np.float32)))
     return w
 
 
@@ -244,7 +244,8 @@ def _tail(hits: int, of: int, share: float) -> float:
     """P(at least so many hits) of a binomial distribution."""
     log = lambda k: (math.lgamma(of + 1) - math.lgamma(k + 1) - math.lgamma(of - k + 1)
                      + k * math.log(share) + (of - k) * math.log1p(-share))
-    return math.fsum(math.exp(log(k)) for k in range(hits, of + 1))
+    # Far above the mean the terms fall fast; a few dozen hold the sum.
+    return math.fsum(math.exp(log(k)) for k in range(hits, min(of, hits + 60) + 1))
 
 
 def witnesses(toxic: list[set[str]], clean: list[set[str]]) -> Counter:
@@ -289,7 +290,7 @@ def _tops(model: Model, bags: list[set[str]]) -> np.ndarray:
     return np.clip([max((values[w] for w in bag), default=model.floor) for bag in bags], -2, 2)
 
 
-def _machine_of(toxic: list[set[str]], clean: list[set[str]]) -> Model | None:
+def _machine_of(toxic: list[set[str]], clean: list[set[str]], rounds: int = 3) -> Model | None:
     marking = witnesses(toxic, clean)
     if not marking:
         return None
@@ -299,13 +300,13 @@ def _machine_of(toxic: list[set[str]], clean: list[set[str]]) -> Model | None:
     # Words of toxic documents that mark none of them stand beside the clean ones.
     plain, rest = others[:CLEAN_WORDS], others[CLEAN_WORDS:]
     model = None
-    for _ in range(3):
+    for _ in range(rounds):
         marks = _landmarks(bad, LANDMARKS // 2) + plain[:LANDMARKS // 2]
         model = _train(bad, weight, plain, marks)
         if not rest:
             break
         value = model.values(rest)
-        wrong = np.argsort(-value, kind="stable")[:2000]
+        wrong = np.argsort(-value, kind="stable")[:1500]
         wrong = wrong[value[wrong] > -0.95]
         if not len(wrong):
             break
@@ -329,7 +330,7 @@ def fit(bags: list[tuple[set[str], int]], share: float | None = None) -> Model:
     model = _machine_of(toxic, clean)
     if model is None:
         return constant
-    other = _machine_of([b for i, b in enumerate(toxic) if i % 3], [b for i, b in enumerate(clean) if i % 3])
+    other = _machine_of([b for i, b in enumerate(toxic) if i % 3], [b for i, b in enumerate(clean) if i % 3], rounds=2)
     seen = slice(None, None, 3) if other and len(toxic) >= 30 else slice(None)
     judge = other if other and len(toxic) >= 30 else model
     top1, top0 = _tops(judge, toxic[seen]), _tops(judge, clean[seen])
