@@ -1,10 +1,11 @@
 """Personal data: fixed kinds, and identifiers found by bootstrapped contextual patterns.
 
-Base kinds are regular expressions with a check of the digits.  They are also
-the seeds: a candidate is a chunk without white space that has some digits or an at sign, a
-pattern is what stands before it (the words to its left on the line, or its own
-key before ``=`` or ``:``), and seeds are the candidates that a base span
-touches.  Spark scores the graph of patterns and instances in rounds: a
+Base kinds are regular expressions with a check of the digits.  Their spans are
+also the seeds, each as a whole, with spaces or without.  Every other candidate
+is a chunk with a digit or an at sign outside the base spans, together with the
+digit chunks that follow it by one space each.  A pattern is what stands before
+a seed or candidate (the words to its left on the line, or its own key before
+``=`` or ``:``).  Spark scores the graph of patterns and instances in rounds: a
 pattern's confidence is the mean score of its distinct instances, if enough of
 them are known; an instance is as certain as its patterns together
 (1 - product of (1 - confidence)).  What stands after patterns that end up with
@@ -27,6 +28,8 @@ kept as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +46,16 @@ EXPRESSIONS = {
 }
 #: A character without which a text has no match.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-#: A candidate has six characters or more and three digits, or an at sign.
-CHUNK = r"(?<!\S)(?=\S{6})(?=(?:[^\s0-9]*+[0-9]){3}|[^\s@]*+@)\S++"
-#: Characters of an instance at least; characters read to its left.
-LEAST_LENGTH, LEFT = 6, 48
+#: A candidate: a chunk with an at sign, or one with a digit; one without small letters, but for its key, goes on with
+#: the digit chunks after it, until one ends in a punctuation mark.
+CHUNK = (r"(?<!\S)(?:(?=[^\s@]*+@)\S++|(?=[^\s0-9]*+[0-9])(?:"
+         r"(?=(?:[^\s0-9=:]{2,}+[=:])?+[^\sa-z]++(?!\S))\S++"
+         r"(?:(?<![,;:!?.])[\x20\t](?=[+(]*+[0-9])[0-9()+./-]++(?![^\s\"')>\]},;:!?]))*+|\S++))")
+#: Marks that open and close a chunk; an area code's bracket is its own.
+OPENING = r"^((?:(?!\([0-9]+\)[\x20\t0-9-])[\"'(<\[{])*+)"
+CLOSING = r"[\"')>\]},.;:!?]+$"
+#: Characters of a candidate at least; characters read to its left.
+LEAST_LENGTH, LEFT = 4, 48
 #: Rounds, known instances that a pattern needs, and the confidence at which it is applied.
 ROUNDS, SUPPORT, CONFIDENT = 3, 3, 0.6
 
@@ -101,45 +110,74 @@ def base(text: Column, kind: str) -> Column:
         F.array().cast(SPAN))
 
 
-def _candidates(text: Column) -> Column:
-    """Chunks with digits: place, text, and what stands before them on their line."""
-    def parts(x: Column) -> Column:
-        # A key before = or : is the pattern, and what follows it is the instance.
-        key = F.regexp_extract(x["s"], r"^([^\s0-9=:]{2,}[=:])", 1)
-        rest = F.substr(x["s"], F.length(key) + 1)
-        front = F.length(F.regexp_extract(rest, r"^([\"'(<\[{]*)", 1))
-        core = F.regexp_replace(F.substr(rest, front + 1), r"[\"')>\]},.;:!?]+$", "")
-        begin = x["start"] + F.length(key) + front
-        left = F.substr(text, F.greatest(x["start"] - LEFT + 1, F.lit(1)), F.least(x["start"], F.lit(LEFT)))
-        line = F.element_at(F.split(left, "\n"), -1)
-        words = F.filter(F.split(F.lower(F.regexp_replace(line, "[0-9]", "0")), r"\s+"), lambda w: w != "")
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _patterns(text: Column, start: Column) -> Column:
+    """What stands before a place on its line."""
+    left = F.substr(text, F.greatest(start - LEFT + 1, F.lit(1)), F.least(start, F.lit(LEFT)))
+    line = F.regexp_replace(F.element_at(F.split(left, "\n"), -1), r"[\"'(<\[{]+$", "")
+
+    def of_words(words: Column) -> Column:
         near = F.when(F.size(words) >= 1, F.concat(F.lit("1 "), F.element_at(words, -1)))
         far = F.when(F.size(words) >= 2, F.concat(F.lit("2 "), F.array_join(F.slice(words, -2, 2), " ")))
-        patterns = F.when(key != "", F.array(F.concat(F.lit("k "), F.lower(key)))).otherwise(F.array_compact(
-            F.array(F.coalesce(near, F.lit("1 ^")), far)))
-        return F.struct(begin.alias("start"), (begin + F.length(core)).alias("end"), core.alias("s"),
-                        patterns.alias("patterns"))
+        return F.array_compact(F.array(F.coalesce(near, F.lit("1 ^")), far))
+
+    def of_line(line: Column) -> Column:
+        words = F.filter(F.split(F.lower(F.regexp_replace(line, "[0-9]", "0")), r"\s+"), lambda w: w != "")
+        return _once(F.regexp_extract(line, r"(?:^|\s)([^\s0-9=:]{2,}[=:])$", 1), lambda key: F.when(
+            key != "", F.array(F.concat(F.lit("k "), F.lower(key)))).otherwise(_once(words, of_words)))
+
+    return _once(line, of_line)
+
+
+def _instance(text: Column, start: Column, end: Column, s: Column, known: bool) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), s.alias("s"), _patterns(text, start).alias("patterns"),
+                    F.lit(known).alias("known"))
+
+
+def _seeds(text: Column, spans: Column) -> Column:
+    """Base spans as instances."""
+    return F.transform(spans, lambda x: _instance(text, x["start"], x["end"], x["s"], True))
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of the spans of one kind."""
+    def piece(x: Column, i: Column) -> Column:
+        at = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
+        return F.concat(F.substr(text, at + 1, x["start"] - at), F.repeat(F.lit(" "), x["end"] - x["start"]))
+
+    rest = F.substr(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(spans, piece), ""), rest)).otherwise(text)
 
-    return F.filter(F.transform(located(text, CHUNK), parts), lambda x: F.length(x["s"]) >= LEAST_LENGTH)
 
+def _candidates(text: Column, others: Column) -> Column:
+    """Chunks with digits of ``others``, the text without its base spans, as instances."""
+    def core(x: Column) -> Column:
+        # What follows a key before = or : is the instance.
+        key = F.length(F.regexp_extract(x["s"], r"^([^\s0-9=:]{2,}[=:])", 1))
+        front = key + F.length(F.regexp_extract(F.substr(x["s"], key + 1), OPENING, 1))
+        s = F.regexp_replace(F.substr(x["s"], front + 1), CLOSING, "")
+        begin = x["start"] + front
+        return F.struct(begin.alias("start"), (begin + F.length(s)).alias("end"), s.alias("s"))
 
-def _touches(spans: Column, x: Column) -> Column:
-    return F.exists(spans, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    cores = F.filter(F.transform(located(others, CHUNK), core), lambda x: F.length(x["s"]) >= LEAST_LENGTH)
+    return F.transform(cores, lambda x: _instance(text, x["start"], x["end"], x["s"], False))
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, th, the spans of each base kind, and candidates with ``known``: whether a base span touches them."""
+    """id, th, the spans of each base kind, and instances with ``known``: whether they are base spans."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     rows = rows.withColumns({kind: base(F.col("text"), kind) for kind in KINDS})
-    every = F.concat(*[F.col(k) for k in KINDS])
-    none = "array<struct<start:int,end:int,s:string,patterns:array<string>>>"
-    chunks = F.when(F.col("text").rlike("[0-9@]"), _candidates(F.col("text"))).otherwise(F.array().cast(none))
-    rows = rows.withColumns({"chunks": chunks, "every": every})
-    marked = F.transform("chunks", lambda x: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s"), x["patterns"].alias("patterns"),
-        _touches(F.col("every"), x).alias("known")))
-    return rows.select("id", "th", *KINDS, marked.alias("chunks"))
+    rows = rows.withColumns({"every": F.concat(*[F.col(k) for k in KINDS]), "others": F.aggregate(
+        F.array(*[F.col(k) for k in KINDS]), F.col("text"), _blanked)})
+    none = "array<struct<start:int,end:int,s:string,patterns:array<string>,known:boolean>>"
+    unseen = F.when(F.col("others").rlike("[0-9@]"), _candidates(F.col("text"), F.col("others"))).otherwise(
+        F.array().cast(none))
+    return rows.select("id", "th", *KINDS, F.concat(_seeds(F.col("text"), F.col("every")), unseen).alias("chunks"))
 
 
 def confident_patterns(read: DataFrame) -> DataFrame:

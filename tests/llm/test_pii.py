@@ -70,3 +70,20 @@ def test_mask(spark):
     assert len(text) == len(rows) and text[999].text is None
     assert text[0].text == "Intro 0\nPlease contact me: [EMAIL] now" and text[0].n_chars == len(text[0].text)
     assert text[100].text == "Please contact me: [ID] now" and text[200].text == plain[0][1]
+
+
+def test_spaced_entities_are_seeds_and_spaced_identifiers_are_found_whole(spark):
+    phones = [(i, f"Reach them on +1 ({i + 200}) 555-77{i + 10} today") for i in range(12)]
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "6011 0000 0000 0004"]
+    cards = [(100 + i, f"It was billed to account {c}, thanks") for i, c in enumerate(cards)]
+    unseen = {200: ("Reach them on ", "123 45 6789", " today"), 201: ("It was billed to account ", "99 1234 77", ", thanks"),
+              202: ("Reach them on ", "XQ7-LMNP", " today"), 203: ("Reach them on ", "(017) 555 7713", ". 12 more"),
+              204: ("It was billed to account ", "DE89 3704 0044 0532 0130 01", ""),
+              205: ("Mail a@b.org\nReach them on ", "4711", ", 4712 or 4713")}
+    plain = [(300 + i, f"The page {i} 2024 {i} was printed") for i in range(12)]
+    rows = [*phones, *cards, *((i, "".join(t)) for i, t in unseen.items()), *plain]
+    got = {r.doc_id: r.spans for r in op.report(frame(spark, rows)).collect()}
+    for i, (left, word, _) in unseen.items():
+        assert got[i].split(",")[-1] == f"id:{len(left)}:{len(left) + len(word)}", (i, got[i])
+    assert all(got[i] == "" for i, _ in plain)
+    assert all(got[i].startswith("phone:") and "," not in got[i] for i, _ in phones)
