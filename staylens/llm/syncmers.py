@@ -15,7 +15,8 @@ the whole table is held anywhere.
 
 Edge cases: null texts are empty; empty texts have the empty fingerprint (only
 dashes), like another empty one by 1 and any other by 0; texts shorter than
-``K`` bytes have their whole text as their one anchor; documents with equal ids
+``K`` bytes, and other short texts without a syncmer, have their whole text as
+their one anchor; documents with equal ids
 follow each other by text hash, a null id comes last; a single document is its
 own successor.
 """
@@ -46,12 +47,17 @@ _INNER = K - S + 1
 _EMPTY = "-" * 4 * BINS
 
 
+def _whole(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The whole text as its one anchor; none for an empty text."""
+    own = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
+    return np.zeros(min(len(text), 1), np.int64), np.array([own] if text else [], dtype=np.uint64)
+
+
 def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of the closed syncmers of a text."""
     n = len(text)
     if n < K:
-        own = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
-        return np.zeros(min(n, 1), np.int64), np.array([own] if n else [], dtype=np.uint64)
+        return _whole(text)
     part = mix64(np.ndarray(n - S + 1, dtype="<u8", strides=(1,), buffer=text))
     m = n - K + 1
     least, span = part, 1
@@ -59,6 +65,8 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         least, span = np.minimum(least[:-span], least[span:]), 2 * span
     least = np.minimum(least[:m], least[_INNER - span:_INNER - span + m])
     at = np.flatnonzero((part[:m] == least) | (part[_INNER - 1:_INNER - 1 + m] == least))
+    if not len(at):
+        return _whole(text)
     return at, mix64(part[at] + part[at + K - S] * np.uint64(0x9E3779B97F4A7C15))
 
 

@@ -1,3 +1,5 @@
+import random
+
 from staylens.llm import syncmers as op
 from tests_llm_helpers import frame, sha
 
@@ -39,3 +41,15 @@ def test_anchors_do_not_depend_on_their_surroundings():
 def test_fingerprints_keep_columns(spark):
     rows = op.fingerprints(frame(spark, [(1, "x", "a" * 50)], "doc_id long, syn string, text string")).collect()
     assert rows[0].syn == "x" and len(rows[0].syncmers.positions) == len(rows[0].syncmers.hashes) > 0
+
+
+def test_short_texts_without_a_syncmer_differ():
+    random.seed(5)
+    texts = ["".join(random.choice("abcdef ") for _ in range(n)) for n in range(1, 40) for _ in range(20)]
+    texts = sorted({*texts, "Eser thed nt of."})
+    found = [op.anchors(t.encode())[1] for t in texts]
+    assert all(len(h) for h in found)
+    empty = op.fingerprint(op.anchors(b"")[1])
+    assert all(op.likeness(op.fingerprint(h), empty) == 0 for h in found)
+    short = [h for t, h in zip(texts, found, strict=True) if len(t) >= 12 and len(h) == 1]
+    assert len({int(h[0]) for h in short}) == len(short) > 20
