@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
 Each page's tags become a tree.  Elements that never hold the article (menus,
-forms, scripts and such, and elements whose class, id or role says advert,
-comment, sidebar and so on) are cut out first.  Every remaining node gets its
+scripts, hidden ones and such) are cut out first, and so are forms and elements
+whose class, id or role says advert, comment, sidebar and so on, but not those
+that wrap the article: see ``settle``.  Every remaining node gets its
 link-adjusted characters per tag; the node with the highest sum over its
 children is the core, and the least density on its path to the body is the
 threshold that other parts must reach, each with its own best subtree.  If the
@@ -40,7 +41,7 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split())
 #: Elements that hold no article text.
 CUT = frozenset(
-    "nav aside footer form script style noscript template button select textarea iframe object svg math canvas audio "
+    "nav aside footer script style noscript template button select textarea iframe object svg math canvas audio "
     "video menu dialog head title fieldset".split())
 #: Starting one of these ends an open one of those, up to the named ancestors.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -61,10 +62,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "cut", "link", "parts", "parent", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "cut", "marked", "link", "parts", "parent", "chars", "link_chars", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool, link: bool = False):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, cut: bool, link: bool = False, marked: bool = False):
+        self.tag, self.parent, self.cut, self.marked = tag, parent, cut, marked
         self.link = link
         self.parts: list[Node | str] = []
 
@@ -73,10 +74,12 @@ class Node:
 
 
 def _marked(attrs) -> bool:
+    return any(value and name in ("class", "id", "role") and any(w.lower() in MARKS for w in _WORD.findall(value))
+               for name, value in attrs)
+
+
+def _hidden(attrs) -> bool:
     for name, value in attrs:
-        if value and name in ("class", "id", "role"):
-            if any(w.lower() in MARKS for w in _WORD.findall(value)):
-                return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -120,8 +123,8 @@ class _Tree(HTMLParser):
         if tag in ("html", "body") and self.open[tag]:
             return
         inside = self.open["article"] or self.open["main"]
-        cut = tag in CUT or tag == "header" and not inside or tag not in _KEEP and _marked(attrs)
-        node = Node(tag, self.stack[-1], cut, tag == "a")
+        cut = tag in CUT or tag == "header" and not inside or tag not in _KEEP and _hidden(attrs)
+        node = Node(tag, self.stack[-1], cut, tag == "a", tag == "form" or _marked(attrs))
         self.stack[-1].parts.append(node)
         if tag not in VOID:
             self.stack.append(node)
@@ -146,9 +149,40 @@ def parse(html: str) -> Node:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    settle(tree.root)
     return tree.root
 
 
+def settle(root: Node) -> None:
+    """Cuts out marked elements, but not those whose density is to decide.
+
+    These hold the page's articles, if none stands outside of marked elements,
+    or most of its text that is not in links, if the article is not outside; if
+    nothing would be left, none is cut."""
+    order, at = [(root, False)], 0      # node, whether it lies in a marked element
+    while at < len(order):
+        node, inside = order[at]
+        inside = inside or node.marked and node.tag not in _KEEP
+        order.extend((n, inside) for n in node.nodes() if not n.cut)
+        at += 1
+    plain: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    outside = False     # an article outside of marked elements
+    for node, inside in reversed(order):
+        below = [n for n in node.nodes() if not n.cut]
+        own = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        plain[id(node)] = 0 if node.link else own + sum(plain[id(n)] for n in below)
+        article = node.tag in ("article", "main") and not node.marked and plain[id(node)] > 0
+        holds[id(node)] = article or any(holds[id(n)] for n in below)
+        outside = outside or article and not inside
+    total = plain[id(root)]
+    marked = [(n, inside) for n, inside in order if n.marked and n.tag not in _KEEP]
+    left = total - sum(plain[id(n)] for n, inside in marked if not inside)
+    for node, _ in marked:
+        most = 2 * plain[id(node)] > total
+        node.cut = left > 0 and not (holds[id(node)] and (most or not outside) or most and not outside)
+
+
 def _order(root: Node) -> list[Node]:
     """Nodes that are not cut out, parents first."""
     out, at = [root], 0

@@ -36,3 +36,29 @@ def test_table(spark):
     for r in made:
         assert r.found.text == PAGES.get(r.html or "") and r.found.n_chars == len(r.found.text)
     assert op.extract(frame(spark, [], "page_id long, html string")).count() == 0
+
+
+ARTICLE = f"<article><h1>Head</h1><p>{LONG}</p><p>end</p></article>"
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "no-comments", "has-header", "search-results"])
+def test_marked_wrappers_keep_the_article(name):
+    around = f"<div class='sidebar'><p>{LONG}</p></div>"
+    assert op.main_text(f"<body><div class='{name}'>{ARTICLE}{around}</div></body>") == f"Head {LONG} end"
+    assert op.main_text(f"<body><form><div id='{name}'>{ARTICLE}</div></form><p>tail</body>") == f"Head {LONG} end"
+    # Without an article element, the text decides.
+    plain = f"<div><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div><div class=ad><p>Buy</p></div>"
+    assert op.main_text(f"<body><a href=x>Home</a><div class='{name}'>{plain}</div></body>") == f"T {LONG} {LONG}"
+    assert op.main_text(f"<form>{plain}</form>") == f"T {LONG} {LONG}"
+
+
+def test_marked_elements_beside_the_article_are_cut():
+    comments = f"<div id=comments><article class=comment-body><p>{LONG}</p></article><article><p>{LONG} {LONG}</p></article></div>"
+    assert op.main_text(f"<body>{ARTICLE}<div class=ad>{LONG} {LONG} {LONG}</div></body>") == f"Head {LONG} end"
+    assert op.main_text(f"<body><div><p>{LONG}</p>{ARTICLE}<p>{LONG}</p></div>"
+                        f"{comments.replace(LONG, 'short')}</body>") == f"Head {LONG} end"
+
+
+def test_a_page_of_marked_elements_only_is_not_empty():
+    page = "<body><a href=x>Home</a>" + "".join(f"<div class=widget><p>{LONG} {i}</p></div>" for i in range(3)) + "</body>"
+    assert all(f"{LONG} {i}" in op.main_text(page) for i in range(3))
