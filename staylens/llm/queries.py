@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_windows, license_scan
+from . import chat_windows, license_scan, line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +118,9 @@ def personal_data(spark, sf_dir):
     from . import pii_bootstrap as op
 
     return op.report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_line_dedup", line_dedup.oracle())
+def shared_lines(spark, sf_dir):
+    made = line_dedup.deduplicate(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return made.select("doc_id", "dedup.n_lines", "dedup.n_dropped", F.sha2("dedup.kept", 256).alias("kept_sha256"))
