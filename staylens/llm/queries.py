@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_windows, license_scan, line_dedup
+from . import chat_windows, license_scan, line_dedup, prefix_trie, source_divergence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,13 @@ def personal_data(spark, sf_dir):
 def shared_lines(spark, sf_dir):
     made = line_dedup.deduplicate(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return made.select("doc_id", "dedup.n_lines", "dedup.n_dropped", F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
+@query("op12_source_divergence", source_divergence.oracle())
+def source_shares(spark, sf_dir):
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op11_prefix_trie", prefix_trie.oracle())
+def conversation_prefixes(spark, sf_dir):
+    return prefix_trie.nodes(prefix_trie.rebuilt(prefix_trie.paths(table(spark, sf_dir, "conversations"))))
