@@ -1,9 +1,9 @@
 """Distribution tables behind box plots, histograms and density curves.
 
-All of them work on the unpivoted (keys, column, value) form, so several
-columns share one scan and every column is its own group.  Per-group
-statistics (quantile limits, ranges, fences) are small tables joined back
-by key; Spark's adaptive planner broadcasts them after measuring them.
+The wanted columns are written once, as doubles; every pass unpivots that
+narrow table, so several columns share one scan and every column is its own
+group.  Per-group statistics (quantile limits, ranges, fences) are small
+tables joined back by key.
 """
 
 from __future__ import annotations
@@ -14,35 +14,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import exact_quantiles, fractional_columns, quantiles_long_auto, scalar_quantile
+from .ranks import long_values, narrow, quantiles, same_keys, scalar_quantile
 from ..functions.names import qcol
-from ..session import shared_dir
 
-
-def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by, column, value) of non-null, non-NaN values."""
-    by = list(by)
-    casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
-    return (casted.unpivot(by, list(cols), "column", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+#: Cells of a bandwidth, and bandwidths beyond which a value adds nothing (exp(-8.5^2 / 2) is 2e-16).
+CELLS, REACH = 8, 8.5
+#: Terms of a cell's expansion: the next one is below 1e-16 of the kernel's top.
+TERMS = 10
 
 
-def trim_below_quantile(df: DataFrame, col: str, q: float = 0.99,
-                        method: str = "auto") -> DataFrame:
+def trim_below_quantile(df: DataFrame, col: str, q: float = 0.99, method: str = "exact") -> DataFrame:
     """Rows with ``col`` strictly below its q-quantile (a scalar subquery, one plan)."""
     return df.where(qcol(col) < scalar_quantile(df, col, q, method))
 
 
-def trimmed_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-                 q: float = 0.99) -> DataFrame:
-    """Per column, values below that column's q-quantile over all rows."""
-    long = long_values(df, cols, by)
-    limits = (exact_quantiles(df, cols, [q]).select("column", F.col("value").alias("_lim")))
-    trimmed = long.join(limits, "column").where(F.col("value") < F.col("_lim")).drop("_lim")
-    # Read several times downstream (quantiles, counts, fences): written once to
-    # the shared folder instead of re-deriving the source joins each time.
-    shared_dir(df.sparkSession)
-    return trimmed.checkpoint(eager=True)
+def trimmed_long(table: DataFrame, cols: Sequence[str], by: Sequence[str] = (), q: float = 0.99,
+                 rows: int | None = None) -> DataFrame:
+    """(by, column, value) of a :func:`narrow` table: per column, values below its q-quantile over all rows."""
+    limits = quantiles(long_values(table, cols), ["column"], [q], table.count() if rows is None else rows)
+    met = same_keys(long_values(table, cols, by), limits.select("column", F.col("value").alias("_lim")), ["column"])
+    return met.where(F.col("value") < F.col("_lim")).drop("_lim")
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str], q: float = 0.99,
@@ -50,23 +41,19 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str], q: float =
     """q1, median, q3, whiskers (furthest values inside q1/q3 -/+ whisker*IQR), outliers, n."""
     by = list(by)
     keys = [*by, "column"]
-    long = trimmed_long(df, cols, by, q)
-    qs = quantiles_long_auto(long, keys, [0.25, 0.5, 0.75], fractional_columns(df, cols))
-    quart = qs.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-                                    for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    fences = quart.join(sizes, keys).select(*keys, "n", "q1", "median", "q3")
+    table = narrow(df, cols, by)
+    rows = table.count()
+    long = trimmed_long(table, cols, by, q, rows)
+    found = quantiles(long, keys, [0.25, 0.5, 0.75], rows)
+    fences = found.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+                                        for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     iqr = F.col("q3") - F.col("q1")
-    fences = (fences.withColumn("_lo", F.col("q1") - F.lit(whisker) * iqr)
-              .withColumn("_hi", F.col("q3") + F.lit(whisker) * iqr))
+    fences = fences.withColumns({"_lo": F.col("q1") - F.lit(whisker) * iqr, "_hi": F.col("q3") + F.lit(whisker) * iqr})
     v = F.col("value")
-    inside = long.join(fences.select(*keys, "_lo", "_hi"), keys)
-    whisk = inside.groupBy(*keys).agg(
+    return same_keys(long, fences, keys).groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_low"),
         F.max(F.when(v <= F.col("_hi"), v)).alias("whisker_high"),
-        F.count_if((v < F.col("_lo")) | (v > F.col("_hi"))).alias("n_outliers"))
-    return fences.join(whisk, keys).select(*keys, "q1", "median", "q3", "whisker_low",
-                                           "whisker_high", "n_outliers", "n")
+        F.count_if((v < F.col("_lo")) | (v > F.col("_hi"))).alias("n_outliers"), F.count("*").alias("n"))
 
 
 def _range_cols(mn: Column, mx: Column) -> tuple[Column, Column]:
@@ -83,10 +70,11 @@ def _bin_of(v: Column, lo: Column, hi: Column, bins: int) -> Column:
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, q: float = 0.99,
               trim: bool = True) -> DataFrame:
     """Equal-width bins over each column's [min, max] (after the quantile trim), empty bins kept."""
-    long = trimmed_long(df, cols, (), q) if trim else long_values(df, cols)
+    table = narrow(df, cols)
+    long = trimmed_long(table, cols, (), q) if trim else long_values(table, cols)
     lo, hi = _range_cols(F.min("value"), F.max("value"))
     rng = long.groupBy("column").agg(lo.alias("_lo"), hi.alias("_hi"))
-    counted = (long.join(rng, "column")
+    counted = (same_keys(long, rng, ["column"])
                .withColumn("bin", _bin_of(F.col("value"), F.col("_lo"), F.col("_hi"), bins))
                .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count")))
     every = rng.select("column", "_lo", "_hi",
@@ -98,50 +86,76 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, q: float = 0.9
                     F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
-def kde_grid(long: DataFrame, keys: Sequence[str], points: int = 200, prebins: int = 1024,
-             grid_lo: float | None = None, grid_hi: float | None = None) -> DataFrame:
-    """Gaussian density (Scott bandwidth: sample std * n^(-1/5)) on an even grid, per key.
+def _hermite() -> list[list[int]]:
+    """Coefficients (by rising power) of the polynomials He_0, He_1, ... of a Gaussian's expansion."""
+    polynomials = [[1], [0, 1]]
+    while len(polynomials) < TERMS:
+        k = len(polynomials) - 1
+        shifted = [0, *polynomials[k]]
+        polynomials.append([a - k * b for a, b in zip(shifted, polynomials[k - 1] + [0, 0])])
+    return polynomials
+
+
+def density_points(long: DataFrame, keys: Sequence[str], points: int = 200, grid_lo: float | None = None,
+                   grid_hi: float | None = None) -> DataFrame:
+    """(keys, point, x, density): Gaussian density (Scott bandwidth: sample std * n^(-1/5)) on an even grid.
 
-    Values are first counted into ``prebins`` equal bins (centres carry the
-    counts), so the grid is evaluated against at most ``prebins`` centres per
-    key -- a bounded array folded with ``aggregate`` -- never against rows.
-    A curve over its whole range integrates to 1; a constant column has a null density.
+    Values are gathered into cells of 1/8 bandwidth, and a cell keeps the sums
+    of the powers of its values' distances to its centre.  These are the
+    coefficients of the cell's share of any point's density, so a cell adds to
+    each grid point within 8.5 bandwidths exactly what its rows would, to
+    double precision.  Only cells that hold values exist, however wide the
+    range.  A curve over its whole range integrates to 1; a constant column
+    has a null density.
     """
     keys = list(keys)
     lo, hi = _range_cols(F.min("value"), F.max("value"))
-    st = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("value").alias("_sd"),
-                                 lo.alias("_lo"), hi.alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(prebins))
-    centres = (long.join(st.select(*keys, "_lo", "_hi"), keys)
-               .withColumn("_b", _bin_of(F.col("value"), F.col("_lo"), F.col("_hi"), prebins))
-               .groupBy(*keys, "_b", "_lo", "_hi").agg(F.count(F.lit(1)).alias("_c"))
-               .select(*keys, F.struct((F.col("_lo") + (F.col("_b") + 0.5) * width).alias("x"),
-                                       F.col("_c").cast("double").alias("c")).alias("_cell"))
-               .groupBy(*keys).agg(F.collect_list("_cell").alias("_cells")))
-    g_lo = F.lit(float(grid_lo)) if grid_lo is not None else F.col("_lo")
-    g_hi = F.lit(float(grid_hi)) if grid_hi is not None else F.col("_hi")
-    bw = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    grid = (st.join(centres, keys)
-            .select(*keys, "_n", "_cells", bw.alias("_bw"), g_lo.alias("_glo"), g_hi.alias("_ghi"),
-                    F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")))
-    x = F.col("_glo") + F.col("point") * (F.col("_ghi") - F.col("_glo")) / F.lit(float(points - 1))
-    grid = grid.withColumn("x", x)
-    total = F.aggregate("_cells", F.lit(0.0),
-                        lambda acc, cell: acc + cell["c"] * F.exp(
-                            F.lit(-0.5) * F.pow(F.try_divide(F.col("x") - cell["x"], F.col("_bw")), 2)))
+    stats = long.groupBy(*keys).agg(F.count("*").alias("_n"), F.stddev_samp("value").alias("_sd"), lo.alias("_lo"),
+                                    hi.alias("_hi"))
+    stats = stats.select(*keys, "_n", F.nullif(F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)),
+                                               F.lit(0.0)).alias("_bw"),
+                         (F.lit(float(grid_lo)) if grid_lo is not None else F.col("_lo")).alias("_glo"),
+                         (F.lit(float(grid_hi)) if grid_hi is not None else F.col("_hi")).alias("_ghi"))
+    step = (F.col("_ghi") - F.col("_glo")) / F.lit(float(points - 1))
+    cell = F.floor(F.col("value") / F.col("_bw") * CELLS).cast("long")
+    near = same_keys(long, stats.where(F.col("_bw").isNotNull()), keys)
+    near = near.select(*keys, "_bw", "_glo", step.alias("_step"), cell.alias("_cell"),
+                       (F.col("value") / F.col("_bw") - (cell + 0.5) / CELLS).alias("_s"))
+    powers = [F.lit(1.0)]
+    for _ in range(1, TERMS):
+        powers.append(powers[-1] * F.col("_s"))
+    cells = near.groupBy(*keys, "_bw", "_glo", "_step", "_cell").agg(*[F.sum(p).alias(f"_m{k}") for k, p in enumerate(powers)])
+    # sum_k He_k(u) m_k / k! as one polynomial in u, the distance of a point in bandwidths.
+    hermite = _hermite()
+    for j in range(TERMS):
+        terms = [F.col(f"_m{k}") * (hermite[k][j] / math.factorial(k)) for k in range(j, TERMS) if hermite[k][j]]
+        cells = cells.withColumn(f"_a{j}", sum(terms[1:], terms[0]))
+    centre = (F.col("_cell") + 0.5) / CELLS
+    first = F.ceil(((centre - REACH) * F.col("_bw") - F.col("_glo")) / F.col("_step"))
+    last = F.floor(((centre + REACH) * F.col("_bw") - F.col("_glo")) / F.col("_step"))
+    first, last = F.greatest(first, F.lit(0)).cast("int"), F.least(last, F.lit(points - 1)).cast("int")
+    reached = F.when(first <= last, F.sequence(first, last))
+    u = (F.col("_glo") + F.col("point") * F.col("_step")) / F.col("_bw") - centre
+    added = cells.select("*", F.explode(reached).alias("point")).withColumn("_u", u)
+    total = F.col(f"_a{TERMS - 1}")
+    for j in range(TERMS - 2, -1, -1):
+        total = total * F.col("_u") + F.col(f"_a{j}")
+    sums = added.groupBy(*keys, "point").agg(F.sum(F.exp(F.col("_u") * F.col("_u") * -0.5) * total).alias("_sum"))
+    grid = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     norm = F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
-    return grid.select(*keys, "point", "x", F.try_divide(total, norm).alias("density"))
+    return same_keys(grid, sums, [*keys, "point"], "left").select(
+        *keys, "point", (F.col("_glo") + F.col("point") * step).alias("x"),
+        F.when(F.col("_bw").isNotNull(), F.coalesce("_sum", F.lit(0.0)) / norm).alias("density"))
 
 
-def density(df: DataFrame, cols: Sequence[str], points: int = 200, prebins: int = 1024,
-            q: float = 0.99, trim: bool = True) -> DataFrame:
+def density(df: DataFrame, cols: Sequence[str], points: int = 200, q: float = 0.99, trim: bool = True) -> DataFrame:
     """Density curve per column over its trimmed range (the line over a histogram)."""
-    long = trimmed_long(df, cols, (), q) if trim else long_values(df, cols)
-    return kde_grid(long, ["column"], points, prebins)
+    table = narrow(df, cols)
+    long = trimmed_long(table, cols, (), q) if trim else long_values(table, cols)
+    return density_points(long, ["column"], points)
 
 
 def density_by(df: DataFrame, col: str, by: Sequence[str], lo: float = 0.0, hi: float = 400.0,
-               points: int = 200, prebins: int = 1024) -> DataFrame:
+               points: int = 200) -> DataFrame:
     """Density of one column per group, each normalised to 1, on a fixed [lo, hi] grid."""
-    long = long_values(df, [col], by)
-    return kde_grid(long, [*by, "column"], points, prebins, lo, hi)
+    return density_points(long_values(narrow(df, [col], by), [col], by), [*by, "column"], points, lo, hi)

@@ -3,8 +3,8 @@
 Everything starts from one group-by: (label, prediction) counts for the
 report and the confusion matrix, (score) -> positive / negative counts for
 the ROC curve.  Those tables are bounded by classes resp. distinct scores;
-the ROC prefix sums run through :func:`ranks.cumulative_by_value`, never in
-one task over all scores.
+the ROC prefix sums run through :func:`ranks.running_sums`, never in one task
+over all scores.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import cumulative_by_value
+from .ranks import running_sums
 
 
 def pair_counts(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
@@ -83,21 +83,17 @@ def score_counts(df: DataFrame, label_col: str, score_col: str, pos_label=1) ->
         F.count_if(is_pos).alias("pos"), F.count_if(~is_pos).alias("neg"))
 
 
-def roc_curve(df: DataFrame, label_col: str, score_col: str, pos_label=1,
-              drop_intermediate: bool = True) -> DataFrame:
-    """(threshold, fpr, tpr) at each distinct score, high to low, after a (inf, 0, 0) start.
+def ordered_scores(df: DataFrame, label_col: str, score_col: str, pos_label=1) -> DataFrame:
+    """Distinct scores with their counts, the counts before them, the next score's, and the totals.
 
-    With ``drop_intermediate`` a point is kept only when the slope changes
-    on either side of it (the first and last points always stay); for
-    distinct scores that is: its (pos, neg) counts differ from the next
-    score's counts.  With one class only, the rate of the other is null.
+    One pass over the rows; the curve and the area both follow from it.
     """
-    per = score_counts(df, label_col, score_col, pos_label)
-    cum = cumulative_by_value(per, [], "score", ["pos", "neg"], descending=True, with_next=True)
-    totals = per.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    # Totals enter as scalar subqueries: one small aggregate, no join.
-    pts = (cum.withColumn("_P", totals.select("_P").scalar())
-           .withColumn("_N", totals.select("_N").scalar()))
+    return running_sums(score_counts(df, label_col, score_col, pos_label), [], "score", ["pos", "neg"],
+                        descending=True, with_next=True)
+
+
+def curve_of(points: DataFrame, drop_intermediate: bool = True) -> DataFrame:
+    """:func:`roc_curve` of :func:`ordered_scores`."""
     tps = F.col("pos_before") + F.col("pos")
     fps = F.col("neg_before") + F.col("neg")
     keep = F.lit(True)
@@ -106,17 +102,31 @@ def roc_curve(df: DataFrame, label_col: str, score_col: str, pos_label=1,
         last = F.col("pos_next").isNull()
         bend = (F.col("pos_next") != F.col("pos")) | (F.col("neg_next") != F.col("neg"))
         keep = first | last | bend
-    curve = pts.where(keep).select(F.col("score").alias("threshold"),
-                                   F.try_divide(fps, F.col("_N")).alias("fpr"),
-                                   F.try_divide(tps, F.col("_P")).alias("tpr"))
-    start = totals.select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
-                          F.lit(0.0).alias("tpr"))
+    curve = points.where(keep).select(F.col("score").alias("threshold"),
+                                      F.try_divide(fps, F.col("neg_total")).alias("fpr"),
+                                      F.try_divide(tps, F.col("pos_total")).alias("tpr"))
+    start = points.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(curve)
 
 
+def area_of(points: DataFrame) -> DataFrame:
+    """:func:`roc_auc` of :func:`ordered_scores`."""
+    area = F.sum(F.col("neg") * (F.lit(2.0) * F.col("pos_before") + F.col("pos")))
+    return points.agg(F.try_divide(area, F.lit(2.0) * F.sum("pos") * F.sum("neg")).alias("auc"))
+
+
+def roc_curve(df: DataFrame, label_col: str, score_col: str, pos_label=1,
+              drop_intermediate: bool = True) -> DataFrame:
+    """(threshold, fpr, tpr) at each distinct score, high to low, after a (inf, 0, 0) start.
+
+    With ``drop_intermediate`` a point is kept only when the slope changes
+    on either side of it (the first and last points always stay); for
+    distinct scores that is: its (pos, neg) counts differ from the next
+    score's counts.  With one class only, the rate of the other is null.
+    """
+    return curve_of(ordered_scores(df, label_col, score_col, pos_label), drop_intermediate)
+
+
 def roc_auc(df: DataFrame, label_col: str, score_col: str, pos_label=1) -> DataFrame:
     """Trapezoid area under the ROC curve (dropping collinear points does not change it); null for one class."""
-    per = score_counts(df, label_col, score_col, pos_label)
-    cum = cumulative_by_value(per, [], "score", ["pos", "neg"], descending=True)
-    area = F.sum(F.col("neg") * (F.lit(2.0) * F.col("pos_before") + F.col("pos")))
-    return cum.agg(F.try_divide(area, F.lit(2.0) * F.sum("pos") * F.sum("neg")).alias("auc"))
+    return area_of(ordered_scores(df, label_col, score_col, pos_label))

@@ -1,296 +1,194 @@
-"""Order statistics without a single-task window.
-
-``row_number()`` or a running sum over a whole column (or over one label)
-puts every row of that key in one task.  The operators here keep the work
-distributed:
-
-* :func:`exact_quantiles` -- integer columns: Spark's exact ``percentile``
-  on the unpivoted values (one group per column, state = the group's
-  distinct values); fractional columns: ranks selected by
-  :func:`value_at_ranks` over checkpointed value counts; ``approx`` uses
-  ``percentile_approx``;
-* :func:`value_at_ranks` -- distinct values with counts are placed in
-  equal-width bins per group, bins are counted and prefix-summed on the small
-  bin table, and only rows of the located bins are ranked, after a second
-  binning level inside them, so a dense cluster is split again;
-* :func:`cumulative_by_value` -- running sums (and the next row's values) in
-  value order: bin totals are prefix-summed, then a window runs per bin;
-* :func:`hash_ranks` -- ranks in hash order: uniform hash buckets are counted
-  and prefix-summed, then ``row_number`` runs per bucket.
-
-All results are exact.
+"""Order statistics of any numeric column, without a task that holds a column.
+
+* :func:`values_at` -- exact values at ranks: a mergeable quantile sketch per
+  key gives splitters, the range between two splitters that holds a rank is
+  located, and this is repeated inside the range until it is small; then its
+  distinct values are counted and ranked.  Splitters follow the data, so far
+  outliers, dense clusters and wide integers make no difference;
+* :func:`quantiles` / :func:`exact_quantiles` -- linear-interpolation
+  quantiles of numeric columns by :func:`values_at`;
+* :func:`running_sums` -- sums over all earlier rows of a key in value order:
+  rows are dealt into ranges of equal size, sums run inside a range, and the
+  ranges' own sums are added up on a table of one row per range and key.
+
+Results are exact, but for quantiles of the ``approx`` method.  Keys may be
+null: a null key is a key of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
 from ..functions.names import qcol
+from ..session import stored
+
+#: Splitters of a sketch, and the inverse of its relative error.
+GRID, ACCURACY = 512, 2_000
+#: Share of a key's rows kept away from a rank on each side: four times the sketch's error.
+MARGIN = 4 / ACCURACY
+#: A round leaves at most this share of a key's rows between the splitters of a rank.
+LEFT = 2 / GRID + 4 * MARGIN
+#: Rows of a located range that one task may rank.
+SMALL = 1_000_000
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+              condition: Callable[[], Column] | None = None) -> DataFrame:
+    """Join on ``keys`` where nulls are equal; the columns of ``left``, then the others of ``right``."""
+    other = right.select(*[qcol(k).alias(f"_same{i}") for i, k in enumerate(keys)],
+                         *[qcol(c) for c in right.columns if c not in keys])
+    on = [qcol(k).eqNullSafe(F.col(f"_same{i}")) for i, k in enumerate(keys)]
+    on += [condition()] if condition else []
+    return left.join(other, reduce(Column.__and__, on), how).drop(*[f"_same{i}" for i in range(len(keys))])
+
+
+def narrow(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by`` and the numeric columns as doubles, written once: what several passes read."""
+    return stored(df.select(*[qcol(c) for c in by], *[qcol(c).cast("double").alias(c) for c in cols if c not in by]),
+                  "narrow")
+
+
+def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, column, value) of the values that are neither null nor NaN."""
+    casted = df.select(*[qcol(c) for c in by], *[qcol(c).cast("double").alias(c) for c in cols])
+    return (casted.unpivot([qcol(c) for c in by], [qcol(c) for c in cols], "column", "value")
+            .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
-DEFAULT_BINS = 65536          # per binning level of the rank selection
-MAX_BIN_VALUES = 1_000_000    # distinct values one located bin may hold before a 2nd level
-PREFIX_BINS = 1 << 20         # value bins of running sums: ~1e6 rows per bin at 1e12 rows
-HASH_BUCKET_BITS = 20         # hash buckets of ranks: same bound; only non-empty ones exist
 
+def _between(state: DataFrame, first: Column, last: Column, n: Column) -> DataFrame:
+    """``lo`` and ``hi``: values of the sketch that are surely not after ``first`` and not before ``last``."""
+    i = F.floor((first / n - MARGIN) * GRID).cast("int")
+    j = F.ceil(((last + 1) / n + MARGIN) * GRID).cast("int")
+    return state.withColumns({
+        "lo": F.when(i < 0, F.col("least")).otherwise(F.get("grid", i)),
+        "hi": F.when(j > GRID, F.col("most")).otherwise(F.get("grid", j))}).drop("grid", "least", "most")
 
-def _bin_expr(value: str, lo: str, hi: str, bins: int) -> Column:
-    width = F.col(hi) - F.col(lo)
-    raw = F.floor((F.col(value) - F.col(lo)) / width * F.lit(float(bins)))
-    return (F.when(width > 0, F.least(raw, F.lit(bins - 1)))
-            .otherwise(F.lit(0)).cast("int"))
 
+def _sketch(value: Column) -> list[Column]:
+    return [F.percentile_approx(value, [k / GRID for k in range(GRID + 1)], ACCURACY).alias("grid"),
+            F.min(value).alias("least"), F.max(value).alias("most")]
 
-def _locate(rows: DataFrame, keys: list[str], value: str, weight: str,
-            targets: DataFrame, rank: str, bins: int) -> tuple[DataFrame, DataFrame]:
-    """Bin ``rows`` per key and find the bin holding each target rank.
 
-    Returns (candidates, located): candidate rows (rows of located bins, one
-    copy per target) and the located bins with the weight before them.
-    """
-    stats = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    binned = (rows.join(stats, keys)
-              .withColumn("_bin", _bin_expr(value, "_lo", "_hi", bins))
-              .drop("_lo", "_hi"))
-    per_bin = binned.groupBy(*keys, "_bin").agg(F.sum(weight).alias("_w"),
-                                                F.count(F.lit(1)).alias("_nv"))
-    order = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    per_bin = per_bin.withColumn("_before", F.coalesce(F.sum("_w").over(order), F.lit(0)))
-    located = (targets.join(per_bin, keys)
-               .where((F.col(rank) >= F.col("_before"))
-                      & (F.col(rank) < F.col("_before") + F.col("_w")))
-               .select(*keys, rank, "_bin", "_before", "_nv"))
-    candidates = binned.join(located.drop("_nv"), [*keys, "_bin"])
-    return candidates, located
-
-
-def value_at_ranks(rows: DataFrame, keys: Sequence[str], value: str, weight: str,
-                   targets: DataFrame, rank: str = "rank",
-                   bins: int = DEFAULT_BINS, max_bin_values: int = MAX_BIN_VALUES) -> DataFrame:
-    """Value at 0-based ``rank`` in ascending value order, weighted by ``weight``.
-
-    ``rows`` holds (keys, value, weight) with distinct (keys, value);
-    ``targets`` holds (keys, rank) with 0 <= rank < total weight of the key.
-    Returns (keys, rank, value).  The located bins' sizes are read first (a
-    tiny action); a second binning level runs only when one of them holds
-    more than ``max_bin_values`` distinct values.
+def values_at(long: DataFrame, keys: Sequence[str], aims: Callable[[Column], Column], rows: int) -> DataFrame:
+    """Exact values at ranks of each key of a (keys, value) frame that is cheap to scan.
+
+    Values are doubles, or integers that a double holds exactly (the sketch works on doubles).
+
+    ``aims`` makes, from a key's number of rows, an array of structs (id, first,
+    last): 0-based ranks, which may be equal, in ascending value order.  ``rows``
+    (the frame's rows, or more) says how many rounds it takes until a located
+    range is small.  Returns (keys, id, first, last, n, v_first, v_last, below,
+    equal): the values at both ranks, and the rows of the key that are smaller
+    than the first one and equal to it.
     """
     keys = list(keys)
-    base = rows.select(*keys, value, weight)
-    tg = targets.select(*keys, rank).distinct()
-    # Level 1: bins over the whole key range.
-    cand, loc = _locate(base, keys, value, weight, tg, rank, bins)
-    widest = loc.agg(F.max("_nv")).first()[0] or 0
-    pick_rank, part = rank, [*keys, rank, "_bin"]
-    if widest > max_bin_values:
-        # Level 2: bins inside each located bin; the key now includes the target.
-        keys2 = [*keys, rank]
-        rows2 = cand.select(*keys2, value, weight)
-        tg2 = loc.select(*keys2, (F.col(rank) - F.col("_before")).alias("_r2"))
-        cand, _ = _locate(rows2, keys2, value, weight, tg2, "_r2", bins)
-        pick_rank, part = "_r2", [*keys2, "_bin"]
-    # Exact pick: running weight inside the located bin.
-    run = Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    picked = (cand
-              .withColumn("_run", F.coalesce(F.sum(weight).over(run), F.lit(0)) + F.col("_before"))
-              .where((F.col(pick_rank) >= F.col("_run"))
-                     & (F.col(pick_rank) < F.col("_run") + F.col(weight))))
-    return picked.select(*keys, rank, value)
-
-
-def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-                      value: str = "value", column: str = "column") -> DataFrame:
-    """(by, column, value, cnt) over non-null, non-NaN values of numeric columns."""
-    by = list(by)
-    casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
-    long = casted.unpivot(by, list(cols), column, value)
-    long = long.where(F.col(value).isNotNull() & ~F.isnan(value))
-    return long.groupBy(*by, column, value).agg(F.count(F.lit(1)).alias("cnt"))
+    target = [*keys, "id", "first", "last", "n"]
+    value = F.col("value")
+    state = long.groupBy(*keys).agg(F.count("*").alias("n"), *_sketch(value))
+    state = state.withColumn("aim", F.explode(aims(F.col("n")))).select("*", "aim.*").drop("aim")
+    # One row per key and rank, as a table: its measured size decides whether it is broadcast.
+    state = stored(_between(state, F.col("first"), F.col("last"), F.col("n")), "located")
+    while (rows := rows * LEFT) > SMALL:
+        inside = F.when(value >= F.col("lo"), value)
+        state = same_keys(long, state, keys, condition=lambda: value <= F.col("hi")).groupBy(*target).agg(
+            F.count_if(value < F.col("lo")).alias("below"), F.count(inside).alias("m"), *_sketch(inside))
+        state = stored(_between(state, F.col("first") - F.col("below"), F.col("last") - F.col("below"), F.col("m"))
+                       .drop("below", "m"), "located")
+    met = same_keys(long, state, keys, condition=lambda: value <= F.col("hi"))
+    # All smaller values are one group, the null.
+    counts = met.groupBy(*target, F.when(value >= F.col("lo"), value).alias("v")).agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy(*keys, "id").orderBy("v").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = counts.withColumn("before", F.coalesce(before, F.lit(0)))
+
+    def at(rank: str, what: str) -> Column:
+        covers = (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("before") + F.col("c"))
+        return F.max(F.when(covers, F.col(what)))
+
+    return ranked.groupBy(*target).agg(at("first", "v").alias("v_first"), at("last", "v").alias("v_last"),
+                                       at("first", "before").alias("below"), at("first", "c").alias("equal"))
+
+
+def quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float], rows: int) -> DataFrame:
+    """(keys, prob, value): linear-interpolation quantiles of a (keys, value) frame that is cheap to scan.
+
+    With n values and h = (n - 1) p the result is v[floor h] + (h - floor h) (v[ceil h] - v[floor h]),
+    and the value itself where both are equal (so also for infinities).
+    """
+    def aims(n: Column) -> Column:
+        h = [(n - 1).cast("double") * F.lit(float(p)) for p in probs]
+        return F.array(*[F.struct(F.lit(float(p)).alias("id"), F.floor(x).cast("long").alias("first"),
+                                  F.ceil(x).cast("long").alias("last")) for p, x in zip(probs, h)])
 
+    found = values_at(long, keys, aims, rows)
+    part = (F.col("n") - 1).cast("double") * F.col("id") - F.col("first")
+    step = F.when(F.col("v_last") == F.col("v_first"), F.lit(0.0)).otherwise(part * (F.col("v_last") - F.col("v_first")))
+    return found.select(*keys, F.col("id").alias("prob"), (F.col("v_first") + step).alias("value"))
 
-def fractional_columns(df: DataFrame, cols: Sequence[str]) -> set[str]:
-    """Float / double / decimal columns: their distinct values can grow with the rows."""
-    from pyspark.sql.types import DecimalType, DoubleType, FloatType
-    return {f.name for f in df.schema.fields
-            if f.name in cols and isinstance(f.dataType, (FloatType, DoubleType, DecimalType))}
 
+def approximate_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                          accuracy: int = 10_000) -> DataFrame:
+    """(keys, prob, value) from the sketch alone: one pass."""
+    probs = [float(p) for p in probs]
+    per = long.groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q"))
+    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("q").alias("value"))
+    return per.select(*keys, F.explode(pairs).alias("z")).select(*keys, "z.prob", "z.value")
 
-def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                   method: str = "percentile", value: str = "value",
-                   bins: int = DEFAULT_BINS, accuracy: int = 10000) -> DataFrame:
-    """Quantiles of a long (keys, value) frame; returns (keys, prob, value).
 
-    ``percentile``: Spark's exact aggregate, state = distinct values of a key.
-    ``binned``: distinct values with counts are checkpointed once to the
-    shared folder (reliable, cuts the lineage the selection reads many times),
-    then ranks are selected by :func:`value_at_ranks` -- no key's values ever
-    meet in one task.  ``approx``: ``percentile_approx``.
-    """
-    keys = list(keys)
-    probs_arr = [float(p) for p in probs]
-    if method in ("percentile", "approx"):
-        agg = (F.percentile(value, probs_arr) if method == "percentile"
-               else F.percentile_approx(value, probs_arr, accuracy))
-        per_key = long.groupBy(*keys).agg(agg.alias("_q"))
-        zipped = F.arrays_zip(F.array(*[F.lit(p) for p in probs_arr]).alias("prob"),
-                              F.col("_q").alias("value"))
-        return (per_key.select(*keys, F.explode(zipped).alias("_z"))
-                .select(*keys, F.col("_z.prob").alias("prob"), F.col("_z.value").alias("value")))
-    if method != "binned":
-        raise ValueError(f"unknown quantile method {method!r}")
-    from ..session import shared_dir
-    shared_dir(long.sparkSession)
-    vc = (long.groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
-          .checkpoint(eager=True))
-    totals = vc.groupBy(*keys).agg(F.sum("cnt").alias("_n"))
-    tg = (totals.select(*keys, "_n", F.explode(F.array(*[F.lit(p) for p in probs_arr])).alias("prob"))
-          .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("prob"))
-          .withColumn("_lo", F.floor("_h").cast("long"))
-          .withColumn("_hi", F.ceil("_h").cast("long")))
-    ranks = tg.select(*keys, F.explode(F.array("_lo", "_hi")).alias("rank"))
-    vals = value_at_ranks(vc, keys, "value", "cnt", ranks, bins=bins)
-    lo = vals.withColumnRenamed("rank", "_lo").withColumnRenamed("value", "_vlo")
-    hi = vals.withColumnRenamed("rank", "_hi").withColumnRenamed("value", "_vhi")
-    out = (tg.join(lo, [*keys, "_lo"]).join(hi, [*keys, "_hi"])
-           .withColumn("value", F.col("_vlo")
-                       + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))))
-    # keys x probs rows: checkpointed too, so consumers scan a small table
-    # instead of re-planning the selection.
-    return out.select(*keys, "prob", "value").checkpoint(eager=True)
-
-
-def quantiles_long_auto(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                        fractional: set[str], column: str = "column",
-                        method: str = "auto") -> DataFrame:
-    """:func:`quantiles_long` with ``auto``: ``binned`` for the fractional columns
-    (named in ``column``), ``percentile`` for the rest."""
-    if method != "auto":
-        return quantiles_long(long, keys, probs, method)
-    frac = sorted(fractional)
-    parts = []
-    is_frac = F.col(column).isin(*frac) if frac else F.lit(False)
-    parts.append(quantiles_long(long.where(~is_frac), keys, probs, "percentile"))
-    if frac:
-        parts.append(quantiles_long(long.where(is_frac), keys, probs, "binned"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), method: str = "auto",
-                    bins: int = DEFAULT_BINS, accuracy: int = 10000) -> DataFrame:
-    """Linear-interpolation quantiles per (by, column), long form.
-
-    Same rule as pandas ``quantile`` / DuckDB ``quantile_cont``: with n
-    non-null values and h = (n - 1) p, the result is
-    v[floor h] + (h - floor h) (v[ceil h] - v[floor h]).
-
-    ``method``: ``auto`` (default) uses the exact ``percentile`` aggregate for
-    integer and boolean columns -- one group per column, state = the group's
-    distinct values, bounded by the value range -- and the fully distributed
-    ``binned`` selection for fractional columns, whose distinct values can
-    grow with the rows; ``percentile``, ``binned`` or ``approx`` force one.
-    Returns (by, column, prob, value); a column without values gives no row.
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                    method: str = "exact") -> DataFrame:
+    """Quantiles per (by, column): (by, column, prob, value); a column without values gives no row.
+
+    Same rule as pandas ``quantile`` and DuckDB ``quantile_cont``.  One path for
+    all numeric types; ``method="approx"`` takes the sketch's values instead.
     """
     by = list(by)
-    keys = [*by, "column"]
-    casted = df.select(*by, *[qcol(c).cast("double").alias(c) for c in cols])
-    long = (casted.unpivot(by, list(cols), "column", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
-    if method == "auto":
-        return quantiles_long_auto(long, keys, probs, fractional_columns(df, cols))
-    return quantiles_long(long, keys, probs, method, bins=bins, accuracy=accuracy)
-
-
-def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), names: Sequence[str] | None = None,
-                   method: str = "auto") -> DataFrame:
-    """Wide form of :func:`exact_quantiles`: one row per (by, column), one column per prob."""
-    names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    long = exact_quantiles(df, cols, probs, by, method=method)
-    aggs = [F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(n)
-            for p, n in zip(probs, names)]
-    return long.groupBy(*by, "column").agg(*aggs)
+    if method == "approx":
+        return approximate_quantiles(long_values(df, cols, by), [*by, "column"], probs)
+    if method != "exact":
+        raise ValueError(f"unknown quantile method {method!r}")
+    table = narrow(df, cols, by)
+    return quantiles(long_values(table, cols, by), [*by, "column"], probs, table.count())
 
 
-def scalar_quantile(df: DataFrame, col: str, prob: float, method: str = "auto") -> Column:
-    """A lazily evaluated scalar subquery holding one quantile of ``col``."""
+def scalar_quantile(df: DataFrame, col: str, prob: float, method: str = "exact") -> Column:
+    """A scalar subquery holding one quantile of ``col``."""
     return exact_quantiles(df, [col], [prob], method=method).select("value").scalar()
 
 
-def cumulative_by_value(rows: DataFrame, keys: Sequence[str], value: str,
-                        sums: Sequence[str], descending: bool = False,
-                        bins: int = PREFIX_BINS, with_next: bool = False) -> DataFrame:
-    """Running sums in value order, per key, without a window over the whole key.
+def running_sums(rows: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str], descending: bool = False,
+                 with_next: bool = False, ranges: int | None = None) -> DataFrame:
+    """Adds ``<s>_before`` (sum of ``s`` over the key's earlier rows) and ``<s>_total`` (over all its rows).
 
-    ``rows`` must be distinct on (keys, value).  Adds ``<s>_before`` (sum of
-    ``s`` over rows strictly earlier in the order) and, with ``with_next``,
-    ``<s>_next`` (``s`` of the next row in the order, null for the last).
-    Without keys the value range enters as scalar subqueries (no join), and
-    the only un-partitioned window runs over at most ``bins`` bin rows.
+    ``rows`` must be distinct on (keys, value); the order is that of ``value``.
+    Rows are dealt into ranges of equal size by sampled splitters of (keys,
+    value), so a key with most rows, or values massed at a point, are spread
+    alike.  The sorted ranges are written once; per range and key the sums are
+    added up and carried to the later ranges.  With ``with_next`` also
+    ``<s>_next``, ``s`` of the key's next row (null for the last).
     """
     keys = list(keys)
-    if keys:
-        stats = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-        ranged = rows.join(stats, keys)
-    else:
-        ranged = rows.select("*", rows.select(F.min(value)).scalar().alias("_lo"),
-                             rows.select(F.max(value)).scalar().alias("_hi"))
-    binned = (ranged.withColumn("_bin", _bin_expr(value, "_lo", "_hi", bins))
-              .drop("_lo", "_hi"))
-    bin_order = F.col("_bin").desc() if descending else F.col("_bin").asc()
-    val_order = F.col(value).desc() if descending else F.col(value).asc()
-    first_of_bin = (F.max_by if descending else F.min_by)(
-        F.struct(*[F.col(s) for s in sums]), F.col(value))
-    per_bin = binned.groupBy(*keys, "_bin").agg(
-        *[F.sum(s).alias(f"_bin_{s}") for s in sums], first_of_bin.alias("_first"))
-    bw = (Window.partitionBy(*keys) if keys else Window).orderBy(bin_order)
-    prefix = per_bin.select(
-        *keys, "_bin",
-        *[F.coalesce(F.sum(f"_bin_{s}").over(bw.rowsBetween(Window.unboundedPreceding, -1)),
-                     F.lit(0)).alias(f"_binbefore_{s}") for s in sums],
-        F.lead("_first").over(bw).alias("_next_first"))
-    within = Window.partitionBy(*keys, "_bin").orderBy(val_order)
-    out = binned.join(prefix, [*keys, "_bin"]).select(
-        "*",
-        *[(F.col(f"_binbefore_{s}")
-           + F.coalesce(F.sum(s).over(within.rowsBetween(Window.unboundedPreceding, -1)),
-                        F.lit(0))).alias(f"{s}_before") for s in sums],
-        *([F.coalesce(F.lead(s).over(within), F.col("_next_first")[s]).alias(f"{s}_next")
-           for s in sums] if with_next else []))
-    drop = ["_bin", "_next_first", *[f"_binbefore_{s}" for s in sums]]
-    return out.drop(*drop)
-
-
-def hash_ranks(df: DataFrame, partition: Sequence[str], hash_col: str, tie: Sequence,
-               bucket_bits: int = HASH_BUCKET_BITS, hash_bits: int = 64) -> DataFrame:
-    """0-based rank in (hash, tie) order inside each ``partition`` key, plus the key's size.
-
-    Hash values are uniform, so their top ``bucket_bits`` bits split every
-    key (also a key holding a third of all rows) into equal buckets; bucket
-    counts (only non-empty buckets exist) are prefix-summed on a table of at
-    most 2^bucket_bits rows per key, and ``row_number`` runs only inside a
-    bucket.  Adds ``_rank`` and ``_n``.
-    """
-    partition = list(partition)
-    shift = hash_bits - bucket_bits
-    with_b = df.withColumn("_bucket", F.shiftright(F.col(hash_col), shift))
-    counts = with_b.groupBy(*partition, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
-    cw = Window.partitionBy(*partition).orderBy("_bucket")
-    prefix = counts.select(
-        *partition, "_bucket",
-        F.coalesce(F.sum("_c").over(cw.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"),
-        F.sum("_c").over(Window.partitionBy(*partition)).alias("_n"))
-    inner = Window.partitionBy(*partition, "_bucket").orderBy(hash_col, *tie)
-    # A null key is a key of its own: the join must not lose its rows.
-    small = prefix.toDF(*[f"_k{i}" for i in range(len(partition))], "_kb", "_before", "_n")
-    same = F.col("_bucket").eqNullSafe(F.col("_kb"))
-    for i, c in enumerate(partition):
-        same = same & qcol(c).eqNullSafe(F.col(f"_k{i}"))
-    return (with_b.join(small, same)
-            .withColumn("_rank", F.col("_before") + F.row_number().over(inner) - 1)
-            .drop("_bucket", "_before", "_kb", *[f"_k{i}" for i in range(len(partition))]))
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    by_range = [*[qcol(k) for k in keys], order]
+    dealt = rows.repartitionByRange(ranges, *by_range) if ranges else rows.repartitionByRange(*by_range)
+    dealt = stored(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    extreme = F.max_by if descending else F.min_by
+    parts = dealt.groupBy(*keys, "_range").agg(
+        *[F.sum(s).alias(f"_sum_{s}") for s in sums], extreme(F.struct(*sums), F.col(value)).alias("_head"))
+    # One row per range and key.
+    later = Window.partitionBy(*keys).orderBy("_range") if keys else Window.orderBy("_range")
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    parts = parts.select(
+        *keys, "_range", F.lead("_head").over(later).alias("_head"),
+        *[F.sum(f"_sum_{s}").over(whole).alias(f"{s}_total") for s in sums],
+        *[F.coalesce(F.sum(f"_sum_{s}").over(later.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_off_{s}")
+          for s in sums])
+    inner = Window.partitionBy(*keys, "_range").orderBy(order)
+    met = same_keys(dealt, parts, [*keys, "_range"])
+    before = [(F.col(f"_off_{s}") + F.coalesce(F.sum(s).over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .alias(f"{s}_before") for s in sums]
+    after = [F.coalesce(F.lead(s).over(inner), F.col("_head")[s]).alias(f"{s}_next") for s in sums] if with_next else []
+    return met.select(*[qcol(c) for c in rows.columns], *before, *[F.col(f"{s}_total") for s in sums], *after)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import distribution as D
 from .catalog import r6, register
 from .frames import BOX_COLS, HIST_COLS, profile_frame
 from .oracle import EDA_CTE, with_ctes
 
-POINTS, PREBINS, HIST_BINS = 200, 1024, 30
+POINTS, HIST_BINS = 200, 30
 
 
 def _sql(body: str, *extra: str) -> str:
@@ -74,50 +76,58 @@ def histogram(spark, sf_dir):
                     "count")
 
 
-def _kde_sql(keys: list[str], grid: tuple[float, float] | None) -> tuple[str, str, str, str]:
+def _density_sql(keys: list[str], grid: tuple[float, float] | None) -> tuple[str, str, str]:
+    """Every grid point against every row."""
     k = ", ".join(keys)
-    on = " AND ".join(f"t.{c} = s.{c}" for c in keys)
-    on_g = " AND ".join(f"g.{c} = c.{c}" for c in keys)
-    if grid:
-        glo, ghi = f"CAST({grid[0]} AS DOUBLE)", f"CAST({grid[1]} AS DOUBLE)"
-    else:
-        glo, ghi = "s.lo", "s.hi"
+    on = " AND ".join(f"g.{c} IS NOT DISTINCT FROM t.{c}" for c in keys)
+    glo, ghi = (f"CAST({v} AS DOUBLE)" for v in grid) if grid else ("s.lo", "s.hi")
     body = f"""
 SELECT {", ".join("g." + c for c in keys)}, g.point, round(g.x, 6) AS x,
-  round(sum(c.c * exp(-0.5 * pow((g.x - c.cx) / g.bw, 2))) / (g.n * g.bw * sqrt(2 * pi())), 6)
-    AS density
-FROM grid g JOIN cells c ON {on_g}
+  round(sum(t.c * exp(-0.5 * pow((g.x - t.value) / g.bw, 2))) / (g.n * g.bw * sqrt(2 * pi())), 6) AS density
+FROM grid g JOIN (SELECT {k}, value, count(*) AS c FROM src GROUP BY ALL) t ON {on}
 GROUP BY {", ".join("g." + c for c in keys)}, g.point, g.x, g.n, g.bw"""
     return (body, f"""
 st AS (SELECT {k}, count(*) AS n, stddev_samp(value) AS sd, {_RANGE} FROM src GROUP BY {k})""", f"""
-cells AS (SELECT {", ".join("t." + c for c in keys)},
-  s.lo + (CAST(least(floor((t.value - s.lo) / (s.hi - s.lo) * {float(PREBINS)}), {PREBINS - 1}) AS INT)
-          + 0.5) * ((s.hi - s.lo) / {float(PREBINS)}) AS cx,
-  CAST(count(*) AS DOUBLE) AS c
-  FROM src t JOIN st s ON {on} GROUP BY ALL)""", f"""
 grid AS (SELECT {", ".join("s." + c for c in keys)}, p.point,
   {glo} + p.point * ({ghi} - {glo}) / {float(POINTS - 1)} AS x,
   s.sd * pow(CAST(s.n AS DOUBLE), -0.2) AS bw, s.n
   FROM st s, (SELECT CAST(range AS INT) AS point FROM range({POINTS})) p)""")
 
 
-_kb, *_kc = _kde_sql(['"column"'], None)
+_kb, *_kc = _density_sql(['"column"'], None)
 
 
 @register("density_curve", _sql(_kb, *_long_ctes(HIST_COLS), "\nsrc AS (SELECT * FROM tr)", *_kc))
 def density_curve(spark, sf_dir):
-    d = D.density(profile_frame(spark, sf_dir), HIST_COLS, POINTS, PREBINS)
+    d = D.density(profile_frame(spark, sf_dir), HIST_COLS, POINTS)
     return d.select("column", "point", r6("x").alias("x"), r6("density").alias("density"))
 
 
-_lb, *_lc = _kde_sql(["is_canceled", '"column"'], (0.0, 400.0))
+_lb, *_lc = _density_sql(["is_canceled", '"column"'], (0.0, 400.0))
 
 
 @register("lead_time_density_by_label", _sql(_lb, """
 src AS (SELECT is_canceled, 'lead_time' AS "column", CAST(lead_time AS DOUBLE) AS value
   FROM eda WHERE lead_time IS NOT NULL)""", *_lc))
 def lead_time_density_by_label(spark, sf_dir):
-    d = D.density_by(profile_frame(spark, sf_dir), "lead_time", ["is_canceled"], 0.0, 400.0,
-                     POINTS, PREBINS)
+    d = D.density_by(profile_frame(spark, sf_dir), "lead_time", ["is_canceled"], 0.0, 400.0, POINTS)
     return d.select("is_canceled", "column", "point", r6("x").alias("x"),
                     r6("density").alias("density"))
+
+
+OUTLIER = 1e6
+
+
+_ob, *_oc = _density_sql(['"column"'], (0.0, 1000.0))
+
+
+@register("density_with_outlier", _sql(_ob, f"""
+src AS (SELECT 'lead_time' AS "column", CAST(CASE WHEN booking_id = m THEN {OUTLIER} ELSE lead_time END AS DOUBLE) AS value
+  FROM eda, (SELECT min(booking_id) AS m FROM eda) WHERE lead_time IS NOT NULL OR booking_id = m)""", *_oc))
+def density_with_outlier(spark, sf_dir):
+    """The curve of the bulk of the values is not coarser for one value far away."""
+    eda = profile_frame(spark, sf_dir).select("booking_id", F.col("lead_time").cast("double").alias("lead_time"))
+    first = F.col("booking_id") == eda.select(F.min("booking_id")).scalar()
+    far = eda.select(F.when(first, F.lit(OUTLIER)).otherwise(F.col("lead_time")).alias("lead_time"))
+    d = D.density_by(far, "lead_time", [], 0.0, 1000.0, POINTS)
+    return d.select("column", "point", r6("x").alias("x"), r6("density").alias("density"))

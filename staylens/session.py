@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 #: The folder in use, by application.
@@ -66,3 +66,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read again.
+
+    A lineage cut that a lost executor takes nothing of; its measured size lets
+    Spark decide on broadcasts.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
