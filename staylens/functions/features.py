@@ -13,7 +13,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
+from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, FloatType, IntegralType, NumericType,
+                               StringType, TimestampType)
 from .names import qcol
 
 STAY_COLS = ("stays_in_weekend_nights", "stays_in_week_nights")
@@ -101,6 +102,29 @@ def lenient_double(col: Column | str) -> Column:
     return c.try_cast("double")
 
 
+# Text that a pandas CSV reader turns into a missing value by default.
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+             "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def text_or_null(c: Column) -> Column:
+    """Text, but null for the tokens of a missing value."""
+    return F.when(c.isin(*NA_TOKENS), F.lit(None)).otherwise(c)
+
+
+def as_type(c: Column, found: DataType, wanted: str) -> Column:
+    """A raw value as the wanted type: NA tokens and text that does not parse are null, 2.0 is a whole number."""
+    if isinstance(found, StringType):
+        c = text_or_null(c)
+    if found.simpleString() == wanted:
+        return c
+    if wanted in ("tinyint", "smallint", "int", "bigint", "long") and not isinstance(found, (DateType, TimestampType, BooleanType)):
+        number = c.try_cast("double")
+        return F.coalesce(c.try_cast(wanted) if isinstance(found, (StringType, IntegralType)) else F.lit(None),
+                          F.when(number == F.floor(number), number).try_cast(wanted))
+    return c.try_cast(wanted)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Spark keeps NaN as a value; the model treats it as missing like null."""
     exprs = []

@@ -15,24 +15,33 @@ from pyspark.sql import functions as F
 
 from ..functions.features import categorical_columns, numeric_columns
 from .profile import modes
-from .ranks import exact_quantiles
+from .ranks import long_values, narrow, quantiles
 from ..functions.names import qcol
 
 UNKNOWN = "Unknown"
 
 
+def _fills(table: DataFrame, cols: Sequence[str], strategy: str, rows: int) -> DataFrame:
+    """(column, _v) of the columns that have values, from a :func:`ranks.narrow` table."""
+    if strategy == "median":
+        return quantiles(long_values(table, cols), ["column"], [0.5], rows).select("column", F.col("value").alias("_v"))
+    if strategy == "mean":
+        return long_values(table, cols).groupBy("column").agg(F.avg("value").alias("_v"))
+    return table.sparkSession.createDataFrame([], "column string, _v double")
+
+
+def fills_of(table: DataFrame, cols: Sequence[str], strategy: str, rows: int) -> dict[str, float]:
+    """Fill value of each numeric column of a narrow table, collected (one per column)."""
+    found = {r["column"]: float(r["_v"]) for r in _fills(table, cols, strategy, rows).collect()}
+    return {c: found.get(c, 0.0) for c in cols}
+
+
 def numeric_fill_values(df: DataFrame, cols: Sequence[str], strategy: str = "median") -> DataFrame:
-    """(column, value) lazily; every listed column has a row (0.0 when it has no value)."""
+    """(column, value); every listed column has a row (0.0 when it has no value)."""
     spark = df.sparkSession
     names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, pos int")
-    if strategy == "median":
-        stat = (exact_quantiles(df, cols, [0.5]).select("column", F.col("value").alias("_v")))
-    elif strategy == "mean":
-        long = (df.select(*[qcol(c).cast("double").alias(c) for c in cols])
-                .unpivot([], list(cols), "column", "v").where(~F.isnan("v")))
-        stat = long.groupBy("column").agg(F.avg("v").alias("_v"))
-    else:
-        stat = names.select("column", F.lit(None).cast("double").alias("_v"))
+    table = narrow(df, cols)
+    stat = _fills(table, cols, strategy, table.count())
     return (names.join(stat, "column", "left")
             .select("column", F.coalesce("_v", F.lit(0.0)).alias("value"), "pos"))
 

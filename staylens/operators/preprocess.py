@@ -1,42 +1,48 @@
 """Train-fitted preprocessing as a ``pyspark.ml`` Estimator / Model.
 
-fit (three aggregation jobs over the prepared training rows, which are
-persisted for the duration of the fit):
-
-1. exact medians (or means) of the numeric columns;
-2. category counts of the text columns (one unpivoted group-by), giving the
-   fill value (mode), the sorted category list and the indicator statistics
-   without a scan of the wide one-hot frame;
-3. mean / sample std / min / max of the filled numeric columns, and the row count.
-
-transform is one projection (no shuffle): names cleaned, model features,
-drop, fill, one-hot, scale, aligned to the fitted feature order, with
-pass-through columns (id, label) kept at the end, plus an optional vector.
-
-The fitted state is one value per column or category, so it lives in the
-model as a JSON param and is saved by ``DefaultParamsWritable``.
+fit (over the prepared training rows, which are persisted for its duration):
+
+1. the numeric columns are written once, narrow; exact medians (or means) and
+   one aggregate of moments follow from that table, and the moments of the
+   filled column from those and the number of missing values;
+2. category counts of the text columns (one unpivoted group-by) become the
+   category dictionary, a table of the model (:mod:`encode`).
+
+transform joins the rows with the dictionary and is one projection besides:
+names cleaned, model features, drop, fill, one-hot, scale, aligned to the
+fitted feature order, with pass-through columns (id, label) kept at the end.
+Up to ``wideFeatures`` features there is a column for each of them; beyond
+that the result is a sparse vector column, and there is no upper limit.
+
+Fitted state is one value per column, in a JSON param; the dictionary is saved
+and loaded with the model as a table.
 """
 
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.features import categorical_columns, nan_to_null, numeric_columns
-from ..functions.names import clean_name, clean_columns
-from .columns import check_schema, prepare_raw, raw_inputs
-from .encode import DEFAULT_MAX_CATEGORIES, category_counts, collect_categories, onehot_name
-from .impute import UNKNOWN, numeric_fill_values
-from .scale import indicator_stats, scaled, scaler_stats
-from ..functions.names import qcol
+from ..functions.names import clean_name, clean_columns, qcol
+from .columns import RawContract, check_schema, prepare_raw, raw_inputs
+from .encode import Dictionary, fit_dictionary, indicators, onehot_name, with_slots
+from .impute import fills_of
+from .ranks import narrow
+from .scale import filled_stats, indicator_stats, scaled, scaler_stats
+
+#: Features up to which the result has a column for each.
+WIDE_FEATURES = 1000
 
 
 class FeatureVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -85,17 +91,16 @@ class _PrepParams(Params):
                         typeConverter=TypeConverters.toListString)
     homeCountry = Param(Params._dummy(), "homeCountry", "country code of is_domestic",
                         typeConverter=TypeConverters.toString)
-    maxCategories = Param(Params._dummy(), "maxCategories", "one-hot width guard per column",
-                          typeConverter=TypeConverters.toInt)
-    outputCol = Param(Params._dummy(), "outputCol", "vector column ('' = none)",
+    wideFeatures = Param(Params._dummy(), "wideFeatures", "features up to which each has a column of its own",
+                         typeConverter=TypeConverters.toInt)
+    outputCol = Param(Params._dummy(), "outputCol", "vector column ('' = none, but 'features' beyond wideFeatures)",
                       typeConverter=TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
         self._setDefault(labelCol="is_canceled", passthroughCols=[], scaleMethod="minmax",
                          numStrategy="median", catStrategy="mode", dropColumns=[],
-                         homeCountry="PRT", maxCategories=DEFAULT_MAX_CATEGORIES,
-                         outputCol="")
+                         homeCountry="PRT", wideFeatures=WIDE_FEATURES, outputCol="")
 
     def _keep(self, columns: Sequence[str]) -> list[str]:
         wanted = [clean_name(c) for c in self.getOrDefault(self.passthroughCols)]
@@ -115,7 +120,7 @@ class _PrepParams(Params):
 
 
 class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Fit imputation, one-hot categories and scaling on training rows only."""
+    """Fit imputation, the category dictionary and scaling on training rows only."""
 
     def __init__(self, **kwargs):
         super().__init__()
@@ -125,115 +130,235 @@ class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         prepared, raw, _ = self._prepared(nan_to_null(df))
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            state = self._fit_state(prepared, raw)
+            state, table = self._fit_state(prepared, raw)
         finally:
             prepared.unpersist()
+        types = {clean_name(f.name): f.dataType.simpleString() for f in df.schema.fields}
+        state["raw_types"] = {c: types[c] for c in state["required_raw_columns"]}
         model = BookingPreprocessorModel()
         self._copyValues(model)
-        model._set(state=json.dumps(state))
-        return model
+        return model._with(state, table)
 
-    def _fit_state(self, prepared: DataFrame, raw: list[str]) -> dict:
+    def _fit_state(self, prepared: DataFrame, raw: list[str]) -> tuple[dict, DataFrame | None]:
         nums = numeric_columns(prepared)
         cats = categorical_columns(prepared)
-        fill: dict[str, object] = {}
-        if nums:
-            strategy = self.getOrDefault(self.numStrategy)
-            for r in numeric_fill_values(prepared, nums, strategy).collect():
-                fill[r["column"]] = float(r["value"])
-        counts = collect_categories(category_counts(prepared, cats), cats,
-                                    self.getOrDefault(self.maxCategories)) if cats else {}
-        # One scan: moments of the filled numeric columns (unpivoted, one group per column).
-        n = int(prepared.count()) if not nums else None
         stats: dict[str, dict[str, float]] = {}
+        fill: dict[str, object] = {}
         if nums:
-            filled = prepared.select(*[F.coalesce(F.when(~F.isnan(qcol(c).cast("double")),
-                                                         qcol(c).cast("double")),
-                                                  F.lit(fill[c])).alias(c) for c in nums])
-            for r in scaler_stats(filled, nums).collect():
-                std = r["std"]
-                stats[r["column"]] = {"mean": r["mean"], "min": r["min"], "max": r["max"],
-                                      "std": float("nan") if std is None else std,
-                                      "n": int(r["n"])}
-            n = stats[nums[0]].pop("n")
-            for c in nums[1:]:
-                stats[c].pop("n")
-        categories: dict[str, list[str]] = {}
-        cat_strategy = self.getOrDefault(self.catStrategy)
-        for c in cats:
-            pairs = counts.get(c, [])
-            if cat_strategy == "mode" and pairs:
-                mode = min(pairs, key=lambda p: (-p[1], p[0]))[0]
-            else:
-                mode = UNKNOWN
-            fill[c] = mode
-            seen = sum(k for _, k in pairs)
-            filled_counts = dict(pairs)
-            filled_counts[mode] = filled_counts.get(mode, 0) + (n - seen)
-            categories[c] = sorted(k for k, v in filled_counts.items() if v > 0)
-            for cat in categories[c]:
-                stats[onehot_name(c, cat)] = indicator_stats(n, filled_counts[cat])
-        features = list(nums) + [onehot_name(c, k) for c in cats for k in categories[c]]
-        return {"raw_columns": raw,
-                "required_raw_columns": raw_inputs(raw, self.getOrDefault(self.dropColumns) or None),
-                "numeric": nums, "categorical": cats, "fill": fill,
-                "categories": categories, "stats": stats, "features": features,
-                "rows": n}
+            table = narrow(prepared, nums)
+            rows = table.count()
+            fill = fills_of(table, nums, self.getOrDefault(self.numStrategy), rows)
+            stats = filled_stats(scaler_stats(table, nums), fill, rows)
+        else:
+            rows = prepared.count()
+        state = {"raw_columns": raw,
+                 "required_raw_columns": raw_inputs(raw, self.getOrDefault(self.dropColumns) or None),
+                 "numeric": nums, "categorical": cats, "stats": stats, "rows": rows, "sizes": {}, "bytes": {}}
+        dictionary = fit_dictionary(prepared, cats, self.getOrDefault(self.catStrategy)) if cats else None
+        if dictionary:
+            fill = fill | dictionary.fill
+            state |= {"sizes": dictionary.size, "bytes": dictionary.bytes}
+        state["fill"] = fill
+        state["n_features"] = len(nums) + sum(state["sizes"].values())
+        state["wide"] = state["n_features"] <= self.getOrDefault(self.wideFeatures)
+        if state["wide"]:       # so few that the model names them
+            categories: dict[str, list[str]] = {c: [] for c in cats}
+            for r in dictionary.table.orderBy("pos", "slot").collect() if dictionary else []:
+                categories[r["column"]].append(r["category"])
+                stats[onehot_name(r["column"], r["category"])] = indicator_stats(rows, r["n"])
+            state["categories"] = categories
+            state["features"] = list(nums) + [onehot_name(c, k) for c in cats for k in categories[c]]
+        return state, dictionary.table if dictionary else None
+
+
+class _ModelWriter(DefaultParamsWriter):
+    """The params, and the dictionary as a table beside them."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        table = self.instance.dictionary_table
+        if table is not None:
+            table.write.parquet(os.path.join(path, "dictionary"))
+
+
+class _ModelReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        if model.fitted["categorical"]:
+            model._set(dictionaryPath=os.path.join(path, "dictionary"))
+        return model
 
 
 class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
     state = Param(Params._dummy(), "state", "fitted state (JSON)",
                   typeConverter=TypeConverters.toString)
+    dictionaryPath = Param(Params._dummy(), "dictionaryPath", "table of the category dictionary ('' = none)",
+                           typeConverter=TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(state="{}")
+        self._setDefault(state="{}", dictionaryPath="")
+
+    def _with(self, state: dict, table: DataFrame | None) -> "BookingPreprocessorModel":
+        path = "" if table is None else os.path.dirname(table.inputFiles()[0])
+        return self._set(state=json.dumps(state), dictionaryPath=path)
+
+    def write(self):
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _ModelReader(cls)
 
     @property
     def fitted(self) -> dict:
         return json.loads(self.getOrDefault(self.state))
 
+    @property
+    def wide(self) -> bool:
+        return self.fitted["wide"]
+
+    @property
+    def dictionary_table(self) -> DataFrame | None:
+        """(pos, column, category, n, slot) of all categories."""
+        path = self.getOrDefault(self.dictionaryPath)
+        return SparkSession.active().read.parquet(path) if path else None
+
     @property
     def feature_columns(self) -> list[str]:
-        return list(self.fitted["features"])
+        """Feature names in vector order; a dictionary beyond ``wideFeatures`` has them in :meth:`feature_table` only."""
+        st = self.fitted
+        if not st["wide"]:
+            raise ValueError(f"the model has {st['n_features']} features; their names are in feature_table()")
+        return list(st["features"])
 
     @property
     def required_raw_columns(self) -> list[str]:
         return list(self.fitted["required_raw_columns"])
 
-    def feature_exprs(self, columns: Sequence[str]):
+    def _dictionary(self, st: dict) -> Dictionary:
+        return Dictionary(self.dictionary_table, st["categorical"], st["fill"], st["sizes"], st["bytes"])
+
+    def _offsets(self, st: dict) -> list[int]:
+        """Vector index of each text column's first category."""
+        at, out = len(st["numeric"]), []
+        for c in st["categorical"]:
+            out.append(at)
+            at += st["sizes"][c]
+        return out
+
+    def feature_table(self) -> DataFrame:
+        """(index, feature) of all features, as a table."""
         st = self.fitted
+        spark = SparkSession.active()
+        out = spark.createDataFrame(list(enumerate(st["numeric"])), "index int, feature string")
+        if self.dictionary_table is not None:
+            offsets = F.element_at(F.array(*[F.lit(o) for o in self._offsets(st)]), F.col("pos") + 1)
+            out = out.unionByName(self.dictionary_table.select(
+                (offsets + F.col("slot")).cast("int").alias("index"), F.concat_ws("_", "column", "category").alias("feature")))
+        return out
+
+    def _numbers(self, st: dict, columns: Sequence[str]) -> dict[str, Column]:
+        """Filled and scaled numeric features."""
         method = self.getOrDefault(self.scaleMethod)
-        have = set(columns)
-        exprs = []
+        out = {}
         for c in st["numeric"]:
-            if c in have:
-                src = qcol(c).cast("double")
-                v = F.coalesce(F.when(~F.isnan(src), src), F.lit(st["fill"][c]))
-            else:
-                v = F.lit(0.0)
-            exprs.append(scaled(v, st["stats"][c], method).alias(c))
-        for c in st["categorical"]:
-            src = (F.coalesce(qcol(c).cast("string"), F.lit(st["fill"][c]))
-                   if c in have else F.lit(UNKNOWN))
-            for cat in st["categories"][c]:
-                name = onehot_name(c, cat)
-                ind = F.when(src == F.lit(cat), F.lit(1.0)).otherwise(F.lit(0.0))
-                exprs.append(scaled(ind, st["stats"][name], method).alias(name))
-        return exprs
+            value = F.lit(0.0)
+            if c in columns:
+                source = qcol(c).cast("double")
+                value = F.coalesce(F.when(~F.isnan(source), source), F.lit(float(st["fill"][c])))
+            out[c] = scaled(value, st["stats"][c], method)
+        return out
 
-    def _transform(self, df: DataFrame) -> DataFrame:
+    def _ready(self, df: DataFrame) -> tuple[dict, DataFrame, list[str], list[str]]:
+        """State, prepared rows with their category numbers, feature inputs, kept columns."""
+        st = self.fitted
         cleaned = clean_columns(nan_to_null(df))
         keep = self._keep(cleaned.columns)
-        # Kept columns ride along in the same projection; fitted names never include them.
+        # Kept columns ride along; fitted names never include them.
         prepared = prepare_raw(cleaned, self.getOrDefault(self.dropColumns) or None,
                                home_country=self.getOrDefault(self.homeCountry))
-        out = prepared.select(*self.feature_exprs([c for c in prepared.columns if c not in keep]),
-                              *[qcol(k) for k in keep])
+        inputs = [c for c in prepared.columns if c not in keep]
+        if st["categorical"]:
+            absent = [c for c in st["categorical"] if c not in inputs]
+            known = prepared.select(*[qcol(c) for c in prepared.columns if c not in absent])
+            prepared = with_slots(known, self._dictionary(st), st["rows"])
+        return st, prepared, inputs, keep
+
+    def _entries(self, st: dict, columns: Sequence[str]) -> Column:
+        """The features of a row that differ from what most rows have: an array of structs (index, value), by index.
+
+        Scaled by ``minmax`` an indicator is 0 where the row has another
+        category, so only a row's own categories and its numbers other than 0
+        are listed; the one category of a constant column is 0 where the row has
+        it and -1 elsewhere.  Scaled by ``standard`` every feature has a base of
+        its own, which the listed ones replace.
+        """
+        standard = self.getOrDefault(self.scaleMethod) == "standard"
+        listed = [(F.lit(i), v) for i, v in enumerate(self._numbers(st, columns).values())]
+        for i, (c, offset) in enumerate(zip(st["categorical"], self._offsets(st))):
+            slot, share = F.col(f"_slot{i}"), F.col(f"_n{i}") / F.lit(float(st["rows"]))
+            if st["sizes"][c] == 1:
+                listed.append((F.lit(offset), F.when(slot.isNull(), -1.0).otherwise(0.0)))
+            elif standard:
+                std = F.sqrt(share * (1 - share) * (st["rows"] / max(st["rows"] - 1, 1)))
+                listed.append((slot + offset, (1 - share) / std))
+            else:
+                listed.append((slot + offset, F.when(slot.isNotNull(), 1.0)))
+        entries = F.array(*[F.struct(i.cast("int").alias("index"), v.cast("double").alias("value")) for i, v in listed])
+        wanted = (lambda x: x["index"].isNotNull()) if standard else (lambda x: x["index"].isNotNull() & (x["value"] != 0))
+        return F.filter(entries, wanted)
+
+    def _base(self, st: dict) -> list[float] | None:
+        """What a feature is where a row has another category, if that is not 0 (one value per feature)."""
+        if self.getOrDefault(self.scaleMethod) != "standard":
+            return None
+        base = [0.0] * st["n_features"]
+        offsets, n = self._offsets(st), st["rows"]
+        for r in self.dictionary_table.toLocalIterator() if st["categorical"] else []:
+            if st["sizes"][r["column"]] > 1:
+                own = indicator_stats(n, r["n"])
+                base[offsets[r["pos"]] + r["slot"]] = -own["mean"] / own["std"]
+        return base
+
+    def entries(self, df: DataFrame) -> DataFrame:
+        """(kept columns, index, value): the entries of each row's vector, one a row, without the vector."""
+        st, prepared, inputs, keep = self._ready(df)
+        return (prepared.select(*[qcol(k) for k in keep], F.explode(self._entries(st, inputs)).alias("_e"))
+                .select(*[qcol(k) for k in keep], "_e.index", "_e.value"))
+
+    def _as_vector(self, st: dict, prepared: DataFrame, inputs: list[str], keep: list[str], name: str) -> DataFrame:
+        size, base = st["n_features"], self._base(st)
+        shared = None if base is None else prepared.sparkSession.sparkContext.broadcast(base)
+
+        @F.udf(returnType=VectorUDT(), useArrow=False)
+        def vector(index, value):
+            if shared is None:
+                return SparseVector(size, index, value)
+            dense = list(shared.value)
+            for i, v in zip(index, value):
+                dense[i] = v
+            return DenseVector(dense)
+
+        listed = prepared.select(*[qcol(k) for k in keep], self._entries(st, inputs).alias("_e"))
+        return listed.select(*[qcol(k) for k in keep], vector(F.col("_e.index"), F.col("_e.value")).alias(name))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        st, prepared, inputs, keep = self._ready(df)
         vec = self.getOrDefault(self.outputCol)
-        if vec:
-            out = FeatureVector(self.feature_columns, vec).transform(out)
-        return out
+        method = self.getOrDefault(self.scaleMethod)
+        if not st["wide"]:
+            return self._as_vector(st, prepared, inputs, keep, vec or "features")
+        named = self._numbers(st, inputs)
+        if st["categorical"]:
+            named |= {c: scaled(v, st["stats"][c], method)
+                      for c, v in indicators(self._dictionary(st), st["categories"]).items()}
+        out = prepared.select(*[v.alias(c) for c, v in named.items()], *[qcol(k) for k in keep])
+        return FeatureVector(st["features"], vec).transform(out) if vec else out
 
     def check_raw(self, df: DataFrame) -> None:
         check_schema(df, self.required_raw_columns)
+
+    def contract(self) -> RawContract:
+        """The stage before this one in a scoring pipeline."""
+        return RawContract(self.fitted["raw_types"])

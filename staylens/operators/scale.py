@@ -10,16 +10,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from .ranks import long_values
 from ..functions.names import qcol
 
 
 def scaler_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, mean, std, min, max, n rows) in one scan; each column is its own group."""
-    long = (df.select(*[qcol(c).cast("double").alias(c) for c in cols])
-            .unpivot([], list(cols), "column", "v"))
-    return long.groupBy("column").agg(
-        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"), F.count(F.lit(1)).alias("n"))
+    """(column, mean, std, min, max, n) of the values there are, in one scan; each column is its own group."""
+    return long_values(df, cols).groupBy("column").agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"), F.count("*").alias("n"))
+
+
+def filled_stats(stats: DataFrame, fill: dict[str, float], rows: int) -> dict[str, dict[str, float]]:
+    """Statistics of the columns with every missing one of ``rows`` values filled, without another scan."""
+    found = {r["column"]: r for r in stats.collect()}
+    out = {}
+    for c, v in fill.items():
+        r = found.get(c)
+        n, missing = (r["n"], rows - r["n"]) if r else (0, rows)
+        own = r["mean"] if n else v
+        mean = own + (v - own) * missing / rows if rows else v
+        spread = (r["std"] ** 2 * (n - 1) if n > 1 else 0.0) + (n * (own - mean) ** 2 + missing * (v - mean) ** 2 if missing else 0.0)
+        values = ([r["min"], r["max"]] if n else []) + ([v] if missing else [])
+        out[c] = {"mean": mean, "std": (spread / (rows - 1)) ** 0.5 if rows > 1 else float("nan"),
+                  "min": min(values, default=v), "max": max(values, default=v)}
+    return out
 
 
 def indicator_stats(n: int, count: int) -> dict[str, float]:

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.features import categorical_columns, numeric_columns
 from ..operators.columns import prepare_raw
-from ..operators.encode import category_counts
+from ..operators.encode import category_counts, fit_dictionary, indicators, with_slots
 from ..operators.impute import apply_imputer, categorical_fill_values, fit_imputer, numeric_fill_values
-from ..operators.preprocess import BookingPreprocessor
+from ..operators.preprocess import BookingPreprocessor, BookingPreprocessorModel
 from ..operators.split import assign_split
 from ..sources.tables import bookings
 from ..session import shared_dir
@@ -100,18 +100,67 @@ def onehot_categories(spark, sf_dir):
     "CASE WHEN t.cat = c.cat THEN 1.0 ELSE 0.0 END AS value "
     "FROM cat_long t JOIN cats c ON t.col = c.col", PREPARED_CTE, FILLS_CTE, _CAT_LONG, _CATS))
 def onehot_transform(spark, sf_dir):
-    """Indicator columns only (before scaling), from the fitted fills and categories."""
+    """Indicator columns only (before scaling), from the fitted fills and the dictionary."""
     prepared = prepared_features(spark, sf_dir)
-    st = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID]).fit(prepared).fitted
-    filled = apply_imputer(prepared, st["fill"])
-    names = [f"{c}_{k}" for c in st["categorical"] for k in st["categories"][c]]
-    cols = [F.when(qcol(c) == F.lit(k), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{k}")
-            for c in st["categorical"] for k in st["categories"][c]]
-    return filled.select(ID, *cols).unpivot([ID], [qcol(n) for n in names], "feature", "value")
+    feats = _features_only(prepared)
+    fitted = fit_dictionary(feats, categorical_columns(feats))
+    names = {c: [] for c in fitted.columns}
+    for r in fitted.table.orderBy("pos", "slot").collect():
+        names[r["column"]].append(r["category"])
+    cols = indicators(fitted, names)
+    wide = with_slots(prepared, fitted, prepared.count()).select(ID, *[v.alias(c) for c, v in cols.items()])
+    return wide.unpivot([ID], [qcol(c) for c in cols], "feature", "value")
+
+
+#: A text column of 5,000 codes, none of them frequent; every third booking is not seen in training.
+CODES = 5000
+_CODED = f"""
+coded AS (SELECT booking_id, is_canceled, lead_time, hotel, market_segment,
+  'G' || CAST(booking_id * 7919 % {CODES} AS VARCHAR) AS guest_code FROM prepared),
+fitted AS (SELECT * FROM coded WHERE booking_id % 3 <> 0),
+fillc AS (SELECT coalesce(quantile_cont(CAST(lead_time AS DOUBLE), 0.5), 0.0) AS lead_time, {_mode_sql('hotel', 'fitted')} AS hotel,
+  {_mode_sql('market_segment', 'fitted')} AS market_segment FROM fitted),
+dict_rows AS (SELECT 0 AS pos, 'hotel' AS col, coalesce(r.hotel, f.hotel) AS cat FROM fitted r, fillc f
+  UNION ALL SELECT 1, 'market_segment', coalesce(r.market_segment, f.market_segment) FROM fitted r, fillc f
+  UNION ALL SELECT 2, 'guest_code', guest_code FROM fitted),
+dict AS (SELECT *, row_number() OVER (ORDER BY pos, cat) AS place FROM (SELECT pos, col, cat, count(*) AS n FROM dict_rows GROUP BY ALL))"""
+
+
+def _coded(spark, sf_dir) -> tuple[DataFrame, BookingPreprocessorModel]:
+    rows = prepared_features(spark, sf_dir).select(
+        ID, LABEL, "lead_time", "hotel", "market_segment",
+        F.concat(F.lit("G"), (F.col(ID) * 7919 % CODES).cast("string")).alias("guest_code"))
+    prep = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID])
+    return rows, prep.fit(rows.where(F.col(ID) % 3 != 0))
+
+
+@register("dictionary_categories", with_ctes("""
+SELECT 0 AS "index", 'lead_time' AS feature, CAST(NULL AS BIGINT) AS n
+UNION ALL SELECT CAST(place AS INT), col || '_' || cat, n FROM dict""", PREPARED_CTE, _CODED))
+def dictionary_categories(spark, sf_dir):
+    """The features of a model with thousands of categories: vector index, name, training rows."""
+    model = _coded(spark, sf_dir)[1]
+    counts = model.dictionary_table.select(F.concat_ws("_", "column", "category").alias("feature"), "n")
+    return model.feature_table().join(counts, "feature", "left").select("index", "feature", "n")
+
+
+@register("dictionary_transform", with_ctes("""
+SELECT booking_id, is_canceled, 0 AS "index", round((coalesce(CAST(c.lead_time AS DOUBLE), f.lead_time) - mn) / (mx - mn), 6) AS value
+FROM coded c, fillc f, (SELECT least(min(r.lead_time), any_value(CASE WHEN q.k < q.n THEN f.lead_time END)) AS mn,
+    greatest(max(r.lead_time), any_value(CASE WHEN q.k < q.n THEN f.lead_time END)) AS mx
+  FROM fitted r, fillc f, (SELECT count(lead_time) AS k, count(*) AS n FROM fitted) q) s
+WHERE coalesce(CAST(c.lead_time AS DOUBLE), f.lead_time) <> mn
+UNION ALL SELECT booking_id, is_canceled, CAST(place AS INT), 1.0 FROM coded c, fillc f, dict d
+WHERE (d.pos = 0 AND d.cat = coalesce(c.hotel, f.hotel)) OR (d.pos = 1 AND d.cat = coalesce(c.market_segment, f.market_segment))
+  OR (d.pos = 2 AND d.cat = c.guest_code)""", PREPARED_CTE, _CODED))
+def dictionary_transform(spark, sf_dir):
+    """The entries of the sparse vectors of all bookings, seen in training or not."""
+    rows, model = _coded(spark, sf_dir)
+    return model.entries(rows).select(ID, LABEL, "index", r6("value").alias("value"))
 
 
 # ---------------------------------------------------------------- full preprocessor
-def _prep_ctes(fit_source: str, apply_source: str) -> tuple[str, ...]:
+def prep_ctes(fit_source: str, apply_source: str) -> tuple[str, ...]:
     nums, cats = PREPARED_NUMERIC, PREPARED_TEXT
     fills = ("\nfit_fills AS (SELECT " + ", ".join(
         [f"coalesce(quantile_cont(CAST({c} AS DOUBLE), 0.5), 0.0) AS {c}" for c in nums]
@@ -144,13 +193,14 @@ def _prep_ctes(fit_source: str, apply_source: str) -> tuple[str, ...]:
             "min(value) AS mn, max(value) AS mx FROM fit_all GROUP BY feature)")
 
 
-def _scaled_sql(method: str) -> str:
+def scaled_sql(method: str, digits: int | None = 6) -> str:
     if method == "standard":
         expr = "(a.value - s.mu) / CASE WHEN s.sd = 0 THEN 1.0 ELSE s.sd END"
     else:
         expr = "(a.value - s.mn) / CASE WHEN s.mx - s.mn = 0 THEN 1.0 ELSE s.mx - s.mn END"
-    return (f"SELECT a.booking_id, a.feature, round(CAST({expr} AS DOUBLE), 6) AS value "
-            "FROM app_all a JOIN stats s ON a.feature = s.feature")
+    value = f"CAST({expr} AS DOUBLE)"
+    value = value if digits is None else f"round({value}, {digits})"
+    return f"SELECT a.booking_id, a.feature, {value} AS value FROM app_all a JOIN stats s ON a.feature = s.feature"
 
 
 def _long(model, df: DataFrame) -> DataFrame:
@@ -163,7 +213,7 @@ def _long(model, df: DataFrame) -> DataFrame:
 @register("scaler_stats", with_ctes(
     "SELECT feature, round(mu, 6) AS mean, round(sd, 6) AS std, round(mn, 6) AS \"min\", "
     "round(mx, 6) AS \"max\" FROM stats", PREPARED_CTE,
-    *_prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
+    *prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
 def scaler_stats_query(spark, sf_dir):
     prepared = prepared_features(spark, sf_dir)
     model = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID]).fit(prepared)
@@ -174,8 +224,8 @@ def scaler_stats_query(spark, sf_dir):
 
 
 @register("minmax_transform", with_ctes(
-    _scaled_sql("minmax"), PREPARED_CTE,
-    *_prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
+    scaled_sql("minmax"), PREPARED_CTE,
+    *prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
 def minmax_transform(spark, sf_dir):
     prepared = prepared_features(spark, sf_dir)
     model = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID]).fit(prepared)
@@ -183,8 +233,8 @@ def minmax_transform(spark, sf_dir):
 
 
 @register("standard_transform", with_ctes(
-    _scaled_sql("standard"), PREPARED_CTE,
-    *_prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
+    scaled_sql("standard"), PREPARED_CTE,
+    *prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
 def standard_transform(spark, sf_dir):
     prepared = prepared_features(spark, sf_dir)
     model = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID],
@@ -201,8 +251,8 @@ def _split_prepared(spark, sf_dir) -> DataFrame:
 
 
 @register("preprocess_test_rows", with_ctes(
-    _scaled_sql("minmax"), PREPARED_CTE, *split_ctes("prepared", LABEL, ID),
-    *_prep_ctes("SELECT * FROM tagged WHERE part = 'train'",
+    scaled_sql("minmax"), PREPARED_CTE, *split_ctes("prepared", LABEL, ID),
+    *prep_ctes("SELECT * FROM tagged WHERE part = 'train'",
                 "SELECT * FROM tagged WHERE part = 'test'")))
 def preprocess_test_rows(spark, sf_dir):
     """Fit on the train split only, transform the test split."""
@@ -214,8 +264,8 @@ def preprocess_test_rows(spark, sf_dir):
 
 
 @register("preprocess_train_rows", with_ctes(
-    _scaled_sql("minmax"), PREPARED_CTE, *split_ctes("prepared", LABEL, ID),
-    *_prep_ctes("SELECT * FROM tagged WHERE part = 'train'",
+    scaled_sql("minmax"), PREPARED_CTE, *split_ctes("prepared", LABEL, ID),
+    *prep_ctes("SELECT * FROM tagged WHERE part = 'train'",
                 "SELECT * FROM tagged WHERE part = 'train'")))
 def preprocess_train_rows(spark, sf_dir):
     """Fit and transform the train split (fit_transform)."""
