@@ -11,7 +11,6 @@ import os
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,22 +23,23 @@ from ..operators.preprocess import BookingPreprocessor, FeatureVector
 from ..operators.ranks import exact_quantiles
 from ..operators.split import assign_split
 from ..operators.train import SearchConfig
-from ..sources.files import read_processed, read_raw_csv, save_model, write_processed
+from ..sources.files import load_pipeline, load_preprocessor, read_processed, read_raw_csv, save_model, write_processed
 from .frames import BOX_COLS, COUNT_COLS, DESCRIBE_COLS, HEAT_COLS, HIST_COLS
-from .scoring import score_records
-from .training import TrainingData, auto_select, run_model, summary_frame
+from .scoring import score_records, scoring_pipeline
+from .training import TrainingData, auto_select, run_model, summary_frame, write_comparison
 
 
-def read_input(spark: SparkSession, path: str) -> DataFrame:
-    """CSV (raw reader with NA tokens and typed columns) or parquet, by extension."""
-    if path.lower().endswith(".csv"):
+def read_input(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """CSV (raw reader with NA tokens and typed columns), JSON lines or parquet; told by the suffix unless given."""
+    fmt = fmt or next((f for f in ("csv", "json") if path.lower().rstrip("/").endswith("." + f)), "parquet")
+    if fmt == "csv":
         return read_raw_csv(spark, path)
-    return spark.read.parquet(path)
+    return spark.read.json(path) if fmt == "json" else spark.read.parquet(path)
 
 
 def preprocess_job(spark: SparkSession, raw: DataFrame, out_dir: str, target: str = "is_canceled",
                    test_size: float = 0.3, seed: int = 42, scale_method: str = "minmax",
-                   keep: Sequence[str] = (), fmt: str = "parquet") -> dict[str, str]:
+                   keep: Sequence[str] = (), fmt: str = "parquet", drop: Sequence[str] = ()) -> dict[str, str]:
     """Clean names -> dedupe (label included) -> stratified split -> fit on train only ->
     transform both -> processed tables (label last) and the saved preprocessor."""
     rows = dedupe(clean_columns(raw))
@@ -50,8 +50,10 @@ def preprocess_job(spark: SparkSession, raw: DataFrame, out_dir: str, target: st
     tagged = spark.read.parquet(split_path)
     train = tagged.where(F.col("part") == "train").drop("part")
     test = tagged.where(F.col("part") == "test").drop("part")
-    prep = BookingPreprocessor(labelCol=target, passthroughCols=list(keep),
+    prep = BookingPreprocessor(labelCol=target, passthroughCols=list(keep), dropColumns=list(drop),
                                scaleMethod=scale_method).fit(train)
+    if fmt != "parquet" and not prep.wide:
+        raise ValueError(f"{prep.fitted['n_features']} features are written as vectors, which {fmt} files cannot hold")
     paths = {"train": os.path.join(out_dir, "train_processed"),
              "test": os.path.join(out_dir, "test_processed"),
              "preprocessor": os.path.join(out_dir, "preprocessor")}
@@ -118,39 +120,62 @@ def profile_job(spark: SparkSession, raw: DataFrame, out_dir: str) -> dict[str,
 
 def training_data_from_processed(spark: SparkSession, train_path: str, test_path: str,
                                  target: str, folds: int, out_dir: str,
-                                 fmt: str = "parquet") -> TrainingData:
-    """Processed tables -> feature vector, label, stratified fold column; written once."""
+                                 fmt: str = "parquet", preprocessor_path: str | None = None) -> TrainingData:
+    """Processed tables -> feature vector, label, stratified fold column; written once.
+
+    With the saved preprocessor that made the tables, models can score raw records.
+    """
     train, feats = read_processed(spark, train_path, target, fmt)
     test, _ = read_processed(spark, test_path, target, fmt)
-    assembler = FeatureVector(feats, "features")
+    vectors = feats == ["features"]
+    first = FeatureVector([] if vectors else feats, "features")
+    if preprocessor_path:
+        prep = load_preprocessor(preprocessor_path)
+        if not vectors and prep.feature_columns != feats:
+            raise ValueError(f"the preprocessor at {preprocessor_path} did not make the table at {train_path}")
+        first = prep.copy({prep.outputCol: "features"})
     tagged = assign_split(train, target, 0.0, folds=folds).drop("part")
     for part, frame in (("train", tagged), ("test", test)):
         keep = ["label", "features"] + (["fold"] if part == "train" else [])
-        (assembler.transform(frame).withColumn("label", F.col(target).cast("double"))
+        whole = frame if vectors else FeatureVector(feats, "features").transform(frame)
+        (whole.withColumn("label", F.col(target).cast("double"))
          .select(*keep).write.mode("overwrite").parquet(os.path.join(out_dir, part)))
     tr = spark.read.parquet(os.path.join(out_dir, "train")).persist(StorageLevel.MEMORY_AND_DISK)
     te = spark.read.parquet(os.path.join(out_dir, "test")).persist(StorageLevel.MEMORY_AND_DISK)
-    return TrainingData(tr, te, assembler, feats, None, target, out_dir)
+    return TrainingData(tr, te, first, [] if vectors else feats, None, target, out_dir)
 
 
 def train_job(spark: SparkSession, train_path: str, test_path: str, out_dir: str,
               target: str = "is_canceled", model: str = "Auto",
-              cfg: SearchConfig = SearchConfig(), fmt: str = "parquet") -> DataFrame:
-    """Named preset: search, evaluate, save ``<name>`` pipeline.  Auto: every preset, best saved."""
+              cfg: SearchConfig = SearchConfig(), fmt: str = "parquet", preprocessor_path: str | None = None) -> DataFrame:
+    """Named preset: search, evaluate, save ``<name>`` pipeline.  Auto: every preset, best saved, all compared."""
     data = training_data_from_processed(spark, train_path, test_path, target, cfg.folds,
-                                        out_dir, fmt)
-    if model == "Auto":
-        summary, _, _ = auto_select(spark, data, cfg, out_dir=out_dir)
-        return summary
-    row = run_model(spark, model, data, cfg, out_dir)
-    save_model(PipelineModel(stages=[data.preprocessor, row["_model"]]),
-               os.path.join(out_dir, row["Model"]))
-    return summary_frame(spark, [row])
+                                        out_dir, fmt, preprocessor_path)
+    try:
+        if model == "Auto":
+            summary, _, _ = auto_select(spark, data, cfg, out_dir=out_dir)
+        else:
+            row = run_model(spark, model, data, cfg, out_dir)
+            save_model(scoring_pipeline(data.preprocessor, row["_model"]), os.path.join(out_dir, row["Model"]))
+            summary = summary_frame(spark, [row])
+        write_comparison(spark, out_dir)
+    finally:
+        data.train.unpersist()
+        data.test.unpersist()
+    return summary
+
+
+def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, target: str = "is_canceled", model: str = "Auto",
+            cfg: SearchConfig = SearchConfig(), test_size: float = 0.3, scale_method: str = "minmax",
+            drop: Sequence[str] = ()) -> DataFrame:
+    """Raw bookings to a pipeline that scores raw records: preprocess, then train."""
+    made = preprocess_job(spark, raw, out_dir, target, test_size, cfg.seed, scale_method, drop=drop)
+    return train_job(spark, made["train"], made["test"], os.path.join(out_dir, "models"), clean_name(target), model, cfg,
+                     preprocessor_path=made["preprocessor"])
 
 
 def score_job(spark: SparkSession, model_path: str, records: DataFrame, out_path: str,
               processed: bool = False, keep: Sequence[str] = ()) -> str:
-    from ..sources.files import load_pipeline
     pipeline = load_pipeline(model_path)
     score_records(pipeline, records, processed, keep).write.mode("overwrite").parquet(out_path)
     return out_path

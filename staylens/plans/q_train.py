@@ -10,17 +10,21 @@ from __future__ import annotations
 
 import os
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators.columns import DEFAULT_DROP
+from ..operators.preprocess import BookingPreprocessor
+from ..operators.split import assign_split
 from ..operators.train import SearchConfig, bounded, build, importance_table
+from ..operators.tree_expr import FOREST, Ensemble, TreeExpression, probability_sql
 from ..session import scratch_path, shared_dir
 from ..sources.files import flatten_evaluation, read_evaluations
 from ..sources.tables import bookings, with_signal_label
+from . import training
 from .catalog import r6, register
-from .oracle import with_ctes
-from .scoring import score_frame
+from .oracle import PREPARED_CTE, split_ctes, with_ctes
+from .q_fit import prep_ctes, scaled_sql
+from .scoring import score_frame, scoring_pipeline
 from .training import SUMMARY_COLS, evaluate_scores, prepare_training_data, summary_frame
 
 ID, LABEL = "booking_id", "label_signal"
@@ -84,8 +88,7 @@ def model_selection_summary(spark, sf_dir):
 
 @register("accuracy_ranking", with_ctes("SELECT m AS model_name, round(acc, 6) AS accuracy FROM su", *_CTES))
 def accuracy_ranking(spark, sf_dir):
-    return _evaluations(spark, sf_dir).select("model_name", r6("accuracy").alias("accuracy")).orderBy(
-        F.desc("accuracy"), "model_name")
+    return training.accuracy_ranking(_evaluations(spark, sf_dir)).select("model_name", r6("accuracy").alias("accuracy"))
 
 
 @register("roc_comparison", with_ctes("""
@@ -95,10 +98,7 @@ UNION ALL SELECT au.m, round(s, 6), round(fps / tn, 6), round(tps / tp, 6), roun
 WHERE i = 1 OR pn IS NULL OR pn <> pos OR nn <> neg""", *_CTES))
 def roc_comparison(spark, sf_dir):
     """ROC points of every stored evaluation with its AUC; evaluations without points are left out."""
-    out = spark.createDataFrame([], "model_name string, threshold double, fpr double, tpr double, auc double")
-    for r in _evaluations(spark, sf_dir).where("roc_path IS NOT NULL").select("model_name", "auc", "roc_path").collect():
-        out = out.unionByName(spark.read.parquet(r["roc_path"]).select(
-            F.lit(r["model_name"]).alias("model_name"), "threshold", "fpr", "tpr", F.lit(r["auc"]).alias("auc")))
+    out = training.roc_comparison(_evaluations(spark, sf_dir))
     return out.select("model_name", *[r6(c).alias(c) for c in ("threshold", "fpr", "tpr", "auc")])
 
 
@@ -107,10 +107,7 @@ SELECT m AS model_name, CAST(a AS INT) AS actual, CAST(b AS INT) AS predicted, c
 FROM sc, (VALUES (0), (1)) i(a), (VALUES (0), (1)) j(b) GROUP BY m, a, b""", *_CTES))
 def confusion_long(spark, sf_dir):
     """Confusion matrices of all evaluations as (model_name, actual, predicted, count)."""
-    ev = _evaluations(spark, sf_dir)
-    rows = ev.select("model_name", F.posexplode("confusion_matrix").alias("actual", "_row"))
-    return rows.select("model_name", "actual",
-                       F.posexplode("_row").alias("predicted", "count"))
+    return training.confusion_long(_evaluations(spark, sf_dir))
 
 
 @register("evaluation_flatten", with_ctes("""
@@ -144,10 +141,39 @@ def feature_importance_top5(spark, sf_dir):
     return importance_table(spark, model, data.features).limit(5)
 
 
-@register("score_test_rows")
-def score_test_rows(spark, sf_dir):
-    """Preprocessor and forest score the raw test rows: one output row per input row."""
+@register("score_fitted_rows")
+def score_fitted_rows(spark, sf_dir):
+    """Preprocessor and fitted forest score the raw test rows: one output row per input row."""
     data, model = _fitted(spark, sf_dir)
     split = spark.read.parquet(os.path.join(data.base, "split"))
     test_raw = split.where(F.col("part") == "test").drop("part", "fold", LABEL)
-    return score_frame(PipelineModel(stages=[data.preprocessor, model]), test_raw, keep=[ID])
+    return score_frame(scoring_pipeline(data.preprocessor, model), test_raw, keep=[ID])
+
+
+#: A stated forest over processed features (scaled to 0..1): the trees that scoring is checked with.
+STATED_FEATURES = ["lead_time", "adr", "total_guests", "previous_cancellations", "deposit_type_Non Refund",
+                   "market_segment_BUILDING", "total_nights", "hotel_City Hotel", "total_of_special_requests"]
+STATED = Ensemble(FOREST, [
+    (0, 0.52, (4, 0.5, (3, 0.4, 0.18, 0.44), 0.91), (8, 0.7, (1, 0.33, 0.63, 0.83), 0.37)),
+    (1, 0.41, (7, 0.5, 0.22, (6, 0.26, 0.35, (2, 0.45, 0.58, 0.74))), (3, 0.9, 0.56, 0.97)),
+    (6, 0.31, (0, 0.27, 0.12, 0.41), (5, 0.5, (8, 0.3, 0.86, 0.49), (1, 0.62, 0.77, 0.95))),
+], [1.0, 2.0, 1.5])
+
+
+@register("score_test_rows", with_ctes(f"""
+SELECT booking_id, CAST(p > 0.5 AS INT) AS prediction, CASE WHEN p > 0.5 THEN 'Canceled' ELSE 'Not canceled' END AS label,
+  round(p, 6) AS probability, CASE WHEN p >= 0.7 THEN 'High' WHEN p >= 0.4 THEN 'Medium' ELSE 'Low' END AS risk_level
+FROM (SELECT booking_id, {probability_sql(STATED, lambda i: f"f{i}")} AS p FROM wide)""", PREPARED_CTE,
+    *split_ctes("prepared", "is_canceled", ID), *prep_ctes("SELECT * FROM tagged WHERE part = 'train'",
+                                                           "SELECT * FROM tagged WHERE part = 'test'"), f"""
+sc_all AS ({scaled_sql("minmax", None)})""", f"""
+wide AS (SELECT booking_id, {", ".join(f"max(CASE WHEN feature = '{c}' THEN value END) AS f{i}" for i, c in enumerate(STATED_FEATURES))}
+  FROM sc_all GROUP BY booking_id)"""))
+def score_test_rows(spark, sf_dir):
+    """Raw test bookings through contract, preprocessor (fitted on the train split) and a stated forest."""
+    tagged = assign_split(bookings(spark, sf_dir), "is_canceled", 0.3, key_cols=[ID], hash_method="md5")
+    prep = BookingPreprocessor(labelCol="is_canceled", passthroughCols=[ID]).fit(tagged.where("part = 'train'").drop("part"))
+    test = tagged.where("part = 'test'").drop("part", "is_canceled")
+    pipeline = scoring_pipeline(prep, TreeExpression(STATED, STATED_FEATURES))
+    scored = score_frame(pipeline, test, keep=[ID])
+    return scored.select(ID, "prediction", "label", r6("probability").alias("probability"), "risk_level")

@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import DEFAULT_DROP, dedupe
-from ..operators.evaluate import classification_report, confusion_matrix, roc_auc, roc_curve
+from ..operators.evaluate import area_of, classification_report, confusion_matrix, curve_of, ordered_scores
 from ..operators.preprocess import BookingPreprocessor
 from ..operators.split import assign_split
 from ..operators.train import MODEL_ORDER, SearchConfig, importance_table, positive_probability, resolve, search
 from ..session import scratch_path, shared_dir
-from ..sources.files import save_model, write_evaluation, write_table
+from ..sources.files import read_evaluations, save_model, write_evaluation, write_table
+from .scoring import scoring_pipeline
 
 
 @dataclass
@@ -52,7 +53,7 @@ def prepare_training_data(spark: SparkSession, raw: DataFrame, label_col: str, i
     test_raw = tagged.where(F.col("part") == "test").drop("part", "fold")
     prep = BookingPreprocessor(labelCol=label_col, passthroughCols=[id_col, "fold"],
                                dropColumns=list(drop or DEFAULT_DROP), outputCol="features").fit(train_raw)
-    feats = prep.feature_columns
+    feats = prep.feature_columns if prep.wide else []
     for part, frame in (("train", train_raw), ("test", test_raw)):
         out = prep.transform(frame).withColumn("label", F.col(label_col).cast("double"))
         keep = [id_col, "label", "features"] + (["fold"] if part == "train" else [])
@@ -81,11 +82,12 @@ def evaluate_scores(spark: SparkSession, name: str, scored: DataFrame, cv_score:
     """Evaluates (label, prediction, score) rows, stores the record and the ROC points, returns the summary row."""
     report = _report_dict(scored)
     roc_path = os.path.join(out_dir, "roc", name)
-    roc_curve(scored, "label", "score", pos_label=1.0).write.mode("overwrite").parquet(roc_path)
+    points = ordered_scores(scored, "label", "score", pos_label=1.0)
+    curve_of(points).write.mode("overwrite").parquet(roc_path)
     accuracy = report["accuracy"]["f1_score"]
     write_evaluation(spark, {"model_name": name, "best_cv_score": cv_score, "accuracy": accuracy, "report": report,
                              "confusion_matrix": _confusion(scored), "roc_path": roc_path,
-                             "auc": roc_auc(scored, "label", "score", pos_label=1.0).first()["auc"]},
+                             "auc": area_of(points).first()["auc"]},
                      os.path.join(out_dir, "evaluations", name))
     per_class = {f"{measure}_{c}": report.get(c, {}).get(key)
                  for c in ("0", "1") for measure, key in PER_CLASS}
@@ -97,6 +99,8 @@ def run_model(spark: SparkSession, name: str, data: TrainingData, cfg: SearchCon
               out_dir: str | None = None) -> dict:
     """Search, predict the test rows once, evaluate, store evaluation / ROC / importances."""
     name = resolve(name)
+    if data is None or data.train is None or data.test is None:
+        raise ValueError("there is no training data: prepare it before a search")
     out_dir = out_dir or data.base
     shared_dir(spark)  # tree learners checkpoint their cached node ids there
     model, cv_score, point = search(name, data.train, cfg)
@@ -148,6 +152,38 @@ def auto_select(spark: SparkSession, data: TrainingData, cfg: SearchConfig,
     best = max(enumerate(rows), key=lambda x: (x[1]["Best_CV_Score"], -x[0]))[1]
     summary = summary_frame(spark, rows)
     write_table(summary, os.path.join(out_dir, "model_comparison_summary"))
-    pipeline = PipelineModel(stages=[data.preprocessor, best["_model"]])
+    pipeline = scoring_pipeline(data.preprocessor, best["_model"])
     save_model(pipeline, os.path.join(out_dir, "best_model"))
     return summary, best["Model"], pipeline
+
+
+# ---------------------------------------------------------------- comparison of stored evaluations
+def accuracy_ranking(evaluations: DataFrame) -> DataFrame:
+    return evaluations.select("model_name", "accuracy").orderBy(F.desc("accuracy"), "model_name")
+
+
+def roc_comparison(evaluations: DataFrame) -> DataFrame:
+    """ROC points of every stored evaluation with its AUC; evaluations without points are left out (one row a model)."""
+    spark = evaluations.sparkSession
+    out = spark.createDataFrame([], "model_name string, threshold double, fpr double, tpr double, auc double")
+    for r in evaluations.where("roc_path IS NOT NULL").select("model_name", "auc", "roc_path").collect():
+        out = out.unionByName(spark.read.parquet(r["roc_path"]).select(
+            F.lit(r["model_name"]).alias("model_name"), "threshold", "fpr", "tpr", F.lit(r["auc"]).alias("auc")))
+    return out
+
+
+def confusion_long(evaluations: DataFrame) -> DataFrame:
+    """Confusion matrices of all evaluations as (model_name, actual, predicted, count)."""
+    rows = evaluations.select("model_name", F.posexplode("confusion_matrix").alias("actual", "_row"))
+    return rows.select("model_name", "actual", F.posexplode("_row").alias("predicted", "count"))
+
+
+def write_comparison(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """The comparison tables of all evaluations stored below ``out_dir``."""
+    evaluations = read_evaluations(spark, os.path.join(out_dir, "evaluations", "*"))
+    tables = {"accuracy_ranking": accuracy_ranking, "roc_comparison": roc_comparison, "confusion_matrices": confusion_long}
+    paths = {}
+    for name, table in tables.items():
+        paths[name] = os.path.join(out_dir, "comparison", name)
+        write_table(table(evaluations), paths[name])
+    return paths

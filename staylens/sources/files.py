@@ -11,13 +11,10 @@ from pyspark.sql.types import (ArrayType, DoubleType, LongType, MapType, StringT
                                StructField, StructType)
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.features import as_type, text_or_null
 from ..functions.names import clean_name
 from ..functions.names import qcol
 
-# Text that a pandas CSV reader turns into a missing value by default.
-NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
-             "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
-
 # Raw booking columns and their types; agent and company stay text on purpose.
 RAW_TYPES = {
     "hotel": "string", "is_canceled": "int", "lead_time": "int", "arrival_date_year": "int",
@@ -35,15 +32,17 @@ RAW_TYPES = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None,
+                 line_breaks: bool = False) -> DataFrame:
     """Header CSV read as text, NA tokens to null, then typed by name (unknown names stay text).
 
-    Quotes inside a quoted field are doubled, fields may hold line breaks, and
-    a backslash is an ordinary character.  A whole number may be written with a
-    fraction of zero.  A field that does not parse becomes null;
+    Quotes inside a quoted field are doubled and a backslash is an ordinary
+    character.  With ``line_breaks`` fields may hold them, and a file is read by
+    one task; without, large files are split.  A whole number may be written
+    with a fraction of zero.  A field that does not parse becomes null;
     :func:`unparsed` counts those.
     """
-    raw = _raw_text(spark, path)
+    raw = _raw_text(spark, path, line_breaks)
     return raw.select(*[_typed(c, _type_of(c, types)).alias(c) for c in raw.columns])
 
 
@@ -55,10 +54,10 @@ def unparsed(spark: SparkSession, path: str, types: dict[str, str] | None = None
     return raw.agg(*lost) if lost else spark.createDataFrame([], StructType())
 
 
-def _raw_text(spark: SparkSession, path: str) -> DataFrame:
+def _raw_text(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     try:
         raw = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"')
-               .option("escape", '"').option("multiLine", True).csv(path))
+               .option("escape", '"').option("multiLine", line_breaks).csv(path))
         raw.schema  # noqa: B018  (resolves the path now)
     except AnalysisException as err:
         raise FileNotFoundError(f"no CSV can be read at {path}") from err
@@ -71,17 +70,11 @@ def _type_of(column: str, types: dict[str, str] | None) -> str:
 
 
 def _text(column: str) -> Column:
-    return F.when(qcol(column).isin(*NA_TOKENS), F.lit(None)).otherwise(qcol(column))
+    return text_or_null(qcol(column))
 
 
 def _typed(column: str, kind: str) -> Column:
-    text = _text(column)
-    if kind == "string":
-        return text
-    if kind in ("int", "bigint", "long"):
-        number = text.try_cast("double")
-        return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
-    return text.try_cast(kind)
+    return as_type(qcol(column), StringType(), kind)
 
 
 def read_processed(spark: SparkSession, path: str, target: str, fmt: str = "parquet"):
@@ -171,6 +164,16 @@ def save_model(model, path: str) -> str:
 def load_pipeline(path: str):
     """Load a saved PipelineModel; a missing artifact is an error."""
     from pyspark.ml import PipelineModel
+    return PipelineModel.load(_there(path, "pipeline"))
+
+
+def load_preprocessor(path: str):
+    """Load a saved preprocessor with its dictionary; a missing artifact is an error."""
+    from ..operators.preprocess import BookingPreprocessorModel
+    return BookingPreprocessorModel.load(_there(path, "preprocessor"))
+
+
+def _there(path: str, what: str) -> str:
     if "://" not in path and not os.path.exists(path):
-        raise RuntimeError(f"no saved pipeline at {path}")
-    return PipelineModel.load(path)
+        raise RuntimeError(f"no saved {what} at {path}")
+    return path

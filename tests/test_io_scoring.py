@@ -128,7 +128,7 @@ def test_saved_pipeline_scores_equal(trained, spark):
 
 def test_processed_scoring_path(trained, spark):
     data, _, _, pipeline = trained
-    prep = pipeline.stages[0]
+    prep = next(s for s in pipeline.stages if isinstance(s, BookingPreprocessorModel))
     feats = prep.transform(bookings(spark, SF_SMALL)).select("booking_id", *[
         F.col(f"`{c}`") for c in prep.feature_columns])
     out = score_frame(pipeline, feats, processed=True, keep=["booking_id"])

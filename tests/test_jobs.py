@@ -69,3 +69,62 @@ def test_train_and_score_jobs(spark, processed):
     got = spark.read.parquet(scored)
     assert got.count() == test.count()
     assert set(got.columns) == {"prediction", "label", "probability", "risk_level"}
+
+
+def test_run_then_score_raw_json(spark, raw_csv, tmp_path_factory, monkeypatch):
+    """The documented commands: train from a raw file, then score raw records by the saved pipeline."""
+    from staylens import __main__ as cli
+    from staylens.operators import train as T
+    out = str(tmp_path_factory.mktemp("run"))
+    small = {"random_forest": {"numTrees": [3], "maxDepth": [4], "minInstancesPerNode": [1], "bootstrap": [True]}}
+    monkeypatch.setattr(T, "GRIDS", T.GRIDS | small)
+    monkeypatch.setattr(cli, "build_session", lambda: spark)
+    cli.main(["run", "--input", raw_csv, "--out", out, "--model", "RandomForest", "--n-iter", "1", "--cv", "2",
+              "--drop", "reservation_status", "reservation_status_date", "agent", "company", "arrival_date_year", "assigned_room_type"])
+    model = os.path.join(out, "models", "random_forest")
+    for table in ("accuracy_ranking", "roc_comparison", "confusion_matrices"):
+        assert spark.read.option("header", True).csv(os.path.join(out, "models", "comparison", table)).count() > 0
+    # Raw records as a client sends them: other header style, numbers as text, a missing value, an unseen category.
+    raw = jobs.read_input(spark, raw_csv).withColumn("Record Id", F.monotonically_increasing_id()).limit(50)
+    first = F.col("Record Id") == 0
+    sent = (raw.withColumn("Lead Time", F.col("Lead Time").cast("string")).withColumn("Children", F.lit(2).cast("int"))
+            .withColumn("Meal", F.when(first, "XX").otherwise(F.col("Meal")))
+            .withColumn("Adr", F.when(first, "NA").otherwise(F.col("Adr").cast("string"))).drop("Is Canceled"))
+    path = os.path.join(out, "records.json")
+    sent.write.json(path)
+    cli.main(["score", "--model", model, "--input", path, "--out", os.path.join(out, "scored"), "--keep", "Record Id", "Meal"])
+    got = spark.read.parquet(os.path.join(out, "scored"))
+    assert got.columns == ["record_id", "meal", "prediction", "label", "probability", "risk_level"]
+    assert got.count() == 50 and got.where("probability IS NULL").count() == 0
+    assert got.where("record_id = 0").first()["meal"] == "XX"
+    with pytest.raises(ValueError, match="columns not given"):
+        jobs.score_job(spark, model, sent.drop("Hotel"), os.path.join(out, "no"))
+    from staylens.streaming.scoring import start_scoring_stream
+    from staylens.sources.files import load_pipeline
+    query = start_scoring_stream(spark, load_pipeline(model), path, spark.read.json(path).schema, os.path.join(out, "stream"),
+                                 os.path.join(out, "ckpt"), keep=["Record Id"])
+    query.awaitTermination(300)
+    streamed = spark.read.parquet(os.path.join(out, "stream")).orderBy("record_id").collect()
+    assert streamed == got.drop("meal").orderBy("record_id").collect()
+
+
+def test_train_with_another_preprocessor_is_an_error(spark, processed, tmp_path_factory):
+    from staylens.operators.preprocess import BookingPreprocessor
+    from staylens.sources.files import save_model
+    paths, _ = processed
+    other = str(tmp_path_factory.mktemp("other") / "prep")
+    save_model(BookingPreprocessor(labelCol="y").fit(spark.createDataFrame([(1, "a"), (2, "b")], "y int, c string")), other)
+    with pytest.raises(ValueError, match="did not make"):
+        jobs.train_job(spark, paths["train"], paths["test"], str(tmp_path_factory.mktemp("m")), model="RandomForest",
+                       preprocessor_path=other)
+
+
+def test_no_data_and_no_model_are_clear_errors(spark):
+    from staylens.plans.scoring import score_frame, scoring_pipeline
+    from staylens.plans.training import run_model
+    with pytest.raises(ValueError, match="no training data"):
+        run_model(spark, "RandomForest", None, SearchConfig())
+    with pytest.raises(ValueError, match="no fitted model"):
+        scoring_pipeline(None, None)
+    with pytest.raises(ValueError, match="no fitted pipeline"):
+        score_frame(None, spark.range(1))
