@@ -17,8 +17,8 @@ into a score.  A document's score needs no landmark at run time: kernel,
 whitening and weights multiply out to one weight per subsequence.
 
 Labels come only from rows whose crc32(id as text) mod 3 is not 1, and of these
-from at most ``BOUND`` rows of each class, the first by a hash of the id; only this
-bounded sample visits the driver.  Labels, languages, sources and ids are never
+from at most ``BOUND`` rows of each class, the first by a hash of the id, without
+words of over ``LONGEST`` letters; only this bounded sample visits the driver.  Labels, languages, sources and ids are never
 inputs of a score.
 
 Edge cases: null and empty texts, and texts without words of three letters, get
@@ -53,13 +53,16 @@ LANDMARKS, WIDTH, DECAY = 128, 8, 0.6
 CLEAN_WORDS = 3_000
 #: What all clean words cost beside all toxic ones: a document has hundreds of them.
 CLEAN_COST = 30.0
+#: Letters of a word that the machine is fitted on at most (all words are scored whole); stretches scored at a time.
+LONGEST, STRETCHES = 64, 100_000
 #: Scores of words that a task remembers at a time.
 REMEMBERED = 600_000
 
 KIND = StructType().add("score", DoubleType()).add("predicted", IntegerType())
 
 _WORD = re.compile(r"[^\W_]+")
-_BROKEN = re.compile(r"[^\W_]+(?:(?:[^\w\s]|_)+[^\W_]+)+")
+# Begins where a run of letters does and takes runs whole, so it reads a text once.
+_BROKEN = re.compile(r"(?<![^\W_])[^\W_]++(?:(?:[^\w\s]|_)++[^\W_]++)++")
 _SPACED = re.compile(r"(?<!\S)[^\W_](?:\s[^\W_]){2,}(?!\S)")
 _MARKS = re.compile(r"[\W_]+")
 
@@ -139,14 +142,17 @@ class Model:
         for a in range(0, len(found), 20_000):
             part = found[a:a + 20_000]
             s, word = stretches(part)
-            value = np.zeros(len(s), np.float32)
-            for t, (i, j, k) in enumerate(_TRIPLES):
-                value += np.float32(_WEIGHT[t]) * self.weights[s[:, i] << 12 | s[:, j] << 6 | s[:, k]]
-            value /= norms(s)
+            value = np.concatenate([self._stretch_values(s[b:b + STRETCHES]) for b in range(0, len(s), STRETCHES)])
             begin = np.flatnonzero(np.diff(word, prepend=-1))
             out[a:a + len(part)] = np.maximum.reduceat(value, begin) + self.bias
         return out
 
+    def _stretch_values(self, s: np.ndarray) -> np.ndarray:
+        value = np.zeros(len(s), np.float32)
+        for t, (i, j, k) in enumerate(_TRIPLES):
+            value += np.float32(_WEIGHT[t]) * self.weights[s[:, i] << 12 | s[:, j] << 6 | s[:, k]]
+        return value / norms(s)
+
     def score(self, value: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * value + self.intercept, -40, 40))))
 
@@ -409,7 +415,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     def compute(batches):
         for batch in batches:
-            found = [" ".join(sorted(words(t))) for t in batch.column(0).to_pylist()]
+            found = [" ".join(sorted(w for w in words(t) if len(w) <= LONGEST)) for t in batch.column(0).to_pylist()]
             yield batch, pa.StructArray.from_arrays([pa.array(found, pa.string())], names=["words"])
 
     share = rows.where("toxic in (0, 1)").agg(F.avg("toxic")).first()[0]

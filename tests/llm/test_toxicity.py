@@ -77,3 +77,16 @@ def test_rejected_documents_go(spark):
     assert kept.columns == docs.columns
     stay, toxic = {r.doc_id for r in kept.collect()}, {i for i, _, y in rows if y}
     assert len(stay & toxic) <= 0.03 * len(toxic) and len({i for i, _, y in rows if not y} - stay) <= 6
+
+
+def test_very_long_words_are_read_in_linear_time(spark):
+    import time
+    start = time.time()
+    for text in ("x" * 1_000_000, "ab-" * 300_000, "a b " * 200_000):
+        op.words(text)
+    assert time.time() - start < 20
+    rows = texts(400, 9)
+    model = op.train(frame(spark, [(i, t) for i, t, _ in rows]), frame(spark, [(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    long = [(1, "Qk9y" * 250_000), (2, "x" * 1_000_000 + " " + BAD[0]), (3, "ab-" * 300_000)]
+    got = {r.doc_id: r.predicted for r in op.annotate(frame(spark, long), model).select("doc_id", "toxicity.*").collect()}
+    assert got[2] == 1 and len(got) == 3
