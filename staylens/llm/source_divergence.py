@@ -47,7 +47,13 @@ MIN_DOCS, TOP = 30, 50
 #: The unit of a share, and what is added to each count.
 UNIT_STEPS, PRIOR = 3, 5
 #: (group, term) counts that a task holds before it hands them on; terms of a bucket; sources of a block.
-HELD, TERMS, SOURCES = 200_000, 2048, 128
+HELD, TERMS, SOURCES = 400_000, 2048, 128
+
+#: A document in a term's count, and documents that a task counts before it hands on (they fill the higher bits).
+DOC_BITS = 40
+DOC, MOST_DOCS = 1 << DOC_BITS, 1 << 22
+#: Rows that are searched for the highest ranks at a time.
+RANKED = 100_000
 
 #: Lower-cases A-Z and blanks all other ASCII bytes but a-z.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -62,31 +68,32 @@ COUNTS = "lang string, source string, term string, n long, docs long"
 
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse counts of (lang, source, text) rows; each group also has a row of the empty term."""
-    held: dict[tuple, tuple[Counter, Counter]] = {}
+    held: dict[tuple, dict[bytes, int]] = {}     # each term's occurrences, and its documents in the higher bits
 
     def handed_on():
-        for (lang, source), (n, docs) in held.items():
-            k = len(n) + 1
+        for (lang, source), found in held.items():
+            both = np.fromiter(found.values(), np.int64, len(found))
+            k = len(found) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()),
-                 pa.array([b"", *n.keys()], pa.binary()).cast(pa.string()),
-                 pa.array([0, *n.values()], pa.int64()), pa.array([0, *(docs[t] for t in n)], pa.int64())],
+                 pa.array([b"", *found], pa.binary()).cast(pa.string()),
+                 pa.array(np.concatenate([[0], both & (DOC - 1)])), pa.array(np.concatenate([[0], both >> DOC_BITS]))],
                 names=["lang", "source", "term", "n", "docs"])
         held.clear()
 
-    size = 0
+    size = rows = 0
     for batch in batches:
-        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()))
-        for lang, source, text in rows:
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            before = len(n)
-            own = Counter(terms(text.as_py()))
-            n.update(own)
-            docs.update(own.keys())
-            size += len(n) - before
-            if size >= HELD:
+        columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
+        for lang, source, text in zip(*columns):
+            found = held.setdefault((lang, source), {})
+            before = len(found)
+            for term, n in Counter(terms(text.as_py())).items():
+                found[term] = found.get(term, 0) + n + DOC
+            size += len(found) - before
+            rows += 1
+            if size >= HELD or rows >= MOST_DOCS:
                 yield from handed_on()
-                size = 0
+                size = rows = 0
     yield from handed_on()
 
 
@@ -196,6 +203,35 @@ def _ranked(rows: DataFrame, part: str) -> DataFrame:
                        F.row_number().over(order).alias("rank"))
 
 
+def _highest(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[pa.RecordBatch]:
+    """A task's ``top`` rows of each (lang, source) by value, then item, from (lang, source, item, value) rows."""
+    order = [("lang", "ascending"), ("source", "ascending"), ("value", "descending"), ("item", "ascending")]
+    held: list[pa.RecordBatch] = []
+
+    def kept():
+        rows = pa.Table.from_batches(held)
+        rows = rows.take(pc.sort_indices(rows, sort_keys=order)).combine_chunks()
+        first = np.ones(len(rows), bool)
+        for c in ("lang", "source"):
+            code = rows.column(c).combine_chunks().dictionary_encode().indices.to_numpy()
+            first[1:] &= code[1:] == code[:-1]
+        first[1:] = ~first[1:]
+        at = np.arange(len(rows))
+        return rows.filter(pa.array(at - np.maximum.accumulate(np.where(first, at, 0)) < top)).to_batches()
+
+    size, most = 0, RANKED
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= most:
+            held = kept()
+            size = sum(b.num_rows for b in held)
+            most = max(RANKED, 2 * size)
+    if held:
+        yield from kept()
+
+
 def audit(docs: DataFrame, *, lang: str = "lang", source: str = "source", text: str = "text",
           min_docs: int = MIN_DOCS, top: int = TOP, terms: int = TERMS, sources: int = SOURCES) -> DataFrame:
     """(lang, source, part, item, value, rank): all ``pair`` rows, and the ``top`` ``term`` rows of each group."""
@@ -207,7 +243,8 @@ def audit(docs: DataFrame, *, lang: str = "lang", source: str = "source", text:
         "lang", "source", F.col("term").alias("item"),
         (share(F.col("n"), F.col("kept"), F.col("vocabulary"))
          - share(F.col("total"), F.col("lang_kept"), F.col("vocabulary"))).alias("value"))
-    over = _ranked(met.where("value > 0"), "term").where(F.col("rank") <= top)
+    high = met.where("value > 0").mapInArrow(lambda batches: _highest(batches, top), met.schema)
+    over = _ranked(high, "term").where(F.col("rank") <= top)
     return _ranked(_pairs(kept, groups, terms, sources), "pair").unionByName(over)
 
 
