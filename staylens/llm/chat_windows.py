@@ -4,14 +4,17 @@ A turn is written ``### role: text</turn>`` and a line break.  Inside roles and
 texts the characters that control strings are made of are escaped, so no text
 can look like a mark, and unescaping returns it exactly.
 
-Prefix sums of the turns' tokens cut a conversation into spans of whole turns:
-a turn belongs to span ``tokens before it // room``, where the room is the
-budget without the history's share and the system turn.  A window is the
+Prefix sums of the turns' tokens cut a conversation into spans of whole turns.
+The room of a span is the budget without the history's share and the system
+turn.  Turns of up to half the room go by ``tokens before it // half the room``,
+so those of one span begin within half the room and the last one adds another
+half at most; a longer turn is a span of its own.  A window is the
 conversation's system turn (if it stands before the span), the last turns
 before the span as far as the history's share reaches, and the span.  The loss
 mask covers the texts of the span's assistant turns, so each is a target once:
-where a turn is repeated it is not masked in.  No turn is ever cut, so a turn
-longer than the room makes its window longer than the budget.
+where a turn is repeated it is not masked in.  No turn is ever cut, so only a
+turn longer than the room, or a system turn that leaves less than
+``LEAST_ROOM``, makes a window longer than the budget.
 
 Prefix sums go by blocks of turn numbers and then over the sums of the blocks,
 and windows are assembled one by one, so a conversation of any length is spread
@@ -91,19 +94,21 @@ def windows(rows: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role:
     loss (code point ranges of the masked-in texts, end exclusive)."""
     t = _turns(rows, conv, turn, role, text)
     room = F.greatest(F.lit(budget - history) - F.coalesce("system_tok", F.lit(0)), F.lit(LEAST_ROOM))
-    t = t.withColumn("w", F.floor(F.col("p") / room).cast("long"))
+    half = F.floor(room / 2)
+    # A turn longer than half the room is the last that begins in its half.
+    t = t.withColumn("w", (F.floor(F.col("p") / half) * 2 + (F.col("tok") > half).cast("int")).cast("long"))
     spans = t.groupBy("c", "w").agg(F.min("p").alias("start"))
-    order = Window.partitionBy("c").orderBy("w")
-    spans = spans.select(F.col("c").alias("wc"), F.col("w").alias("ww"), F.lead("w").over(order).alias("next_w"),
-                         F.lead("start").over(order).alias("next_start"))
+    # Spans that begin within the history's share of some turn of a span: every turn takes MARKS tokens.
+    after = Window.partitionBy("c").orderBy("w").rowsBetween(1, history // MARKS)
+    spans = spans.select(F.col("c").alias("wc"), F.col("w").alias("ww"),
+                         F.collect_list(F.struct("w", "start")).over(after).alias("later"))
     t = t.join(spans, F.col("c").eqNullSafe(F.col("wc")) & (F.col("w") == F.col("ww")))
     is_system = F.coalesce(F.col("n") == F.col("system_n"), F.lit(False))
-    # A turn stands in its own window and, near enough to the next span, as that one's history.
-    repeated = F.col("next_w").isNotNull() & ~is_system & (F.col("next_start") - F.col("p") <= history)
+    # A turn stands in its own window and, near enough before later spans, as their history.
+    near = F.filter("later", lambda s: ~is_system & (s["start"] - F.col("p") <= history))
     target = F.explode(F.concat(
         F.array(F.struct(F.col("w").alias("w"), F.lit(True).alias("fresh"))),
-        F.when(repeated, F.array(F.struct(F.col("next_w").alias("w"), F.lit(False).alias("fresh"))))
-        .otherwise(F.array().cast("array<struct<w:bigint,fresh:boolean>>"))))
+        F.transform(near, lambda s: F.struct(s["w"].alias("w"), F.lit(False).alias("fresh")))))
     piece = F.struct("n", "to.fresh", (F.col("to.fresh") & (F.col("role") == "assistant")).alias("target"), "head", "body")
     made = t.withColumn("to", target).groupBy("c", F.col("to.w").alias("w")).agg(
         F.sort_array(F.collect_list(piece)).alias("pieces"), F.first("system_n").alias("system_n"),
@@ -172,14 +177,17 @@ a AS (SELECT *, (strlen(text) + 3) // 4 + {MARKS} AS tok, row_number() OVER o AS
 b AS (SELECT *, sum(tok) OVER (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING) - tok AS p,
     min(n) FILTER (role = 'system') OVER (PARTITION BY conv_id) AS sn FROM a),
 s AS (SELECT conv_id, tok AS stok, chars AS schars FROM b WHERE n = sn),
-d AS (SELECT b.*, stok, schars, CAST(p // greatest({BUDGET - HISTORY} - coalesce(stok, 0), {LEAST_ROOM}) AS BIGINT) AS w
+h AS (SELECT b.*, stok, schars, greatest({BUDGET - HISTORY} - coalesce(stok, 0), {LEAST_ROOM}) // 2 AS half
   FROM b LEFT JOIN s ON b.conv_id IS NOT DISTINCT FROM s.conv_id),
-span AS (SELECT conv_id, w, min(p) AS start, min(n) AS first, lead(min(p)) OVER (PARTITION BY conv_id ORDER BY w) AS after
-  FROM d GROUP BY conv_id, w),
-e AS (SELECT d.*, span.first, after FROM d JOIN span ON d.conv_id IS NOT DISTINCT FROM span.conv_id AND d.w = span.w)
+d AS (SELECT *, CAST(p // half * 2 + CASE WHEN tok > half THEN 1 ELSE 0 END AS BIGINT) AS w FROM h),
+span AS (SELECT conv_id, w, min(p) AS start, min(n) AS first FROM d GROUP BY conv_id, w),
+again AS (SELECT d.conv_id, d.n, count(*) AS k FROM d JOIN span ON d.conv_id IS NOT DISTINCT FROM span.conv_id
+  AND span.w > d.w AND span.start - d.p <= {HISTORY} WHERE d.n IS DISTINCT FROM d.sn GROUP BY ALL),
+e AS (SELECT d.*, span.first, coalesce(k, 0) AS k FROM d JOIN span ON d.conv_id IS NOT DISTINCT FROM span.conv_id AND d.w = span.w
+  LEFT JOIN again ON d.conv_id IS NOT DISTINCT FROM again.conv_id AND d.n = again.n)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(chars + CASE WHEN after - p <= {HISTORY} AND n IS DISTINCT FROM sn THEN chars ELSE 0 END
+  CAST(sum(chars * (1 + k)
     + CASE WHEN n = first AND sn < first THEN schars ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""

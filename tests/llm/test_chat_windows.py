@@ -31,18 +31,36 @@ def test_read_back_is_exact(spark):
     assert got == brute()
 
 
+def tokens(part):
+    return (len(part.split(": ", 1)[1].encode()) + 3) // 4 + op.MARKS
+
+
 def test_windows_keep_to_the_budget_and_repeat_history(spark):
     rows = op.windows(frame(spark)).where("conv = 3").orderBy("window").collect()
     assert len(rows) > 5
-    for before, r in zip(rows, rows[1:]):
+    written = []
+    for r in rows:
         parts = r.formatted.split(op.CLOSE)[:-1]
         assert len(parts) == r.n_context + r.n_turns
-        if r.n_context:   # history is the end of what came before
-            assert before.formatted.split(op.CLOSE)[:-1][-r.n_context:] == parts[:r.n_context]
-        tokens = [(len(p.split(": ", 1)[1].encode()) + 3) // 4 + op.MARKS for p in parts]
-        assert sum(tokens[:r.n_context]) <= op.HISTORY
-        assert sum(tokens[:-1]) <= op.BUDGET
+        if r.n_context:   # history is the end of all that came before, as far as its share reaches
+            assert written[-r.n_context:] == parts[:r.n_context]
+        own = [tokens(p) for p in parts]
+        assert sum(own[:r.n_context]) <= op.HISTORY
+        if r.n_context < len(written):
+            assert sum(own[:r.n_context]) + tokens(written[-r.n_context - 1]) > op.HISTORY
+        assert sum(own) <= op.BUDGET or r.n_turns == 1
         assert all(r.formatted[s.start:s.end] in r.formatted and r.formatted[s.end:].startswith(op.CLOSE) for s in r.loss)
+        written += parts[r.n_context:]
+
+
+def test_no_window_of_the_test_tables_exceeds_the_budget(spark):
+    """But where one turn, or the system turn, does so alone."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    made = op.windows(rows).collect()
+    assert len(made) > 100
+    for r in made:
+        own = [tokens(p.replace("\\l", "<").replace("\\h", "#").replace("\\b", "\\")) for p in r.formatted.split(op.CLOSE)[:-1]]
+        assert sum(own) <= op.BUDGET or (r.n_turns == 1 and own[-1] > op.BUDGET - op.HISTORY - own[0])
 
 
 def test_system_turn_is_retained(spark):
