@@ -10,17 +10,18 @@ DOCS = EDGES + [
     (25, "license version apache the under licensed"), (26, "cc bye accby cc  by"), (27, "Released under the MIT License")]
 
 
-def brute(text):
+def brute(text, templates=op.TEMPLATES):
     w = words(text)
     places = [(i, label, p) for p, label in op.PHRASES for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
     labels, best = {x[1] for x in places}, 0.0
-    for s in range(0, max(len(w) - op.BLOCK // 2, 1), op.BLOCK // 2):
-        b = set(w[s:s + op.BLOCK])
-        for label, t in op.TEMPLATES:
-            t = set(t.split())
-            if len(t & b) >= math.ceil(round(op.CONTAINED * len(t), 9)):
-                labels.add(label)
-                best = max(best, len(t & b) / len(t))
+    for label, t in templates:
+        own, block = set(t.split()), op.STRETCH * len(t.split())
+        for s in range(len(w)):
+            if w[s] in own:
+                held = len(own.intersection(w[s:s + block]))
+                if held >= math.ceil(round(op.CONTAINED * len(own), 9)):
+                    labels.add(label)
+                    best = max(best, held / len(own))
     at = [p[0] for p in places]
     return (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x[1] for x in places})),
             ",".join(sorted(labels)), 1.0 if at else best)
@@ -39,3 +40,29 @@ def test_other_templates_and_empty_tables(spark):
     assert made.license == 3 and made.found.labels == "x" and made.found.score == 1
     assert op.scan(docs, keep=["doc_id"], templates=[]).first().license.labels == ""
     assert op.scan(frame(spark, [])).count() == 0
+
+
+LONG = " ".join(f"word{i}" for i in range(50)) + " " + " ".join(f"word{i}" for i in range(10))
+SHORT = " ".join(f"term{i}" for i in range(20))
+
+
+def test_long_templates_are_found_at_every_offset(spark):
+    """A 60-word template, and a 20-word one with inserted words, wherever they stand; a part of one is not found."""
+    broken = SHORT.split()
+    for k in range(8):
+        broken.insert(2 * k + 3, f"inserted{k}")
+    docs = [(i, "fill " * i + LONG + " tail" * 40) for i in range(100)]
+    docs += [(100 + i, "fill " * i + " ".join(broken) + " tail" * (40 - i)) for i in range(40)]
+    docs += [(200, " ".join(LONG.split()[:40])), (201, " ".join(x for t in SHORT.split() for x in (t, "far", "apart")))]
+    made = op.scan(frame(spark, docs), templates=[("long", LONG), ("short", SHORT)])
+    for r in made.collect():
+        want = "long" if r.doc_id < 100 else "short" if r.doc_id < 200 else ""
+        assert r.license.labels == want, r.doc_id
+        assert r.license.labels == brute(r.text, [("long", LONG), ("short", SHORT)])[5]
+
+
+def test_thousands_of_templates(spark):
+    many = [(f"t{i}", " ".join(f"w{(i * 31 + k * 7) % 4001}" for k in range(12))) for i in range(2000)]
+    docs = [(i, "before the text " + many[i * 37][1] + " and after it") for i in range(50)] + [(60, "w1 w2 w3 nothing")]
+    for r in op.scan(frame(spark, docs), templates=many).collect():
+        assert r.license.labels == brute(r.text, many)[5], r.doc_id
