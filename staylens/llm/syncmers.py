@@ -4,9 +4,12 @@ A stretch of ``K`` bytes is a closed syncmer if, of the stretches of ``S`` bytes
 inside it, one with the least hash lies at either edge.  Whether it is one
 depends on its own bytes alone, so equal passages have equal anchors wherever
 they stand, at the same distances.  A fingerprint keeps one anchor of each of
-``BINS`` ranges of hashes (the least of its range); the likeness of two
-fingerprints is the share of equal ones among the ranges that either has, an
-estimate of the Jaccard similarity of the anchors of the two texts.
+``BINS`` ranges of hashes (the least of its range) with the place where it first
+stands.  Two fingerprints are matched by position: of their equal anchors, the
+most that stand in the same order in both texts (the longest rising chain of
+places) count.  The likeness is their share among the ranges that either has:
+an estimate of the Jaccard similarity of the anchors of the two texts, less
+what stands in another order.
 
 To compare each document with its successor, documents are dealt into ranges of
 (id, text hash) and read in order, one document ahead; the first document of
@@ -23,6 +26,7 @@ own successor.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -44,7 +48,7 @@ KIND = (StructType().add("fingerprint", StringType()).add("positions", ArrayType
         .add("hashes", ArrayType(LongType(), False)))
 
 _INNER = K - S + 1
-_EMPTY = "-" * 4 * BINS
+_EMPTY = "-" * 12 * BINS
 
 
 def _whole(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -70,28 +74,45 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, mix64(part[at] + part[at + K - S] * np.uint64(0x9E3779B97F4A7C15))
 
 
-def fingerprint(hashes: np.ndarray) -> str:
-    """The least anchor of each range of hashes, as four hexadecimal digits, or dashes."""
+def fingerprint(at: np.ndarray, hashes: np.ndarray) -> str:
+    """The least anchor of each range of hashes: four hexadecimal digits and eight of its place, or dashes."""
     if not len(hashes):
         return _EMPTY
     width = (BINS - 1).bit_length()
-    kept = np.full(BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
     bins = (hashes >> np.uint64(64 - width)).astype(np.int64)
-    np.minimum.at(kept, bins, hashes)
-    used = np.zeros(BINS, dtype=bool)
-    used[bins] = True
-    digits = kept.astype(">u2").tobytes().hex()
-    if used.all():
+    order = np.lexsort((at, hashes))                    # by range, hash, place
+    first = order[np.flatnonzero(np.diff(bins[order], prepend=-1))]
+    kept = np.zeros(BINS, dtype=[("hash", ">u2"), ("at", ">u4")])
+    kept["hash"][bins[first]] = hashes[first].astype(np.uint16)
+    kept["at"][bins[first]] = at[first]
+    digits = kept.tobytes().hex()
+    if len(first) == BINS:
         return digits
-    return "".join(digits[4 * i:4 * i + 4] if u else "----" for i, u in enumerate(used.tolist()))
+    used = np.zeros(BINS, dtype=bool)
+    used[bins[first]] = True
+    return "".join(digits[12 * i:12 * i + 12] if u else "-" * 12 for i, u in enumerate(used.tolist()))
+
+
+def _chain(at: np.ndarray) -> int:
+    """Length of the longest strictly rising subsequence."""
+    if (np.diff(at) > 0).all():
+        return len(at)
+    ends: list[int] = []
+    for x in at.tolist():
+        k = bisect.bisect_left(ends, x)
+        ends[k:k + 1] = [x]
+    return len(ends)
 
 
 def likeness(a: str, b: str) -> float:
-    x, y = (np.frombuffer(s.encode(), dtype="S4") for s in (a, b))
-    either = (x != b"----") | (y != b"----")
-    if not either.any():
+    if a == b:
         return 1.0
-    return float((x == y)[either].mean())
+    x, y = (np.frombuffer(s.encode(), dtype="S4").reshape(BINS, 3) for s in (a, b))
+    x_has, y_has = x[:, 0] != b"----", y[:, 0] != b"----"
+    either = int((x_has | y_has).sum())
+    both = np.flatnonzero((x[:, 0] == y[:, 0]) & x_has & y_has)
+    places = np.array([[int(s[12 * i + 4:12 * i + 12], 16) for i in both.tolist()] for s in (a, b)], dtype=np.int64)
+    return _chain(places[1][np.argsort(places[0], kind="stable")]) / either if len(both) else 0.0
 
 
 def fingerprints(docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = None,
@@ -102,7 +123,7 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text", keep: list[str] | N
             rows = []
             for text in batch.column(0).to_pylist():
                 at, h = anchors((text or "").encode())
-                rows.append((fingerprint(h), at.tolist(), h.view(np.int64).tolist()))
+                rows.append((fingerprint(at, h), at.tolist(), h.view(np.int64).tolist()))
             columns = list(zip(*rows, strict=True)) or [()] * 3
             yield batch, pa.StructArray.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.list_(pa.int64())),
@@ -127,13 +148,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[tuple] = []
         for number, last, ident, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            _, h = anchors(text.encode())
-            own = fingerprint(h)
+            at, h = anchors(text.encode())
+            own = fingerprint(at, h)
             if before is not None and before[0] == number:
                 _, i, t, f, n = before
                 changed = edited(t, text)
                 raw = changed.encode()
-                g = f if changed == t else fingerprint(anchors(raw)[1])
+                g = f if changed == t else fingerprint(*anchors(raw))
                 out.append((i, len(t), hashlib.sha256(raw).hexdigest(), f, g, likeness(f, g), likeness(f, own), n))
             before = None if last else (number, ident, text, own, len(h))
         if out:
