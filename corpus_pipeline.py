@@ -43,7 +43,8 @@ STAGES = [
     ("SentencePiece", encode),
 ]
 
-#: The stages have no SQL form; tests compare each with a brute-force version.
+#: The stages have no SQL form.  Tests compare near copies, contaminated documents, personal data and ids with
+#: brute-force versions; toxicity is judged by held-out accuracy.
 ORACLE_SQL = None
 
 
