@@ -40,4 +40,5 @@ def load_all() -> None:
         importlib.import_module(f"{__package__}.{mod}")
 
 
-MODULES = ("q_profile", "q_rows", "q_fit", "q_split", "q_distribution", "q_evaluate", "q_train")
+MODULES = ("q_profile", "q_rows", "q_fit", "q_split", "q_distribution", "q_evaluate", "q_train",
+           "q_files")

@@ -18,7 +18,7 @@ from ..operators.split import assign_split
 from ..operators.train import SearchConfig, bounded, build, importance_table
 from ..operators.tree_expr import FOREST, Ensemble, TreeExpression, probability_sql
 from ..session import scratch_path, shared_dir
-from ..sources.files import flatten_evaluation, read_evaluations
+from ..sources.files import flatten_evaluation, load_pipeline, read_evaluations, save_model
 from ..sources.tables import bookings, with_signal_label
 from . import training
 from .catalog import r6, register
@@ -170,10 +170,10 @@ sc_all AS ({scaled_sql("minmax", None)})""", f"""
 wide AS (SELECT booking_id, {", ".join(f"max(CASE WHEN feature = '{c}' THEN value END) AS f{i}" for i, c in enumerate(STATED_FEATURES))}
   FROM sc_all GROUP BY booking_id)"""))
 def score_test_rows(spark, sf_dir):
-    """Raw test bookings through contract, preprocessor (fitted on the train split) and a stated forest."""
+    """Raw test bookings through contract, preprocessor (fitted on the train split) and a stated forest, saved and loaded."""
     tagged = assign_split(bookings(spark, sf_dir), "is_canceled", 0.3, key_cols=[ID], hash_method="md5")
     prep = BookingPreprocessor(labelCol="is_canceled", passthroughCols=[ID]).fit(tagged.where("part = 'train'").drop("part"))
     test = tagged.where("part = 'test'").drop("part", "is_canceled")
-    pipeline = scoring_pipeline(prep, TreeExpression(STATED, STATED_FEATURES))
-    scored = score_frame(pipeline, test, keep=[ID])
+    path = save_model(scoring_pipeline(prep, TreeExpression(STATED, STATED_FEATURES)), scratch_path(spark, "pipeline"))
+    scored = score_frame(load_pipeline(path), test, keep=[ID])
     return scored.select(ID, "prediction", "label", r6("probability").alias("probability"), "risk_level")
