@@ -75,9 +75,9 @@ def _slide(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return pick(x[:len(x) - (width - span)], x[width - span:]) if span < width else x
 
 
-def _rolled(wide: np.ndarray, at) -> np.ndarray:
-    """The rolling hash of the ``TRIGGER`` bytes at some places; ``wide``: the 8 bytes from each byte on."""
-    a, b, c = (wide[at], wide[at + 8], wide[at + TRIGGER - 8])
+def _rolled(wide: np.ndarray, n: int) -> np.ndarray:
+    """The rolling hash of the ``TRIGGER`` bytes at the first ``n`` places; ``wide``: the 8 bytes from each byte on."""
+    a, b, c = (wide[k:n + k] for k in (0, 8, TRIGGER - 8))
     return np.minimum(mix64(a * _A + mix64(b) + c * _B), _NONE - np.uint64(1))
 
 
@@ -90,14 +90,15 @@ def triggers(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         part = np.concatenate([raw[lo:hi], np.zeros(LENGTH + 8, np.uint8)])
         m = hi - lo
         wide = np.ndarray(m + TRIGGER, dtype="<u8", strides=(1,), buffer=part)
-        h = _rolled(wide, np.arange(m))
-        # A string must end in the row in which it begins.
-        end = rows[np.searchsorted(rows, np.arange(lo, hi), side="right")] if m else rows[:0]
-        valid = np.arange(lo, hi) + LENGTH <= end
+        h = _rolled(wide, m)
         least = _slide(np.concatenate([h, np.full(strings - 1, _NONE)]), strings, True)
-        least = np.where(valid, least, np.uint64(0))
+        # A string must end in the row in which it begins: none begins at the last bytes of a row.
+        i, j = np.searchsorted(rows, lo, side="right"), np.searchsorted(rows, hi + LENGTH, side="left")
+        for end in (rows[i:j + 1] - lo).tolist():
+            least[max(0, end - LENGTH + 1):max(0, end)] = 0
         most = _slide(np.concatenate([np.zeros(strings - 1, np.uint64), least]), strings, False)
-        at = np.flatnonzero((most == h) & (np.arange(lo, hi) >= a) & (np.arange(lo, hi) < a + STRETCH))
+        begin, stop = a - lo, min(hi, a + STRETCH) - lo
+        at = np.flatnonzero(most[begin:stop] == h[begin:stop]) + begin
         where.append(at + lo)
         hashes.append(h[at])
     if not where:
@@ -158,9 +159,13 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct triggers of each row."""
     for batch in batches:
         found = Occurrences(batch)
-        pairs = np.unique(np.stack([found.row.astype(np.uint64), found.h]), axis=1) if len(found.h) else np.zeros((2, 0), np.uint64)
-        ends = np.searchsorted(pairs[0], np.arange(batch.num_rows + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs[1].view(np.int64)))
+        sort = np.lexsort((found.h, found.row))
+        row, h = found.row[sort], found.h[sort]
+        new = np.ones(len(h), bool)
+        new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+        row, h = row[new], h[new]
+        ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))
         yield pa.RecordBatch.from_arrays([batch.column(1), lists], names=["ord", "hashes"])
 
 

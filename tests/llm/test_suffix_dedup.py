@@ -48,3 +48,16 @@ def test_stretches_do_not_matter(monkeypatch):
     want = [x.tolist() for x in op.triggers(raw, rows)]
     monkeypatch.setattr(op, "STRETCH", 64)
     assert [x.tolist() for x in op.triggers(raw, rows)] == want
+
+
+def test_strings_of_a_row_are_told_by_its_end_not_by_each_byte(monkeypatch):
+    texts = [BASE[:n] for n in (0, 49, 50, 700, 3, 0, 51)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    rows = np.cumsum([0, *map(len, texts)])
+    h = op._rolled(np.ndarray(len(raw), "<u8", strides=(1,), buffer=np.concatenate([raw, np.zeros(90, np.uint8)])), len(raw) - 20)
+    ends = rows[np.searchsorted(rows, np.arange(len(raw)), side="right")]
+    want = sorted({a + int(np.argmin(h[a:a + op.FREE + 1])) for a in range(len(raw)) if a + op.LENGTH <= ends[a]})
+    search, looked = np.searchsorted, []
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, **how: looked.append(np.size(v)) or search(a, v, **how))
+    assert op.triggers(raw, rows)[0].tolist() == want
+    assert max(looked) <= len(rows)
