@@ -1,16 +1,17 @@
 """Train-fitted preprocessing as a ``pyspark.ml`` Estimator / Model.
 
-fit (over the prepared training rows, which are persisted for its duration):
+fit (over the prepared training rows, written once as doubles and text):
 
-1. the numeric columns are written once, narrow; exact medians (or means) and
-   one aggregate of moments follow from that table, and the moments of the
-   filled column from those and the number of missing values;
+1. exact medians (or means) and one aggregate of moments of the numeric columns
+   follow from that table, and the moments of the filled column from those and
+   the number of missing values;
 2. category counts of the text columns (one unpivoted group-by) become the
    category dictionary, a table of the model (:mod:`encode`).
 
-transform joins the rows with the dictionary and is one projection besides:
-names cleaned, model features, drop, fill, one-hot, scale, aligned to the
-fitted feature order, with pass-through columns (id, label) kept at the end.
+transform joins the rows with the dictionary, between two projections: names
+cleaned, model features, drop, numbers filled and scaled; then one-hot, aligned
+to the fitted feature order, with pass-through columns (id, label) kept at the
+end.  (In one projection the generated code is too long to be compiled.)
 Up to ``wideFeatures`` features there is a column for each of them; beyond
 that the result is a sparse vector column, and there is no upper limit.
 
@@ -24,9 +25,9 @@ import json
 import os
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
@@ -38,8 +39,8 @@ from ..functions.names import clean_name, clean_columns, qcol
 from .columns import RawContract, check_schema, prepare_raw, raw_inputs
 from .encode import Dictionary, fit_dictionary, indicators, onehot_name, with_slots
 from .impute import fills_of
-from .ranks import narrow
 from .scale import filled_stats, indicator_stats, scaled, scaler_stats
+from ..session import stored
 
 #: Features up to which the result has a column for each.
 WIDE_FEATURES = 1000
@@ -128,11 +129,7 @@ class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
 
     def _fit(self, df: DataFrame) -> "BookingPreprocessorModel":
         prepared, raw, _ = self._prepared(nan_to_null(df))
-        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            state, table = self._fit_state(prepared, raw)
-        finally:
-            prepared.unpersist()
+        state, table = self._fit_state(prepared, raw)
         types = {clean_name(f.name): f.dataType.simpleString() for f in df.schema.fields}
         state["raw_types"] = {c: types[c] for c in state["required_raw_columns"]}
         model = BookingPreprocessorModel()
@@ -144,17 +141,17 @@ class BookingPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         cats = categorical_columns(prepared)
         stats: dict[str, dict[str, float]] = {}
         fill: dict[str, object] = {}
+        texts = [qcol(c).cast("string").alias(c) for c in cats]
+        table = stored(prepared.select(*[qcol(c).cast("double").alias(c) for c in nums], *texts), "prepared") \
+            if nums or cats else prepared
+        rows = table.count()
         if nums:
-            table = narrow(prepared, nums)
-            rows = table.count()
             fill = fills_of(table, nums, self.getOrDefault(self.numStrategy), rows)
             stats = filled_stats(scaler_stats(table, nums), fill, rows)
-        else:
-            rows = prepared.count()
         state = {"raw_columns": raw,
                  "required_raw_columns": raw_inputs(raw, self.getOrDefault(self.dropColumns) or None),
                  "numeric": nums, "categorical": cats, "stats": stats, "rows": rows, "sizes": {}, "bytes": {}}
-        dictionary = fit_dictionary(prepared, cats, self.getOrDefault(self.catStrategy)) if cats else None
+        dictionary = fit_dictionary(table, cats, self.getOrDefault(self.catStrategy)) if cats else None
         if dictionary:
             fill = fill | dictionary.fill
             state |= {"sizes": dictionary.size, "bytes": dictionary.bytes}
@@ -258,20 +255,29 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
                 (offsets + F.col("slot")).cast("int").alias("index"), F.concat_ws("_", "column", "category").alias("feature")))
         return out
 
-    def _numbers(self, st: dict, columns: Sequence[str]) -> dict[str, Column]:
+    def _numbers(self, st: dict, columns: Sequence[str]) -> list[Column]:
         """Filled and scaled numeric features."""
         method = self.getOrDefault(self.scaleMethod)
-        out = {}
+        out = []
         for c in st["numeric"]:
             value = F.lit(0.0)
             if c in columns:
                 source = qcol(c).cast("double")
                 value = F.coalesce(F.when(~F.isnan(source), source), F.lit(float(st["fill"][c])))
-            out[c] = scaled(value, st["stats"][c], method)
+            out.append(scaled(value, st["stats"][c], method))
         return out
 
-    def _ready(self, df: DataFrame) -> tuple[dict, DataFrame, list[str], list[str]]:
-        """State, prepared rows with their category numbers, feature inputs, kept columns."""
+    def _flags(self, st: dict, method: str) -> Column:
+        """The scaled indicators of all text columns as one array, without an expression for each."""
+        def own(i: int, c: str) -> Column:
+            stats = [st["stats"][onehot_name(c, k)] for k in st["categories"][c]]
+            on, off = (F.array(*[scaled(F.lit(x), s, method) for s in stats]) for x in (1.0, 0.0))
+            return F.transform(off, lambda x, j: F.when(F.col(f"_slot{i}") == j, F.get(on, j)).otherwise(x))
+
+        return F.concat(*[own(i, c) for i, c in enumerate(st["categorical"]) if st["categories"][c]])
+
+    def _ready(self, df: DataFrame) -> tuple[dict, DataFrame, list[str]]:
+        """State, prepared rows with ``_number<i>``, their vector ``_numbers`` and the category numbers; kept columns."""
         st = self.fitted
         cleaned = clean_columns(nan_to_null(df))
         keep = self._keep(cleaned.columns)
@@ -279,13 +285,17 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         prepared = prepare_raw(cleaned, self.getOrDefault(self.dropColumns) or None,
                                home_country=self.getOrDefault(self.homeCountry))
         inputs = [c for c in prepared.columns if c not in keep]
+        # Before the joins: one projection of these and of the indicators is too long to be compiled.
+        prepared = prepared.select("*", *[v.alias(f"_number{i}") for i, v in enumerate(self._numbers(st, inputs))])
+        if st["numeric"]:
+            prepared = FeatureVector([f"_number{i}" for i in range(len(st["numeric"]))], "_numbers").transform(prepared)
         if st["categorical"]:
             absent = [c for c in st["categorical"] if c not in inputs]
             known = prepared.select(*[qcol(c) for c in prepared.columns if c not in absent])
             prepared = with_slots(known, self._dictionary(st), st["rows"])
-        return st, prepared, inputs, keep
+        return st, prepared, keep
 
-    def _entries(self, st: dict, columns: Sequence[str]) -> Column:
+    def _entries(self, st: dict) -> Column:
         """The features of a row that differ from what most rows have: an array of structs (index, value), by index.
 
         Scaled by ``minmax`` an indicator is 0 where the row has another
@@ -295,7 +305,7 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         its own, which the listed ones replace.
         """
         standard = self.getOrDefault(self.scaleMethod) == "standard"
-        listed = [(F.lit(i), v) for i, v in enumerate(self._numbers(st, columns).values())]
+        listed = [(F.lit(i), F.col(f"_number{i}")) for i in range(len(st["numeric"]))]
         for i, (c, offset) in enumerate(zip(st["categorical"], self._offsets(st))):
             slot, share = F.col(f"_slot{i}"), F.col(f"_n{i}") / F.lit(float(st["rows"]))
             if st["sizes"][c] == 1:
@@ -323,11 +333,11 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
 
     def entries(self, df: DataFrame) -> DataFrame:
         """(kept columns, index, value): the entries of each row's vector, one a row, without the vector."""
-        st, prepared, inputs, keep = self._ready(df)
-        return (prepared.select(*[qcol(k) for k in keep], F.explode(self._entries(st, inputs)).alias("_e"))
+        st, prepared, keep = self._ready(df)
+        return (prepared.select(*[qcol(k) for k in keep], F.explode(self._entries(st)).alias("_e"))
                 .select(*[qcol(k) for k in keep], "_e.index", "_e.value"))
 
-    def _as_vector(self, st: dict, prepared: DataFrame, inputs: list[str], keep: list[str], name: str) -> DataFrame:
+    def _as_vector(self, st: dict, prepared: DataFrame, keep: list[str], name: str) -> DataFrame:
         size, base = st["n_features"], self._base(st)
         shared = None if base is None else prepared.sparkSession.sparkContext.broadcast(base)
 
@@ -340,21 +350,28 @@ class BookingPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
                 dense[i] = v
             return DenseVector(dense)
 
-        listed = prepared.select(*[qcol(k) for k in keep], self._entries(st, inputs).alias("_e"))
+        listed = prepared.select(*[qcol(k) for k in keep], self._entries(st).alias("_e"))
         return listed.select(*[qcol(k) for k in keep], vector(F.col("_e.index"), F.col("_e.value")).alias(name))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        st, prepared, inputs, keep = self._ready(df)
+        st, prepared, keep = self._ready(df)
         vec = self.getOrDefault(self.outputCol)
         method = self.getOrDefault(self.scaleMethod)
         if not st["wide"]:
-            return self._as_vector(st, prepared, inputs, keep, vec or "features")
-        named = self._numbers(st, inputs)
+            return self._as_vector(st, prepared, keep, vec or "features")
+        named = {c: F.col(f"_number{i}") for i, c in enumerate(st["numeric"])}
+        flags = {}
         if st["categorical"]:
-            named |= {c: scaled(v, st["stats"][c], method)
-                      for c, v in indicators(self._dictionary(st), st["categories"]).items()}
-        out = prepared.select(*[v.alias(c) for c, v in named.items()], *[qcol(k) for k in keep])
-        return FeatureVector(st["features"], vec).transform(out) if vec else out
+            flags = {c: scaled(v, st["stats"][c], method)
+                     for c, v in indicators(self._dictionary(st), st["categories"]).items()}
+        columns = [v.alias(c) for c, v in (named | flags).items()] + [qcol(k) for k in keep]
+        if not vec:
+            return prepared.select(*columns)
+        parts = {"_numbers": F.col("_numbers")} if named else {}
+        if flags:
+            known = {"ml_attr": {"num_attrs": len(flags)}}
+            parts["_flags"] = array_to_vector(self._flags(st, method)).alias("_flags", metadata=known)
+        return FeatureVector(list(parts), vec).transform(prepared.select(*columns, *parts.values())).drop(*parts)
 
     def check_raw(self, df: DataFrame) -> None:
         check_schema(df, self.required_raw_columns)

@@ -16,8 +16,8 @@ from ..operators.impute import apply_imputer, categorical_fill_values, fit_imput
 from ..operators.preprocess import BookingPreprocessor, BookingPreprocessorModel
 from ..operators.split import assign_split
 from ..sources.tables import bookings
-from ..session import shared_dir
-from .catalog import r6, register
+from ..session import shared_dir, stored
+from .catalog import r6, r6_double, register
 from .oracle import PREPARED_CTE, PREPARED_NUMERIC, PREPARED_TEXT, split_ctes, union_all, with_ctes
 from ..functions.names import qcol
 
@@ -28,6 +28,11 @@ def prepared_features(spark, sf_dir) -> DataFrame:
     return prepare_raw(bookings(spark, sf_dir))
 
 
+def stored_features(spark, sf_dir) -> DataFrame:
+    """The same, written once: a fit and a transform both read them instead of deriving them again."""
+    return stored(prepared_features(spark, sf_dir), "bookings")
+
+
 def _features_only(df: DataFrame) -> DataFrame:
     return df.drop(ID, LABEL)
 
@@ -207,7 +212,7 @@ def _long(model, df: DataFrame) -> DataFrame:
     out = model.transform(df)
     feats = model.feature_columns
     return (out.unpivot([ID], [qcol(f) for f in feats], "feature", "value")
-            .select(ID, "feature", r6("value").alias("value")))
+            .select(ID, "feature", r6_double(F.col("value")).alias("value")))
 
 
 @register("scaler_stats", with_ctes(
@@ -227,7 +232,7 @@ def scaler_stats_query(spark, sf_dir):
     scaled_sql("minmax"), PREPARED_CTE,
     *prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
 def minmax_transform(spark, sf_dir):
-    prepared = prepared_features(spark, sf_dir)
+    prepared = stored_features(spark, sf_dir)
     model = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID]).fit(prepared)
     return _long(model, prepared)
 
@@ -236,7 +241,7 @@ def minmax_transform(spark, sf_dir):
     scaled_sql("standard"), PREPARED_CTE,
     *prep_ctes("SELECT * FROM prepared", "SELECT * FROM prepared")))
 def standard_transform(spark, sf_dir):
-    prepared = prepared_features(spark, sf_dir)
+    prepared = stored_features(spark, sf_dir)
     model = BookingPreprocessor(labelCol=LABEL, passthroughCols=[ID],
                                 scaleMethod="standard").fit(prepared)
     return _long(model, prepared)
