@@ -24,6 +24,7 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -119,8 +120,17 @@ def search(name: str, train: DataFrame, cfg: SearchConfig):
     ``parallelism`` driver threads; ``CrossValidator`` runs folds in turn and
     only the points of one fold concurrently.  Both give the same scores.
     """
-    name = resolve(name)
     train = bounded(train, cfg)
+    if train.storageLevel.useDisk or train.storageLevel.useMemory:
+        return _searched(resolve(name), train, cfg)
+    train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _searched(resolve(name), train, cfg)
+    finally:
+        train.unpersist()
+
+
+def _searched(name: str, train: DataFrame, cfg: SearchConfig):
     points = sample_points((cfg.grids or GRIDS)[name], cfg.n_iter, cfg.seed)
     evaluator = MulticlassClassificationEvaluator(labelCol=cfg.label_col, metricName="accuracy")
     if cfg.engine == "cross_validator":

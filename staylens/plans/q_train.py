@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators.columns import DEFAULT_DROP
@@ -131,7 +132,12 @@ def _fitted(spark, sf_dir):
     data = prepare_training_data(spark, training_raw(spark, sf_dir), LABEL, ID, test_size=0.3, folds=3,
                                  drop=list(DEFAULT_DROP))
     shared_dir(spark)
-    return data, build("random_forest", POINT, FIT).fit(bounded(data.train, FIT))
+    # A fit reads its rows several times; only these are held, not the whole table.
+    rows = bounded(data.train, FIT).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return data, build("random_forest", POINT, FIT).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 @register("feature_importance_top5")

@@ -21,7 +21,7 @@ from ..operators.evaluate import area_of, classification_report, confusion_matri
 from ..operators.preprocess import BookingPreprocessor
 from ..operators.split import assign_split
 from ..operators.train import MODEL_ORDER, SearchConfig, importance_table, positive_probability, resolve, search
-from ..session import scratch_path, shared_dir
+from ..session import scratch_path, shared_dir, stored
 from ..sources.files import read_evaluations, save_model, write_evaluation, write_table
 from .scoring import scoring_pipeline
 
@@ -43,7 +43,8 @@ def prepare_training_data(spark: SparkSession, raw: DataFrame, label_col: str, i
                           hash_method: str = "xxhash64") -> TrainingData:
     """Dedupe raw rows (label included), stratified split + folds, fit on train only."""
     base = out_dir or scratch_path(spark, "training")
-    rows = dedupe(raw) if remove_duplicates else raw
+    # Written before the split, which reads the rows twice.
+    rows = stored(dedupe(raw) if remove_duplicates else raw, "rows")
     keys = [c for c in rows.columns if c != label_col]
     tagged = assign_split(rows, label_col, test_size, folds=folds, key_cols=keys,
                           hash_method=hash_method)
@@ -58,8 +59,7 @@ def prepare_training_data(spark: SparkSession, raw: DataFrame, label_col: str, i
         out = prep.transform(frame).withColumn("label", F.col(label_col).cast("double"))
         keep = [id_col, "label", "features"] + (["fold"] if part == "train" else [])
         out.select(*keep).write.mode("overwrite").parquet(os.path.join(base, part))
-    train = spark.read.parquet(os.path.join(base, "train")).persist(StorageLevel.MEMORY_AND_DISK)
-    test = spark.read.parquet(os.path.join(base, "test")).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = (spark.read.parquet(os.path.join(base, part)) for part in ("train", "test"))
     return TrainingData(train, test, prep, feats, id_col, label_col, base)
 
 

@@ -7,12 +7,12 @@ import math
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from staylens.operators import preprocess
-from staylens.operators.preprocess import BookingPreprocessor
-from staylens.plans import catalog
+from staylens.operators import preprocess, train
+from staylens.operators.preprocess import BookingPreprocessor, FeatureVector
+from staylens.plans import catalog, training
 
 catalog.load_all()
-from staylens.plans import q_fit  # noqa: E402
+from staylens.plans import q_fit, q_train  # noqa: E402
 
 
 def scans(df, what):
@@ -24,6 +24,25 @@ def test_scaled_rows_come_from_one_table(spark):
         assert scans(catalog.QUERIES[name](spark, SF_SMALL), "l_returnflag") == 0
 
 
+def test_split_reads_deduplicated_rows_from_a_table(spark, monkeypatch):
+    seen, split = [], training.assign_split
+    monkeypatch.setattr(training, "assign_split", lambda df, *a, **k: seen.append(df) or split(df, *a, **k))
+    data = training.prepare_training_data(spark, q_train.training_raw(spark, SF_SMALL), q_train.LABEL, q_train.ID, folds=3)
+    assert scans(seen[0], "Aggregate") == 0 and scans(seen[0], "l_returnflag") == 0
+    assert not data.train.storageLevel.useMemory and not data.test.storageLevel.useMemory
+
+
+def test_search_holds_its_rows_and_lets_them_go(spark, monkeypatch):
+    rows = spark.range(40).select((F.col("id") % 2).cast("double").alias("label"), F.col("id").cast("double").alias("x"),
+                                  (F.col("id") % 3).cast("int").alias("fold"))
+    rows = FeatureVector(["x"], "features").transform(rows)
+    held, fit = [], train._searched
+    monkeypatch.setattr(train, "_searched", lambda n, t, c: held.append(t.storageLevel.useMemory) or fit(n, t, c))
+    cfg = train.SearchConfig(n_iter=1, folds=3, grids={"random_forest": {"numTrees": [2], "maxDepth": [2]}})
+    train.search("random_forest", rows, cfg)
+    assert held == [True] and not rows.storageLevel.useMemory
+
+
 def test_fit_writes_its_rows_once_and_caches_nothing(spark, monkeypatch):
     df = spark.createDataFrame([(1.0, "a", 0), (None, "b", 1), (float("nan"), None, 1)], "x double, k string, is_canceled int")
     names, stored = [], preprocess.stored
