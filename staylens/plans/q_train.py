@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators.columns import DEFAULT_DROP
 from ..operators.preprocess import BookingPreprocessor
 from ..operators.split import assign_split
-from ..operators.train import SearchConfig, bounded, build, importance_table
+from ..operators.train import SearchConfig, build, importance_table
 from ..operators.tree_expr import FOREST, Ensemble, TreeExpression, probability_sql
 from ..session import scratch_path, shared_dir
 from ..sources.files import flatten_evaluation, load_pipeline, read_evaluations, save_model
@@ -31,9 +30,9 @@ from .training import SUMMARY_COLS, evaluate_scores, prepare_training_data, summ
 ID, LABEL = "booking_id", "label_signal"
 #: Stated scores: (id * a) mod m, over m - 1; prediction 1 from 0.5 on.  The CV score stands for one.
 SCORERS = {"by_101": (1, 101, 0.5), "by_89": (7, 89, 0.25), "by_97": (3, 97, 0.75)}
-#: A point of the random forest's grid, fitted on so many rows at most, about.
+#: A point of the random forest's grid, fitted on all rows of the train split.
 POINT = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 1, "bootstrap": True}
-FIT = SearchConfig(fit_rows=20_000)
+FIT = SearchConfig()
 
 
 def training_raw(spark, sf_dir):
@@ -132,12 +131,8 @@ def _fitted(spark, sf_dir):
     data = prepare_training_data(spark, training_raw(spark, sf_dir), LABEL, ID, test_size=0.3, folds=3,
                                  drop=list(DEFAULT_DROP))
     shared_dir(spark)
-    # A fit reads its rows several times; only these are held, not the whole table.
-    rows = bounded(data.train, FIT).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return data, build("random_forest", POINT, FIT).fit(rows)
-    finally:
-        rows.unpersist()
+    # The rows of a fit are a stored table; the learner reads it a few times and holds only its binned points.
+    return data, build("random_forest", POINT, FIT).fit(data.train)
 
 
 @register("feature_importance_top5")

@@ -76,3 +76,30 @@ def test_rounding_of_doubles_equals_round(spark):
     assert found.where(~text("want").eqNullSafe(text("got"))).collect() == []
     assert found.count() == len(values)
     assert "r6_double" in q_fit._long.__code__.co_names
+
+
+def split_of_many_rows(spark, monkeypatch):
+    """A train split of 30,000 rows for the queries that fit a forest; one tree of one split without bootstrap."""
+    rows = spark.range(30_000).select(F.col("id").alias("booking_id"), (F.col("id") % 2).cast("double").alias("label"),
+                                      F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    rows = FeatureVector(["x", "y"], "features").transform(rows)
+    data = training.TrainingData(rows, rows, None, ["x", "y"], q_train.ID, q_train.LABEL, "")
+    monkeypatch.setattr(q_train, "prepare_training_data", lambda *a, **k: data)
+    monkeypatch.setattr(q_train, "POINT", {"numTrees": 1, "maxDepth": 1, "bootstrap": False})
+
+
+def rows_of_root(model):
+    return sum(model.trees[0]._call_java("rootNode").impurityStats().stats())
+
+
+def test_importances_are_of_a_forest_over_every_train_row(spark, monkeypatch):
+    split_of_many_rows(spark, monkeypatch)
+    fits, table = [], q_train.importance_table
+    monkeypatch.setattr(q_train, "importance_table", lambda s, model, names: fits.append(model) or table(s, model, names))
+    assert q_train.feature_importance_top5(spark, SF_SMALL).count() == 2
+    assert rows_of_root(fits[0]) == 30_000
+
+
+def test_scores_are_of_a_forest_over_every_train_row(spark, monkeypatch):
+    split_of_many_rows(spark, monkeypatch)
+    assert rows_of_root(q_train._fitted(spark, SF_SMALL)[1]) == 30_000
