@@ -137,14 +137,14 @@ def _fitted(spark, sf_dir):
 
 @register("feature_importance_top5")
 def feature_importance_top5(spark, sf_dir):
-    """Top 5 importances of the fitted forest (a top-k report)."""
+    """Top 5 importances of the forest fitted on all train rows (a top-k report)."""
     data, model = _fitted(spark, sf_dir)
     return importance_table(spark, model, data.features).limit(5)
 
 
 @register("score_fitted_rows")
 def score_fitted_rows(spark, sf_dir):
-    """Preprocessor and fitted forest score the raw test rows: one output row per input row."""
+    """Preprocessor and forest, fitted on all train rows, score the raw test rows: one output row per input row."""
     data, model = _fitted(spark, sf_dir)
     split = spark.read.parquet(os.path.join(data.base, "split"))
     test_raw = split.where(F.col("part") == "test").drop("part", "fold", LABEL)
