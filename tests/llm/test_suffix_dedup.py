@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from staylens.llm import suffix_dedup as op
@@ -61,3 +62,35 @@ def test_strings_of_a_row_are_told_by_its_end_not_by_each_byte(monkeypatch):
     monkeypatch.setattr(np, "searchsorted", lambda a, v, **how: looked.append(np.size(v)) or search(a, v, **how))
     assert op.triggers(raw, rows)[0].tolist() == want
     assert max(looked) <= len(rows)
+
+
+def test_tasks_hold_no_table_of_all_triggers(spark, monkeypatch):
+    """A filter of fixed size let nearly everything pass on large inputs, and what it let pass filled the disk."""
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *a: 1 / 0)
+    got = {r.doc_id: r.dedup.n_removed for r in op.deduplicate(frame(spark, DOCS), keep=["doc_id"]).collect()}
+    assert got == {i: v[1] for i, v in brute(DOCS).items()}
+
+
+def test_a_trigger_travels_once_in_few_bytes(monkeypatch):
+    texts = ["".join(rng.choice(list("abcdefgh "), 30_000)) for _ in range(20)]
+    ids = pa.array(range(5_000_000, 5_000_020), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), ids, ids], names=["text", "ord", "th"])
+    n, rows = len(op.Occurrences(batch).h), [r for b in op._parsed(iter([batch])) for r in b.to_pylist()]
+    packed = [len(r["data"]) for r in rows if r["kind"] == op.TRIGGERS]
+    assert n > 30_000 and n <= sum(packed) / 19 and sum(packed) <= 21 * n
+    # Buckets are even although the hashes, being least ones, are not.
+    assert len(packed) > 0.99 * (1 << op.BUCKET) and max(packed) < 5 * sum(packed) / len(packed)
+
+
+@pytest.mark.parametrize("hot,shard,bits", [(op.HOT, op.SHARD, op.BUCKET), (2, 40, 2)])
+def test_many_shards_with_rows_that_come_twice(spark, monkeypatch, hot, shard, bits):
+    monkeypatch.setattr(op, "HOT", hot)
+    monkeypatch.setattr(op, "SHARD", shard)
+    monkeypatch.setattr(op, "BUCKET", bits)
+    pick = np.random.default_rng(1)
+    parts = [BASE[a:a + n] for a, n in zip(pick.integers(0, 2400, 60).tolist(), pick.integers(20, 130, 60).tolist(), strict=True)]
+    rows = [(int(i), "".join(pick.choice(parts + ["é~", "#" * 90], 6))) for i in pick.permutation(160) - 20]
+    got = op.deduplicate(frame(spark, rows + rows[:80]).repartition(7), keep=["doc_id"]).collect()
+    want = brute(rows)
+    assert len(got) == 240 and {r.doc_id for r in got} == set(want)
+    assert all((r.dedup.n_bytes, r.dedup.n_removed, r.dedup.n_spans, r.dedup.kept_sha256) == want[r.doc_id] for r in got)
